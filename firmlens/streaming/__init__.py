@@ -1,0 +1 @@
+"""Every input of this project is a finished table read once, so there are no streaming jobs."""
