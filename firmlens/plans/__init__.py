@@ -1,0 +1,6 @@
+"""Queries by name. Importing the modules registers them."""
+
+from firmlens.plans import tables  # noqa: F401
+from firmlens.plans.registry import QUERIES
+
+__all__ = ["QUERIES"]
