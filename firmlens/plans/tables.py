@@ -202,11 +202,11 @@ def filter_null_fraction(spark, d):
 
 @query(
     "lookup_company",
-    oracle("SELECT * FROM stm JOIN cmp USING (company_id) WHERE place = 'FRANCE' AND year = 2000 AND acq_class = 1", "stm", "cmp"),
+    oracle("SELECT * FROM stm JOIN cmp USING (company_id) WHERE place = 'NATION_7' AND year = 2000 AND acq_class = 1", "stm", "cmp"),
 )
 def lookup_company(spark, d):
     df = statements(spark, d).join(companies(spark, d), "company_id")
-    return C.lookup_company(df, place="FRANCE", year=LATER, acq_class=1)
+    return C.lookup_company(df, place="NATION_7", year=LATER, acq_class=1)
 
 
 @query(

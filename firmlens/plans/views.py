@@ -21,36 +21,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company-year statements.
 
-    Lines are summed per order before the join, so the order table joins one row per order and the
-    number of orders is a plain count. The year filter is a date range that reaches the scan.
+    The year filter is a date range that reaches the scan. Lines are summed per order first: that
+    aggregate keeps the partitioning of the join, and the number of orders becomes a plain count
+    instead of a distinct one.
     """
-    orders = table(spark, sf_dir, "orders").where(
-        (F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp"))
-        & (F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp"))
-    )
+    orders = table(spark, sf_dir, "orders")
+    # Literals of the column's own type: a cast on the column would keep the filter from the scan.
+    kind = orders.schema["o_orderdate"].dataType
+    start, end = (F.lit(f"{y}-01-01").cast(kind) for y in (EARLIER, LATER + 1))
+    orders = orders.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end))
 
     def money(c) -> F.Column:
         return c.cast("decimal(18,4)")
 
     price = F.col("l_extendedprice")
     new = F.col("l_returnflag") == "N"
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.sum(money(F.when(new, price).otherwise(0.0))).alias("fixed"),
-        F.sum(money(F.when(~new, price).otherwise(0.0))).alias("current"),
-        F.sum(money(price * (1 - F.col("l_discount")))).alias("sales"),
-        F.sum(money(price * F.col("l_discount"))).alias("debt"),
-        F.sum(money(price * F.col("l_tax"))).alias("taxes"),
-        F.sum(money(F.col("l_quantity"))).alias("inventory"),
-    )
-    sums = ("fixed", "current", "sales", "debt", "taxes", "inventory")
-    totals = (
+    sums = {
+        "fixed": money(F.when(new, price).otherwise(0.0)),
+        "current": money(F.when(~new, price).otherwise(0.0)),
+        "sales": money(price * (1 - F.col("l_discount"))),
+        "debt": money(price * F.col("l_discount")),
+        "taxes": money(price * F.col("l_tax")),
+        "inventory": money(F.col("l_quantity")),
+    }
+    per_order = (
         orders.select("o_orderkey", F.col("o_custkey").alias("company_id"), F.year("o_orderdate").alias("year"))
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-        .groupBy("company_id", "year")
-        .agg(
-            *(F.sum(c).cast("double").alias(c) for c in sums),
-            F.count(F.lit(1)).cast("double").alias("orders"),
-        )
+        .join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+        .groupBy("o_orderkey", "company_id", "year")
+        .agg(*(F.sum(v).alias(c) for c, v in sums.items()))
+    )
+    totals = per_order.groupBy("company_id", "year").agg(
+        *(F.sum(c).cast("double").alias(c) for c in sums),
+        F.count(F.lit(1)).cast("double").alias("orders"),
     )
 
     def gap(every: int, c) -> F.Column:
