@@ -48,11 +48,13 @@ def impute_knn(df: DataFrame, key: str, cols: Sequence[str], k: int = 10, weight
     """Fill each missing cell from the ``k`` nearest rows that have the column.
 
     Weights are inverse distances; neighbours at distance 0 take all the weight. A cell without
-    any comparable row gets the column mean; a column without any value stays missing.
+    any comparable row gets the column mean; a column without any value stays missing. The table is written once, since it is
+    searched, averaged and filled.
     """
     if weights not in ("distance", "uniform"):
         raise ValueError(f"unknown weights {weights!r}")
     cols = list(cols)
+    df = settle(df)
     gaps = F.filter(
         F.array(*(F.when(col(c).isNull(), F.lit(i)) for i, c in enumerate(cols))), lambda i: i.isNotNull()
     )
@@ -77,15 +79,12 @@ def impute_knn(df: DataFrame, key: str, cols: Sequence[str], k: int = 10, weight
     return joined.select(*(filled[c].alias(c) if c in filled else col(c) for c in df.columns))
 
 
-def impute_groups(
-    df: DataFrame, key: str, groups: Sequence[Sequence[str]], k: int = 10, settle_between: bool = True
-) -> DataFrame:
+def impute_groups(df: DataFrame, key: str, groups: Sequence[Sequence[str]], k: int = 10) -> DataFrame:
     """Impute column groups one after the other; a later group sees the earlier fills."""
     for group in groups:
         present = [c for c in group if c in df.columns]
         if present:
             df = impute_knn(df, key, present, k)
-            df = settle(df) if settle_between else df
     return df
 
 

@@ -33,7 +33,7 @@ LEAF_ROWS = 8_192
 MAX_LEAVES = 65_536
 SAMPLE_CELLS = 4_000_000
 QUERY_CHUNK = 16_384
-BLOCK_CELLS = 2_000_000
+BLOCK_CELLS = 250_000
 
 
 def knn_join(
@@ -56,13 +56,16 @@ def knn_join(
     must have; its value is returned as ``value``. ``carry``: base columns to return. Result:
     ``query, need, neighbour, distance, value, rank`` and the carried columns.
     """
-    vector = _vector(queries, cols)
     group = F.concat_ws("|", F.lit("g"), *(col(c).cast("string") for c in within))
     wanted = F.lit(-1) if need is None else col(need).cast("int")
-    left = queries.select(col(key).alias("query"), wanted.alias("need"), group.alias("g"), vector.alias("x"))
+    # The base is read several times below, so it is computed once.
     right = settle(
         base.select(col(key).alias("neighbour"), group.alias("g"), _vector(base, cols).alias("x"), *(col(c) for c in carry))
     )
+    if queries is base and need is None:
+        left = right.select(F.col("neighbour").alias("query"), wanted.alias("need"), "g", "x")
+    else:
+        left = queries.select(col(key).alias("query"), wanted.alias("need"), group.alias("g"), _vector(queries, cols).alias("x"))
     total = right.count()
     carried = [f for f in right.schema.fields if f.name in carry]
     width = (right.select(F.size("x")).first() or [1])[0] if len(cols) == 1 else len(cols)
@@ -90,8 +93,9 @@ def _vector(df: DataFrame, cols: Sequence[str]):
 
     def known(v):
         v = v.cast("double")
-        # Adding 0.0 turns -0.0 into 0.0, so that equal points are equal arrays.
-        return F.when(~F.isnan(v), v + 0.0)
+        # Infinite values have no distance either. Adding 0.0 turns -0.0 into 0.0, so that equal
+        # points are equal arrays.
+        return F.when(F.abs(v) < float("inf"), v + 0.0)
 
     if len(cols) == 1 and isinstance(df.schema[cols[0]].dataType, T.ArrayType):
         return F.transform(col(cols[0]), known).cast("array<double>")
@@ -106,67 +110,125 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 
 def distances(q: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """All distances between two blocks, added up column by column; inf where nothing is shared."""
+    """Distance of each row of ``q`` to the same row of ``b``, added up column by column."""
     n = q.shape[1]
-    total = np.zeros((len(q), len(b)))
-    gaps = np.isnan(q).any() or np.isnan(b).any()
-    shared = np.zeros((len(q), len(b)), dtype="i4") if gaps else None
+    total = np.zeros(len(q))
+    shared = np.zeros(len(q), dtype="i4")
     for j in range(n):
-        diff = q[:, j, None] - b[None, :, j]
-        if gaps:
-            known = ~np.isnan(diff)
-            diff[~known] = 0.0
-            shared += known
-        diff *= diff
-        total += diff
-    if gaps:
-        with np.errstate(divide="ignore", invalid="ignore"):
-            total = np.where(shared == n, total, total / shared * n)
-        total[shared == 0] = np.inf
+        diff = q[:, j] - b[:, j]
+        known = ~np.isnan(diff)
+        total += np.where(known, diff * diff, 0.0)
+        shared += known
+    with np.errstate(divide="ignore", invalid="ignore"):
+        total = np.where(shared == n, total, total / shared * n)
+    total[shared == 0] = np.inf
     return np.sqrt(total)
 
 
-def _nearest(dist: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query position, base position) of the k smallest per row; base positions are in key order."""
-    if dist.shape[1] > k:
-        bound = np.partition(dist, k - 1, axis=1)[:, k - 1 : k]
-        rows, hits = np.nonzero((dist <= bound) & np.isfinite(dist))
+class _Block:
+    """Base rows prepared for the squared-distance estimate ``q.q + b.b - 2 q.b``.
+
+    Missing cells are 0 in the products, and 0/1 masks pick the shared columns.
+    """
+
+    def __init__(self, x: np.ndarray):
+        self.x = x
+        known = ~np.isnan(x)
+        filled = np.where(known, x, 0.0)
+        rows = known.sum(axis=0)
+        # Centred values keep the products small.
+        self.centre = filled.sum(axis=0) / np.maximum(rows, 1)
+        self.gaps = not known.all()
+        self.values = np.where(known, x - self.centre, 0.0)
+        self.squares = self.values * self.values
+        self.mask = known.astype("f8") if self.gaps else None
+        self.norm = self.squares.sum(axis=1)
+
+    def estimate(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Estimated squared distances, and per query how far an estimate may be off."""
+        n = q.shape[1]
+        known = ~np.isnan(q)
+        values = np.where(known, q - self.centre, 0.0)
+        squares = values * values
+        norm = squares.sum(axis=1)
+        if self.gaps or not known.all():
+            mask = known.astype("f8")
+            base_mask = self.mask if self.gaps else np.ones_like(self.values)
+            out = squares @ base_mask.T
+            out += mask @ self.squares.T
+            out -= 2.0 * (values @ self.values.T)
+            shared = mask @ base_mask.T
+            with np.errstate(divide="ignore", invalid="ignore"):
+                out *= n / shared
+            out[shared == 0] = np.inf
+            scale = float(n)
+        else:
+            out = values @ (-2.0 * self.values.T)
+            out += self.norm[None, :]
+            out += norm[:, None]
+            scale = 1.0
+        # Rounding of sums of n products, with a wide safety factor.
+        slack = 1e-14 * (n + 8) * scale * (norm + self.norm.max(initial=0.0))
+        return out, slack
+
+
+def _nearest(block: _Block, at: np.ndarray | None, q: np.ndarray, own: np.ndarray, k: int):
+    """(query position, base position, distance) of the k nearest, ties to the lower base position.
+
+    The estimate only proposes rows: everything that could be among the k nearest within its
+    error is measured exactly. ``own`` is each query's own base position, or -1. ``at`` limits
+    the base rows.
+    """
+    guess, slack = block.estimate(q)
+    mine = np.flatnonzero(own >= 0)
+    guess[mine, own[mine]] = np.inf
+    if at is not None:
+        guess[:, ~at] = np.inf
+    if guess.shape[1] > k:
+        bound = np.partition(guess, k - 1, axis=1)[:, k - 1] + 2.0 * slack
+        proposed = guess <= bound[:, None]
+        proposed &= np.isfinite(guess)
     else:
-        rows, hits = np.nonzero(np.isfinite(dist))
-    order = np.lexsort((hits, dist[rows, hits], rows))
-    rows, hits = rows[order], hits[order]
-    starts = np.searchsorted(rows, rows)
-    keep = np.arange(len(rows)) - starts < k
-    return rows[keep], hits[keep]
+        proposed = np.isfinite(guess)
+    rows, hits = np.nonzero(proposed)
+    dist = distances(q[rows], block.x[hits])
+    order = np.lexsort((hits, dist, rows))
+    rows, hits, dist = rows[order], hits[order], dist[order]
+    keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[keep], hits[keep], dist[keep]
 
 
-def _search_block(queries: pd.DataFrame, base: pd.DataFrame, base_x: np.ndarray, k: int, exclude_self: bool, names):
+def _search_block(queries: pd.DataFrame, base: pd.DataFrame, block: _Block, k: int, exclude_self: bool, names):
     """Neighbours of the queries in one block; ``base`` is sorted by key and free of surplus copies."""
-    parts = []
+    keys = base["neighbour"].to_numpy()
+    step = max(1, BLOCK_CELLS // len(base))
+    asked_rows, base_rows, gaps = [], [], []
     for need, some in queries.groupby("need", sort=True):
-        usable = np.arange(len(base)) if need < 0 else np.flatnonzero(~np.isnan(base_x[:, need]))
-        if not len(usable):
+        at = None if need < 0 else ~np.isnan(block.x[:, need])
+        if at is not None and not at.any():
             continue
-        bx = base_x[usable]
-        bkeys = base["neighbour"].to_numpy()[usable]
-        step = max(1, BLOCK_CELLS // len(usable))
-        for at in range(0, len(some), step):
-            block = some.iloc[at : at + step]
-            qx = _matrix(block["x"])
-            dist = distances(qx, bx)
-            if exclude_self:
-                keys = block["query"].to_numpy()
-                spot = np.minimum(np.searchsorted(bkeys, keys), len(bkeys) - 1)
-                own = np.flatnonzero(bkeys[spot] == keys)
-                dist[own, spot[own]] = np.inf
-            rows, hits = _nearest(dist, k)
-            picked = base.iloc[usable[hits]].reset_index(drop=True)
-            picked["query"] = block["query"].to_numpy()[rows]
-            picked["need"] = np.int32(need)
-            picked["distance"] = dist[rows, hits]
-            picked["value"] = bx[hits, need] if need >= 0 else np.nan
-            parts.append(picked[names])
-    return parts
+        if at is not None and at.all():
+            at = None
+        asked, x, spots = some["query"].to_numpy(), _matrix(some["x"]), some.index.to_numpy()
+        own = np.full(len(some), -1)
+        if exclude_self:
+            near = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+            own = np.where(keys[near] == asked, near, -1)
+        for i in range(0, len(some), step):
+            found, hits, dist = _nearest(block, at, x[i : i + step], own[i : i + step], k)
+            asked_rows.append(spots[i + found])
+            base_rows.append(hits)
+            gaps.append(dist)
+    if not asked_rows:
+        return None
+    asked_at, hits = np.concatenate(asked_rows), np.concatenate(base_rows)
+    out = base.iloc[hits].reset_index(drop=True)
+    matched = queries.loc[asked_at, ["query", "need"]]
+    out["query"], out["need"] = matched["query"].to_numpy(), matched["need"].to_numpy()
+    out["distance"] = np.concatenate(gaps)
+    column = out["need"].to_numpy()
+    out["value"] = np.where(column >= 0, block.x[hits, np.maximum(column, 0)], np.nan)
+    return out[names]
 
 
 def _slim(base: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -184,15 +246,17 @@ def _against_broadcast(left: DataFrame, right: DataFrame, k: int, exclude_self:
     spark = left.sparkSession
     rows = _slim(right.toPandas(), k)
     blocks = {g: some.reset_index(drop=True) for g, some in rows.groupby("g")}
-    shared = spark.sparkContext.broadcast({g: (b, _matrix(b["x"])) for g, b in blocks.items()})
+    shared = spark.sparkContext.broadcast({g: (b.drop(columns="x"), _Block(_matrix(b["x"]))) for g, b in blocks.items()})
     names = out.fieldNames()
 
     def search(batches):
         for batch in batches:
             for g, some in batch.groupby("g"):
                 if g in shared.value:
-                    base, base_x = shared.value[g]
-                    yield from _search_block(some, base, base_x, k, exclude_self, names)
+                    base, block = shared.value[g]
+                    found = _search_block(some, base, block, k, exclude_self, names)
+                    if found is not None:
+                        yield found
 
     # Searching costs far more than moving a row, so queries are spread over all cores.
     return left.repartition(parallelism(spark), "query").mapInPandas(search, out)
@@ -325,10 +389,10 @@ def _visit(visits: DataFrame, placed: DataFrame, k: int, exclude_self: bool, out
 
     def search(queries: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
         base = base.sort_values("neighbour", kind="stable").reset_index(drop=True)
-        found = []
+        found = None
         if len(queries) and len(base):
-            found = _search_block(queries, base, _matrix(base["x"]), k, exclude_self, names)
-        return pd.concat(found) if found else pd.DataFrame({n: [] for n in names})
+            found = _search_block(queries, base, _Block(_matrix(base["x"])), k, exclude_self, names)
+        return pd.DataFrame({n: [] for n in names}) if found is None else found
 
     keys = ["leaf", "part"]
     return asked.drop("parts").groupBy(*keys).cogroup(copies.drop("parts").groupBy(*keys)).applyInPandas(search, out)

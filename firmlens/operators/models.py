@@ -11,7 +11,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, Transformer
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -70,13 +70,14 @@ def tweedie(link: str = "auto", alpha: float = 1.0) -> GeneralizedLinearRegressi
 
 
 def linear_clf(loss: str = "log", c: float = 1.0) -> Estimator:
-    """Linear classifier with logistic, hinge or squared loss; ``c`` is the inverse penalty."""
+    """Linear classifier with logistic, hinge or squared loss; the penalty is 0.001 / ``c``."""
+    penalty = 1e-3 / c
     if loss == "log":
-        return LogisticRegression(family="multinomial", regParam=1.0 / c * 1e-3, elasticNetParam=0.0)
+        return LogisticRegression(family="multinomial", regParam=penalty, elasticNetParam=0.0, maxIter=50)
     if loss == "hinge":
-        return OneVsRest(classifier=LinearSVC(regParam=1.0 / c * 1e-3, maxIter=50))
+        return OneVsRest(classifier=LinearSVC(regParam=penalty, maxIter=25), parallelism=3)
     if loss == "squared":
-        return LeastSquaresClassifier(alpha=1.0 / c * 1e-3)
+        return LeastSquaresClassifier(alpha=penalty)
     raise ValueError(f"unknown loss {loss!r}")
 
 
@@ -105,7 +106,7 @@ class HighestOutput(Model):
         out = df
         for m in self.fits:
             out = m.transform(out)
-        best = F.array(*(F.struct(F.col(f"__out{i}"), F.lit(-float(c)).alias("c")) for i, c in enumerate(self.classes)))
+        best = F.array(*(F.struct(F.col(f"__out{i}").alias("out"), F.lit(-float(c)).alias("c")) for i, c in enumerate(self.classes)))
         return out.select(*df.columns, (-F.array_max(best)["c"]).alias("prediction"))
 
 
@@ -139,21 +140,48 @@ class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultPa
         return df.withColumn(self.getOutputCol(), array_to_vector(project(vector_to_array(self.getInputCol()))))
 
 
-def svm(task: str, kernel: str = "rbf", c: float = 1.0, gamma: float = 0.0, n_features: int = 64, seed: int = 42) -> Pipeline:
-    """Support vectors: hinge loss for classes, Huber loss for regression, on standardised inputs;
-    the RBF kernel goes through random Fourier features."""
-    stages = [StandardScaler(inputCol="features", outputCol="scaled", withMean=True)]
-    inputs = "scaled"
-    if kernel == "rbf":
-        stages.append(FourierFeatures(inputCol="scaled", outputCol="fourier", gamma=gamma, nFeatures=n_features, seed=seed))
-        inputs = "fourier"
-    penalty = 1e-3 / c
-    if task == "regression":
-        stages.append(LinearRegression(featuresCol=inputs, loss="huber", regParam=penalty, maxIter=50))
-    else:
-        inner = LinearSVC(featuresCol=inputs, regParam=penalty, maxIter=50)
-        stages.append(OneVsRest(featuresCol=inputs, classifier=inner))
-    return Pipeline(stages=stages)
+class SupportVectors(Estimator):
+    """Standardise, lift with Fourier features if asked, then fit a linear margin.
+
+    The lifted rows are kept in memory during the fit: the solver passes over them many times and
+    must not project them anew each time.
+    """
+
+    def __init__(self, task: str, kernel: str, c: float, gamma: float, n_features: int, seed: int):
+        super().__init__()
+        self.task, self.kernel, self.c, self.gamma = task, kernel, c, gamma
+        self.n_features, self.seed = n_features, seed
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(df)
+        stages, inputs = [scaler], "scaled"
+        if self.kernel == "rbf":
+            lift = FourierFeatures(
+                inputCol="scaled", outputCol="fourier", gamma=self.gamma, nFeatures=self.n_features, seed=self.seed
+            )
+            stages.append(lift)
+            inputs = "fourier"
+        rows = df
+        for stage in stages:
+            rows = stage.transform(rows)
+        rows = rows.select(inputs, "label").persist()
+        penalty = 1e-3 / self.c
+        if self.task == "regression":
+            last = LinearRegression(featuresCol=inputs, loss="huber", regParam=penalty, maxIter=50)
+        else:
+            inner = LinearSVC(featuresCol=inputs, regParam=penalty, maxIter=25, standardization=False)
+            last = OneVsRest(featuresCol=inputs, classifier=inner, parallelism=3)
+        stages.append(last.fit(rows))
+        rows.unpersist()
+        return PipelineModel(stages)
+
+
+def svm(
+    task: str, kernel: str = "rbf", c: float = 1.0, gamma: float = 0.0, n_features: int = 64, seed: int = 42
+) -> SupportVectors:
+    """Support vectors: hinge loss for classes, Huber loss for regression; the RBF kernel goes
+    through random Fourier features. The penalty is 0.001 / ``c``."""
+    return SupportVectors(task, kernel, c, gamma, n_features, seed)
 
 
 # ---- trees ---------------------------------------------------------------------------------------

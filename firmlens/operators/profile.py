@@ -75,22 +75,20 @@ def missing_min(df: DataFrame, name: str) -> DataFrame:
 def describe(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std, min, quartiles and max of numeric columns, one row per column."""
     names = list(names or cols_of(df, "numeric"))
-    quartiles = exact_quantiles(df, names, [0.25, 0.5, 0.75])
+    kept = df.select(*(col(c) for c in names)).persist()
+    quartiles = exact_quantiles(kept, names, [0.25, 0.5, 0.75])
     stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    wide = df.agg(
+    wide = kept.agg(
         *(
             fn(col(c)).cast("long" if s == "count" else "double").alias(f"{s}__{i}")
             for i, c in enumerate(names)
             for s, fn in stats.items()
         )
-    )
-    entries = []
-    for i, c in enumerate(names):
-        q = [F.lit(v).cast("double").alias(n) for n, v in zip(("q1", "median", "q3"), quartiles[c])]
-        entries.append(
-            F.struct(F.lit(c).alias("variable"), *(F.col(f"{s}__{i}").alias(s) for s in stats), *q)
-        )
-    return wide.select(F.inline(F.array(*entries)))
+    ).first()
+    kept.unpersist()
+    rows = [(c, *(wide[f"{s}__{i}"] for s in stats), *quartiles[c]) for i, c in enumerate(names)]
+    schema = "variable string, count long, mean double, std double, min double, max double, q1 double, median double, q3 double"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def table_shape(df: DataFrame, key: str) -> DataFrame:

@@ -86,7 +86,9 @@ def assemble(df: DataFrame, names: Sequence[str], target: str, *keep: str) -> Da
 
 def importances(df: DataFrame, target: str, names: Sequence[str], task: str, trees: int = 100, seed: int = 42) -> dict[str, float]:
     """Random forest importance per column."""
-    model = models.forest(task, n=trees, seed=seed).fit(assemble(df, names, target))
+    rows = assemble(df, names, target).persist()
+    model = models.forest(task, n=trees, seed=seed).fit(rows)
+    rows.unpersist()
     return dict(zip(names, (float(v) for v in model.featureImportances.toArray())))
 
 
@@ -115,19 +117,24 @@ def rfe(
 
 def base_score(df: DataFrame, names: Sequence[str], target: str, key: str, task: str, trees: int = 100, seed: int = 42) -> float:
     """R2 or accuracy of a plain forest on a 30 % hold-out."""
-    train, test = split(assemble(df, names, target, key), key, 0.3, seed)
+    rows = assemble(df, names, target, key).persist()
+    train, test = split(rows, key, 0.3, seed)
     fitted = models.forest(task, n=trees, seed=seed).fit(train)
-    return models.evaluator(task).evaluate(fitted.transform(test))
+    score = models.evaluator(task).evaluate(fitted.transform(test))
+    rows.unpersist()
+    return score
 
 
 def best_feature_set(
     df: DataFrame, sets: Mapping[str, Sequence[str]], target: str, key: str, task: str, trees: int = 100, seed: int = 42
 ) -> DataFrame:
     """Base score of every candidate set (the target is never among the features), best first."""
+    used = df.select(key, target, *dict.fromkeys(c for cs in sets.values() for c in cs if c != target)).persist()
     rows = [
-        (name, len(cols), base_score(df, cols, target, key, task, trees, seed))
+        (name, len(cols), base_score(used, cols, target, key, task, trees, seed))
         for name, cols in ((n, [c for c in cs if c != target]) for n, cs in sets.items())
     ]
+    used.unpersist()
     out = df.sparkSession.createDataFrame(rows, "candidate string, n_features int, score double")
     return out.orderBy(F.desc("score"), "candidate")
 
@@ -140,7 +147,9 @@ def best_scaling(
     df: DataFrame, names: Sequence[str], target: str, key: str, task: str, trees: int = 100, seed: int = 42
 ) -> DataFrame:
     """Base score of the raw, standardised and min-max scaled table, best first."""
-    rows = [(kind, base_score(d, names, target, key, task, trees, seed)) for kind, d in scalings(df, names).items()]
+    used = df.select(key, target, *names).persist()
+    rows = [(kind, base_score(d, names, target, key, task, trees, seed)) for kind, d in scalings(used, names).items()]
+    used.unpersist()
     out = df.sparkSession.createDataFrame(rows, "scaling string, score double")
     return out.orderBy(F.desc("score"), "scaling")
 
@@ -163,8 +172,10 @@ def leaderboard(
     jobs = []
     held = []
     for name, (df, names) in tables.items():
-        for kind, scaled in scalings(df, names).items():
-            train, test = split(scaled.select(key, target, *names).dropna(), key, 0.2 if task == "regression" else 0.3, seed)
+        used = df.select(key, target, *names).dropna().persist()
+        held.append(used)
+        for kind, scaled in scalings(used, names).items():
+            train, test = split(scaled, key, 0.2 if task == "regression" else 0.3, seed)
             train = train if prepare is None else prepare(train, names)
             train = assemble(train, names, target, key).persist()
             test = assemble(test, names, target, key).persist()

@@ -21,6 +21,7 @@ from firmlens.plans.views import (
     prepared,
     statements,
 )
+from firmlens.session import settle
 
 AS_OF = dt.datetime(2002, 6, 30, 12, 0, 0)
 
@@ -295,7 +296,8 @@ cte(
 
 @query("free_cash_flow", oracle("SELECT company_id, year, capex, current_change, free_cash_flow FROM fcf", "fcf"))
 def free_cash_flow(spark, d):
-    df = M.free_cash_flow(prepared(spark, d), LATER, EARLIER)
+    # Written once: the change between the years is joined back to the same rows.
+    df = M.free_cash_flow(settle(prepared(spark, d)), LATER, EARLIER)
     return df.select("company_id", "year", "capex", "current_change", "free_cash_flow")
 
 
@@ -305,7 +307,7 @@ CHANGE = ("sales", "ebitda", "total_assets", "ratio_debt_assets", "ratio_acid_te
 @query("cash_flow_change", oracle(fuse_sql("fcf", CHANGE, kind="pct"), "fcf"))
 def cash_flow_change(spark, d):
     """Free cash flow and the two-year change of every company."""
-    df = prepared(spark, d).transform(M.add_ratios).transform(M.free_cash_flow, LATER, EARLIER)
+    df = settle(prepared(spark, d)).transform(M.add_ratios).transform(M.free_cash_flow, LATER, EARLIER)
     df = df.select("company_id", "year", *CHANGE)
     return fusion.fuse_years_pct(df, "company_id", "year", LATER, EARLIER)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
@@ -26,14 +24,16 @@ from firmlens.plans.views import (
     prepared,
     table,
 )
-from firmlens.session import scratch_path
+from firmlens.session import scratch_path, settle
 from firmlens.sources.models import load_model, save_model
 
-NUMBERS = (*FEATURES, "total_funding")
+# The collection period of the bound tables is constant up to rounding, hence no feature.
+STATEMENT_SET = tuple(c for c in FEATURES if c != "ratio_collection_days")
+NUMBERS = (*STATEMENT_SET, "total_funding")
 SMALL_SET = ("sales", "debt", "inventory", "total_funding", "ratio_acid_test")
 SETS = {
     "all": NUMBERS,
-    "ratios": tuple(c for c in FEATURES if c.startswith("ratio")),
+    "ratios": tuple(c for c in STATEMENT_SET if c.startswith("ratio")),
     "balance": ("fixed_assets", "current_assets", "equity", "current_liab", "noncurrent_liab"),
 }
 
@@ -85,6 +85,9 @@ def nearest_companies(spark, d):
 # ---- class balance -------------------------------------------------------------------------------
 
 
+cte("mtc", f"SELECT * FROM mt WHERE {' AND '.join(f'{c} IS NOT NULL' for c in SMALL_SET)}", "mt")
+
+
 def labelled(spark, d) -> DataFrame:
     return model_table(spark, d).select("company_id", "acq_class", *SMALL_SET).dropna()
 
@@ -113,10 +116,10 @@ def edited_neighbours(spark, d):
     oracle(
         "p AS (SELECT a.company_id AS query, b.company_id AS neighbour, a.acq_class AS own, b.acq_class AS other, "
         + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in SMALL_SET)
-        + " AS total FROM mt a JOIN mt b ON a.company_id <> b.company_id), "
+        + " AS total FROM mtc a JOIN mtc b ON a.company_id <> b.company_id), "
         "n AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY sqrt(total), neighbour) AS rank FROM p QUALIFY rank <= 3) "
-        "SELECT company_id, acq_class FROM mt JOIN (SELECT query FROM n GROUP BY query HAVING bool_and(own = other)) ON query = company_id",
-        "mt",
+        "SELECT company_id, acq_class FROM mtc JOIN (SELECT query FROM n GROUP BY query HAVING bool_and(own = other)) ON query = company_id",
+        "mtc",
     ),
 )
 def edited_companies(spark, d):
@@ -140,13 +143,13 @@ def tomek_links(spark, d):
     "select_by_corr",
     oracle(
         "c AS ("
-        + " UNION ALL ".join(f"SELECT '{c}' AS variable, corr({c}, valuation) AS corr FROM mt" for c in NUMBERS)
+        + " UNION ALL ".join(f"SELECT '{c}' AS variable, corr({c}, valuation) AS corr FROM mt" for c in STATEMENT_SET)
         + ") SELECT variable, round(corr, 8) AS corr FROM c WHERE abs(corr) > 0.04",
         "mt",
     ),
 )
 def select_by_corr(spark, d):
-    found = profile.corr_with(model_table(spark, d), "valuation", NUMBERS)
+    found = profile.corr_with(model_table(spark, d), "valuation", STATEMENT_SET)
     return rounded(found.where(F.abs("corr") > selection.CORR_THRESHOLDS["class"]), 8, "corr")
 
 
@@ -156,7 +159,7 @@ def select_by_corr(spark, d):
         "c AS ("
         + " UNION ALL ".join(
             f"SELECT '{c}' AS variable, corr({c}, valuation) AS r, count(*) FILTER ({c} IS NOT NULL AND valuation IS NOT NULL) AS n FROM mt"
-            for c in NUMBERS
+            for c in STATEMENT_SET
         )
         + "), f AS (SELECT variable, n, r * r / nullif(1 - r * r, 0) * (n - 2) AS f FROM c) "
         "SELECT variable, n, round(f, 5) AS f FROM f ORDER BY f.f DESC, variable LIMIT 20",
@@ -164,7 +167,7 @@ def select_by_corr(spark, d):
     ),
 )
 def f_regression(spark, d):
-    return rounded(selection.f_regression(model_table(spark, d), "valuation", NUMBERS), 5, "f")
+    return rounded(selection.f_regression(model_table(spark, d), "valuation", STATEMENT_SET), 5, "f")
 
 
 @query(
@@ -251,31 +254,35 @@ def class_leaderboard(spark, d):
 # ---- models --------------------------------------------------------------------------------------
 
 
-def regression_parts(spark, d, names=SMALL_SET):
-    """Train and test rows for the valuation, features on the log scale."""
+def regression_rows(spark, d, names=SMALL_SET) -> DataFrame:
+    """Features on the log scale and the valuation as label."""
     df = M.log1p_all(model_table(spark, d), names).where(F.col("valuation") > 0)
-    return split(selection.assemble(df, names, "valuation", "company_id").persist(), "company_id", 0.2)
+    return selection.assemble(df, names, "valuation", "company_id")
 
 
-def class_parts(spark, d, names=SMALL_SET):
-    return split(selection.assemble(model_table(spark, d), names, "acq_class", "company_id").persist(), "company_id", 0.3)
+def class_rows(spark, d, names=SMALL_SET) -> DataFrame:
+    return selection.assemble(model_table(spark, d), names, "acq_class", "company_id")
 
 
 def _scores(spark, d, task: str, candidates: dict) -> DataFrame:
-    """One row (or report) per estimator, the valuation through a Box-Cox transform of the label."""
+    """The score rows of every estimator; the valuation goes through a Box-Cox transform."""
+    rows = (regression_rows if task == "regression" else class_rows)(spark, d).persist()
+    train, test = split(rows, "company_id", 0.2 if task == "regression" else 0.3)
     if task == "regression":
-        train, test = regression_parts(spark, d)
         lam = M.boxcox_fit(train, "label")
-        parts = [
-            models.fit_score_reg(est, train, test, lambda c: M.boxcox(c, lam), lambda c: M.inv_boxcox(c, lam)).withColumn(
-                "model", F.lit(name)
-            )
-            for name, est in candidates.items()
-        ]
+
+        def judge(est):
+            return models.fit_score_reg(est, train, test, lambda c: M.boxcox(c, lam), lambda c: M.inv_boxcox(c, lam))
+
     else:
-        train, test = class_parts(spark, d)
-        parts = [models.fit_score_clf(est, train, test).withColumn("model", F.lit(name)) for name, est in candidates.items()]
-    return reduce(DataFrame.unionByName, parts)
+
+        def judge(est):
+            return models.fit_score_clf(est, train, test)
+
+    boards = [judge(est).withColumn("model", F.lit(name)) for name, est in candidates.items()]
+    scores = [tuple(r) for b in boards for r in b.collect()]
+    rows.unpersist()
+    return spark.createDataFrame(scores, boards[0].schema)
 
 
 @query(
@@ -297,11 +304,10 @@ def ols_one_feature(spark, d):
 
 @query("linear_regressors")
 def linear_regressors(spark, d):
-    train, _ = regression_parts(spark, d)
     candidates = {
         "linear": models.linear(),
         "lasso": models.linear(0.5, 1.0),
-        "ridge": models.ridge(0.5, train.count()),
+        "ridge": models.ridge(0.5, regression_rows(spark, d).count()),
         "elastic_net": models.linear(1.0, 0.5),
     }
     return _scores(spark, d, "regression", candidates)
@@ -371,8 +377,8 @@ def naive_bayes(spark, d):
 
 cte(
     "sp",
-    "SELECT *, CAST('0x' || substr(md5('42|' || company_id::VARCHAR), 1, 8) AS BIGINT) % 100 < 20 AS is_test FROM mt",
-    "mt",
+    "SELECT *, CAST('0x' || substr(md5('42|' || company_id::VARCHAR), 1, 8) AS BIGINT) % 100 < 20 AS is_test FROM mtc",
+    "mtc",
 )
 _PAIR = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in SMALL_SET)
 _KNN_SQL = (
@@ -395,7 +401,7 @@ def _knn_sql(k: int, known: str) -> str:
     ),
 )
 def knn_regression(spark, d):
-    train, test = split(model_table(spark, d), "company_id", 0.2)
+    train, test = split(settle(model_table(spark, d).dropna(subset=list(SMALL_SET))), "company_id", 0.2)
     train = train.where(F.col("valuation").isNotNull())
     out = models.knn_predict(train, test, 7, SMALL_SET, "company_id", "valuation", "regression", "distance")
     return rounded(out, 4, "prediction")
@@ -411,13 +417,13 @@ def knn_regression(spark, d):
     ),
 )
 def knn_classification(spark, d):
-    train, test = split(model_table(spark, d), "company_id", 0.2)
+    train, test = split(settle(model_table(spark, d).dropna(subset=list(SMALL_SET))), "company_id", 0.2)
     return models.knn_predict(train, test, 5, SMALL_SET, "company_id", "acq_class", "class")
 
 
 @query("grid_search_tree")
 def grid_search_tree(spark, d):
-    train, _ = regression_parts(spark, d)
+    train, _ = split(regression_rows(spark, d), "company_id", 0.2)
     board, _ = tuning.grid_search(
         train, lambda **p: models.tree("regression", **p), {"max_depth": [3, 5], "min_split": [2, 10]}, "regression", k=3
     )
@@ -426,7 +432,7 @@ def grid_search_tree(spark, d):
 
 @query("grid_search_neighbours")
 def grid_search_neighbours(spark, d):
-    train, _ = class_parts(spark, d)
+    train, _ = split(class_rows(spark, d), "company_id", 0.3)
     board, _ = tuning.grid_search(
         train, lambda **p: models.Neighbours("class", **p), {"k": [3, 7], "weights": ["uniform", "distance"]}, "class", k=2
     )
@@ -435,7 +441,7 @@ def grid_search_neighbours(spark, d):
 
 @query("random_search_forest")
 def random_search_forest(spark, d):
-    train, _ = class_parts(spark, d)
+    train, _ = split(class_rows(spark, d), "company_id", 0.3)
     space = {"n": ("int", 5, 20, 1), "max_depth": ("int", 2, 6, 1), "min_leaf": ("int", 1, 9, 1)}
     board, _ = tuning.random_search(train, lambda **p: models.forest("class", **p), space, 4, "class", k=3)
     return board
@@ -445,7 +451,7 @@ def random_search_forest(spark, d):
 def saved_model(spark, d):
     """Predictions of a pipeline that was written and read back, next to those of the original."""
     names = ["sales", "debt", "total_funding"]
-    train, test = split(model_table(spark, d).dropna(subset=["valuation"]), "company_id", 0.2)
+    train, test = split(settle(model_table(spark, d).dropna(subset=["valuation"])), "company_id", 0.2)
     stages = [VectorAssembler(inputCols=names, outputCol="features"), models.linear().setLabelCol("valuation")]
     fitted = Pipeline(stages=stages).fit(train)
     path = scratch_path(spark, "model")
@@ -534,7 +540,7 @@ def present(df: DataFrame, features) -> list[str]:
 
 @query("score_valuation")
 def score_valuation(spark, d):
-    df = model_table(spark, d)
+    df = settle(model_table(spark, d))
     names = present(df, scoring.VALUATION_FEATURES)
     known = df.where(F.col("valuation") > 0).withColumn("valuation", F.ln("valuation"))
     rows = selection.assemble(scoring.valuation_inputs(known, names), names, "valuation")
@@ -543,7 +549,7 @@ def score_valuation(spark, d):
 
 @query("score_acquisition")
 def score_acquisition(spark, d):
-    df = model_table(spark, d)
+    df = settle(model_table(spark, d))
     names = present(df, scoring.ACQUISITION_FEATURES)
     rows = selection.assemble(M.nan_to_num(df, names), names, "acq_class")
     return scoring.score_acquisition(df, models.forest("class", n=10).fit(rows), names)
