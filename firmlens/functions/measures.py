@@ -116,7 +116,9 @@ def inv_boxcox(c: Column, lam: float) -> Column:
     return F.when(usable, F.pow(base, F.lit(1.0 / lam)))
 
 
-def boxcox_fit(df: DataFrame, name: str, low: float = -2.0, high: float = 2.0, steps: int = 41, rounds: int = 4) -> float:
+def boxcox_fit(
+    df: DataFrame, name: str, low: float = -2.0, high: float = 2.0, steps: int = 11, rounds: int = 6
+) -> float:
     """The exponent of highest likelihood. Each round scores a whole grid in one aggregate pass
     and narrows to the cells around the best point."""
     x = F.when(col(name) > 0, col(name).cast("double"))

@@ -56,18 +56,22 @@ def knn_join(
     must have; its value is returned as ``value``. ``carry``: base columns to return. Result:
     ``query, need, neighbour, distance, value, rank`` and the carried columns.
     """
+    taken = {"query", "need", "neighbour", "distance", "value", "rank"} & set(carry)
+    if taken:
+        raise ValueError(f"carried columns clash with result columns: {sorted(taken)}")
+    inner = {f"carry{i}": c for i, c in enumerate(carry)}
     group = F.concat_ws("|", F.lit("g"), *(col(c).cast("string") for c in within))
     wanted = F.lit(-1) if need is None else col(need).cast("int")
     # The base is read several times below, so it is computed once.
     right = settle(
-        base.select(col(key).alias("neighbour"), group.alias("g"), _vector(base, cols).alias("x"), *(col(c) for c in carry))
+        base.select(col(key).alias("neighbour"), group.alias("g"), _vector(base, cols).alias("x"), *(col(c).alias(i) for i, c in inner.items()))
     )
     if queries is base and need is None:
         left = right.select(F.col("neighbour").alias("query"), wanted.alias("need"), "g", "x")
     else:
         left = queries.select(col(key).alias("query"), wanted.alias("need"), group.alias("g"), _vector(queries, cols).alias("x"))
     total = right.count()
-    carried = [f for f in right.schema.fields if f.name in carry]
+    carried = [f for f in right.schema.fields if f.name in inner]
     width = (right.select(F.size("x")).first() or [1])[0] if len(cols) == 1 else len(cols)
     out = T.StructType(
         [
@@ -85,7 +89,8 @@ def knn_join(
         found = _against_leaves(left, right, total, width, k, exclude_self, out, leaf_rows)
     # At most k rows per query (and visited leaf) reach this window.
     order = Window.partitionBy("query", "need").orderBy("distance", "neighbour")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.withColumnsRenamed(inner)
 
 
 def _vector(df: DataFrame, cols: Sequence[str]):

@@ -374,7 +374,7 @@ def boxcox_fixed(spark, d):
 def boxcox_fit(spark, d):
     """The best exponent of a 41-point grid, so that a plain grid search can check it."""
     df = companies(spark, d)
-    lam = M.boxcox_fit(df, "valuation", rounds=1)
+    lam = M.boxcox_fit(df, "valuation", steps=41, rounds=1)
     return df.agg(F.round(F.max(F.lit(lam)), 6).alias("exponent"))
 
 

@@ -32,7 +32,9 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = orders.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end))
 
     def money(c) -> F.Column:
-        return c.cast("decimal(18,4)")
+        """Ten-thousandths as a whole number: sums are exact whatever their order, and the
+        decimal is made from a long, which is much cheaper than from a double."""
+        return F.rint(c * 10000).cast("long").cast("decimal(18,0)")
 
     price = F.col("l_extendedprice")
     new = F.col("l_returnflag") == "N"
@@ -51,7 +53,7 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(*(F.sum(v).alias(c) for c, v in sums.items()))
     )
     totals = per_order.groupBy("company_id", "year").agg(
-        *(F.sum(c).cast("double").alias(c) for c in sums),
+        *((F.sum(c).cast("double") / 10000.0).alias(c) for c in sums),
         F.count(F.lit(1)).cast("double").alias("orders"),
     )
 
