@@ -38,7 +38,9 @@ def whole_days(start: Column, end: Column) -> Column:
 
 def add_ages(df: DataFrame, as_of: dt.datetime, ages: dict[str, str]) -> DataFrame:
     """Age columns ``{new column: date column}`` in whole days at ``as_of``."""
-    return df.withColumns({new: whole_days(col(date), F.lit(as_of)) for new, date in ages.items()})
+    # As text, so that the date is read in the session's time zone like the columns.
+    now = F.lit(as_of.isoformat(" ")).cast("timestamp")
+    return df.withColumns({new: whole_days(col(date), now) for new, date in ages.items()})
 
 
 def year_values(df: DataFrame, key: str, year: str, slots: dict[str, tuple[int, Column]]) -> DataFrame:

@@ -124,7 +124,7 @@ def impute_by_model(
         fit_rows, test_rows = split(complete, key, 0.2, seed)
         args = dict(labelCol="__label", featuresCol="__features", predictionCol="__pred")
         forest = RandomForestClassifier(numTrees=trees, seed=seed, **args)
-        boosted = OneVsRest(classifier=GBTClassifier(maxIter=rounds, seed=seed, labelCol="__label", featuresCol="__features"), **args)
+        boosted = OneVsRest(classifier=GBTClassifier(maxIter=rounds, seed=seed, labelCol="__label", featuresCol="__features"), parallelism=4, **args)
         judge = MulticlassClassificationEvaluator(labelCol="__label", predictionCol="__pred", metricName="accuracy")
         scores = [judge.evaluate(est.fit(fit_rows).transform(test_rows)) for est in (forest, boosted)]
         best = forest if scores[0] >= scores[1] else boosted

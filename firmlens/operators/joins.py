@@ -22,10 +22,17 @@ def join_statements(
 def join_company(legal: DataFrame, funding: DataFrame, facts: DataFrame, key: str = "company_id") -> DataFrame:
     """Legal and funding tables one to one, then all yearly facts, nothing lost on any side.
 
-    A full outer join is hash-partitioned on the key on both sides; the second join reuses the
-    first one's partitioning, so only the facts are shuffled for it.
+    The second full outer join is written as its two parts, facts with their company and companies
+    without facts: a company with a great share of the facts can then be split over several tasks
+    (adaptive skew join), which Spark cannot do for a full outer join.
     """
-    return join_statements(join_statements(legal, funding, [key]), facts, [key])
+    firms = join_statements(legal, funding, [key])
+    shared = [c for c in firms.columns if c in facts.columns and c != key]
+    firms = firms.withColumnsRenamed({c: f"{c}_x" for c in shared})
+    facts = facts.withColumnsRenamed({c: f"{c}_y" for c in shared})
+    with_facts = facts.join(firms, key, "left").select(*firms.columns, *(c for c in facts.columns if c != key))
+    without = firms.join(facts.select(key).distinct(), key, "left_anti")
+    return with_facts.unionByName(without, allowMissingColumns=True)
 
 
 def attach_by_key(df: DataFrame, other: DataFrame, key: str | Sequence[str], names: Sequence[str]) -> DataFrame:

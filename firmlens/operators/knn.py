@@ -33,6 +33,7 @@ LEAF_ROWS = 8_192
 MAX_LEAVES = 65_536
 SAMPLE_CELLS = 4_000_000
 QUERY_CHUNK = 16_384
+PAIRS_PER_TASK = 20_000_000
 BLOCK_CELLS = 250_000
 
 
@@ -66,7 +67,8 @@ def knn_join(
     right = settle(
         base.select(col(key).alias("neighbour"), group.alias("g"), _vector(base, cols).alias("x"), *(col(c).alias(i) for i, c in inner.items()))
     )
-    if queries is base and need is None:
+    same = queries is base and need is None
+    if same:
         left = right.select(F.col("neighbour").alias("query"), wanted.alias("need"), "g", "x")
     else:
         left = queries.select(col(key).alias("query"), wanted.alias("need"), group.alias("g"), _vector(queries, cols).alias("x"))
@@ -84,7 +86,7 @@ def knn_join(
         ]
     )
     if total <= small_rows and total * width <= SMALL_CELLS:
-        found = _against_broadcast(left, right, k, exclude_self, out)
+        found = _against_broadcast(left, right, k, exclude_self, out, same)
     else:
         found = _against_leaves(left, right, total, width, k, exclude_self, out, leaf_rows)
     # At most k rows per query (and visited leaf) reach this window.
@@ -247,9 +249,13 @@ def _slim(base: pd.DataFrame, k: int) -> pd.DataFrame:
 # ---- small base ---------------------------------------------------------------------------------
 
 
-def _against_broadcast(left: DataFrame, right: DataFrame, k: int, exclude_self: bool, out: T.StructType) -> DataFrame:
+def _against_broadcast(
+    left: DataFrame, right: DataFrame, k: int, exclude_self: bool, out: T.StructType, same: bool
+) -> DataFrame:
     spark = left.sparkSession
-    rows = _slim(right.toPandas(), k)
+    rows = right.toPandas()
+    n_queries = len(rows) if same else left.count()
+    rows = _slim(rows, k)
     blocks = {g: some.reset_index(drop=True) for g, some in rows.groupby("g")}
     shared = spark.sparkContext.broadcast({g: (b.drop(columns="x"), _Block(_matrix(b["x"]))) for g, b in blocks.items()})
     names = out.fieldNames()
@@ -263,8 +269,9 @@ def _against_broadcast(left: DataFrame, right: DataFrame, k: int, exclude_self:
                     if found is not None:
                         yield found
 
-    # Searching costs far more than moving a row, so queries are spread over all cores.
-    return left.repartition(parallelism(spark), "query").mapInPandas(search, out)
+    # Searching costs far more than moving a row: tasks are sized by the pairs they look at.
+    tasks = min(-(-n_queries * len(rows) // PAIRS_PER_TASK), max(parallelism(spark), n_queries // 50_000))
+    return left.repartition(max(tasks, 1), "query").mapInPandas(search, out)
 
 
 # ---- big base -----------------------------------------------------------------------------------
@@ -308,7 +315,7 @@ def _against_leaves(left, right, total, width, k, exclude_self, out, leaf_rows)
     copies = Window.partitionBy("g", "x").orderBy("neighbour")
     slim = right.withColumn("__copy", F.row_number().over(copies)).where(F.col("__copy") <= k + 1).drop("__copy")
     # The missing-cell pattern is constant in a leaf, hence the set of shared columns as well.
-    slim = slim.withColumn("p", F.concat_ws("", F.transform("x", lambda v: F.when(v.isNull(), "0").otherwise("1"))))
+    slim = settle(slim.withColumn("p", F.concat_ws("", F.transform("x", lambda v: F.when(v.isNull(), "0").otherwise("1")))))
     trees = _grow_trees(slim, total, width, leaf_rows)
     shared_trees = spark.sparkContext.broadcast(trees)
 

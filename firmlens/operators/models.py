@@ -53,14 +53,25 @@ def evaluator(task: str):
 # ---- linear --------------------------------------------------------------------------------------
 
 
-def linear(alpha: float = 0.0, l1_ratio: float = 0.0) -> LinearRegression:
-    """Least squares; with ``alpha`` lasso (``l1_ratio=1``) or elastic net."""
-    return LinearRegression(regParam=alpha, elasticNetParam=l1_ratio, standardization=False)
+def linear(alpha: float = 0.0, l1_ratio: float = 0.0, label_std: float = 1.0) -> LinearRegression:
+    """Least squares; with ``alpha`` lasso (``l1_ratio=1``) or elastic net.
+
+    Minimises half the mean squared error plus ``alpha * l1_ratio * |w|`` plus
+    ``alpha * (1 - l1_ratio) / 2 * w^2``. Spark divides the squared part of its penalty by the
+    label's standard deviation, so that must be given where the squared part counts.
+    """
+    absolute, squared = alpha * l1_ratio, alpha * (1 - l1_ratio) * label_std
+    total = absolute + squared
+    return LinearRegression(regParam=total, elasticNetParam=absolute / total if total else 0.0, standardization=False)
 
 
-def ridge(alpha: float, n_rows: int) -> LinearRegression:
+def ridge(alpha: float, n_rows: int, label_std: float = 1.0) -> LinearRegression:
     """Ridge with the penalty set against the sum (not the mean) of squared errors."""
-    return LinearRegression(regParam=alpha / max(n_rows, 1), elasticNetParam=0.0, standardization=False)
+    return linear(alpha / max(n_rows, 1), 0.0, label_std)
+
+
+def label_std(df: DataFrame, label: str = "label") -> float:
+    return df.agg(F.stddev_pop(label)).first()[0] or 1.0
 
 
 def tweedie(link: str = "auto", alpha: float = 1.0) -> GeneralizedLinearRegression:

@@ -18,7 +18,7 @@ def uniform_hash(key: Column | Sequence[Column], seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *(k.cast("string") for k in keys)))
 
 
-def rank_by_hash(df: DataFrame, group: Sequence[str], digest: str, name: str, digits: int = 2) -> DataFrame:
+def rank_by_hash(df: DataFrame, group: Sequence[str], digest: str, name: str, digits: int = 3) -> DataFrame:
     """``row_number`` (from 0) of each row by ``digest`` within its group.
 
     The leading hex digits cut a group into equal buckets, so a group with a third of all rows is

@@ -104,11 +104,11 @@ def smote_enn(spark, d):
 
 @query(
     "edited_neighbours",
-    f"WITH {_near_embeddings(3)} SELECT vec_id, label FROM embeddings JOIN "
+    f"WITH {_near_embeddings(1)} SELECT vec_id, label FROM embeddings JOIN "
     "(SELECT query FROM near GROUP BY query HAVING bool_and(own = other)) ON query = vec_id",
 )
 def edited_neighbours(spark, d):
-    return balance.enn(table(spark, d, "embeddings"), "label", ["embedding"], "vec_id").select("vec_id", "label")
+    return balance.enn(table(spark, d, "embeddings"), "label", ["embedding"], "vec_id", k=1).select("vec_id", "label")
 
 
 @query(
@@ -302,13 +302,44 @@ def ols_one_feature(spark, d):
     )
 
 
+PENALTIES = {"ridge": (2e6, 0.0), "lasso": (1e5, 1.0), "elastic_net": (1e6, 0.5)}
+
+
+def _penalised_sql(name: str) -> str:
+    alpha, l1 = PENALTIES[name]
+    return (
+        f"SELECT '{name}' AS model, sign(c) * greatest(abs(c) - {alpha * l1}, 0) / (v + {alpha * (1 - l1)}) AS slope, mx, my FROM m"
+    )
+
+
+@query(
+    "penalised_one_feature",
+    oracle(
+        "m AS (SELECT covar_pop(valuation, total_funding) AS c, var_pop(total_funding) AS v, avg(total_funding) AS mx, "
+        "avg(valuation) AS my FROM cmp WHERE valuation IS NOT NULL), s AS ("
+        + " UNION ALL ".join(map(_penalised_sql, PENALTIES))
+        + ") SELECT model, round(slope, 4) AS slope, round(my - slope * mx, 1) AS intercept FROM s",
+        "cmp",
+    ),
+)
+def penalised_one_feature(spark, d):
+    """With one feature the penalised slopes have a closed form."""
+    rows = selection.assemble(companies(spark, d), ["total_funding"], "valuation").persist()
+    spread = models.label_std(rows)
+    fits = {name: models.linear(alpha, l1, spread).fit(rows) for name, (alpha, l1) in PENALTIES.items()}
+    rows.unpersist()
+    found = [(n, round(float(m.coefficients[0]), 4), round(float(m.intercept), 1)) for n, m in fits.items()]
+    return spark.createDataFrame(found, "model string, slope double, intercept double")
+
+
 @query("linear_regressors")
 def linear_regressors(spark, d):
+    n, spread = regression_rows(spark, d).agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
     candidates = {
         "linear": models.linear(),
         "lasso": models.linear(0.5, 1.0),
-        "ridge": models.ridge(0.5, regression_rows(spark, d).count()),
-        "elastic_net": models.linear(1.0, 0.5),
+        "ridge": models.ridge(0.5, n, spread),
+        "elastic_net": models.linear(1.0, 0.5, spread),
     }
     return _scores(spark, d, "regression", candidates)
 
@@ -370,6 +401,24 @@ _tree_query(
 )
 
 
+@query(
+    "naive_bayes_classes",
+    oracle(
+        "c AS (SELECT acq_class AS k, count(*) AS n, "
+        + ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS v_{f}" for f in SMALL_SET)
+        + " FROM mtc GROUP BY 1), e AS (SELECT 1e-9 * greatest("
+        + ", ".join(f"var_pop({f})" for f in SMALL_SET)
+        + ") AS eps FROM mtc), s AS (SELECT company_id, k, ln(n) "
+        + " ".join(f"- 0.5 * ln(v_{f} + eps) - ({f} - m_{f}) * ({f} - m_{f}) / (2 * (v_{f} + eps))" for f in SMALL_SET)
+        + " AS score FROM mtc, c, e) SELECT company_id, CAST(arg_max(k, score) AS DOUBLE) AS prediction FROM s GROUP BY company_id",
+        "mtc",
+    ),
+)
+def naive_bayes_classes(spark, d):
+    rows = settle(class_rows(spark, d))
+    return models.gaussian_nb().fit(rows).transform(rows).select("company_id", "prediction")
+
+
 @query("naive_bayes")
 def naive_bayes(spark, d):
     return _scores(spark, d, "class", {"gaussian": models.gaussian_nb()})

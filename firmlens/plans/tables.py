@@ -218,8 +218,8 @@ def lookup_company(spark, d):
     ),
 )
 def latest_statement(spark, d):
-    latest = F.max(F.struct("year", "sales", "ebitda")).alias("s")
-    return statements(spark, d).groupBy("company_id").agg(latest).select("company_id", "s.*")
+    latest = [F.max_by(c, "year").alias(c) for c in ("sales", "ebitda")]
+    return statements(spark, d).groupBy("company_id").agg(F.max("year").alias("year"), *latest)
 
 
 @query(
