@@ -92,12 +92,46 @@ def labelled(spark, d) -> DataFrame:
     return model_table(spark, d).select("company_id", "acq_class", *SMALL_SET).dropna()
 
 
-@query("smote")
+_NEAR_CLASS = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in SMALL_SET)
+cte(
+    "near5",
+    f"SELECT a.company_id, b.company_id AS other, row_number() OVER (PARTITION BY a.company_id ORDER BY sqrt({_NEAR_CLASS}), b.company_id) "
+    "AS rank FROM mtc a JOIN mtc b ON a.company_id <> b.company_id AND a.acq_class = b.acq_class QUALIFY rank <= 5",
+    "mtc",
+)
+cte(
+    "grown",
+    "WITH sizes AS (SELECT acq_class, count(*) AS n FROM mtc GROUP BY 1), goal AS (SELECT max(n) AS goal FROM sizes), "
+    "spread AS (SELECT m.*, goal - n AS gap, n, row_number() OVER (PARTITION BY m.acq_class ORDER BY md5('0|' || company_id::VARCHAR)) - 1 AS r "
+    "FROM mtc m JOIN sizes USING (acq_class), goal), "
+    "copies AS (SELECT s.*, unnest(range(CAST(gap // n + (r < gap % n)::INT AS BIGINT))) AS copy FROM spread s WHERE gap > 0), "
+    "drawn AS (SELECT *, md5('0|' || company_id::VARCHAR || '|' || copy::VARCHAR) AS h FROM copies), "
+    "words AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS w1, CAST('0x' || substr(h, 9, 8) AS BIGINT) / 4294967296.0::DOUBLE AS step FROM drawn) "
+    "SELECT company_id::VARCHAR AS company_id, acq_class, "
+    + ", ".join(SMALL_SET)
+    + ", false AS synthetic FROM mtc UNION ALL SELECT w.company_id::VARCHAR || '#' || copy::VARCHAR, w.acq_class, "
+    + ", ".join(f"w.{c} + step * (o.{c} - w.{c})" for c in SMALL_SET)
+    + ", true FROM words w JOIN near5 k ON k.company_id = w.company_id AND k.rank = w1 % 5 + 1 JOIN mtc o ON o.company_id = k.other",
+    "mtc",
+    "near5",
+)
+
+
+@query("smote", oracle(f"SELECT company_id, acq_class, {', '.join(SMALL_SET)}, synthetic FROM grown", "grown"))
 def smote(spark, d):
     return balance.smote(labelled(spark, d), "acq_class", SMALL_SET, "company_id")
 
 
-@query("smote_enn")
+@query(
+    "smote_enn",
+    oracle(
+        f"p AS (SELECT a.company_id AS query, a.acq_class AS own, b.acq_class AS other, row_number() OVER (PARTITION BY a.company_id "
+        f"ORDER BY sqrt({_NEAR_CLASS}), b.company_id) AS rank FROM grown a JOIN grown b ON a.company_id <> b.company_id QUALIFY rank <= 3) "
+        f"SELECT company_id, acq_class, {', '.join(SMALL_SET)}, synthetic FROM grown JOIN (SELECT query FROM p GROUP BY query "
+        "HAVING bool_and(own = other)) ON query = company_id",
+        "grown",
+    ),
+)
 def smote_enn(spark, d):
     return balance.smote_enn(labelled(spark, d), "acq_class", SMALL_SET, "company_id")
 
@@ -349,6 +383,25 @@ def tweedie_links(spark, d):
     return _scores(spark, d, "regression", {link: models.tweedie(link) for link in ("auto", "identity", "log")})
 
 
+def _indicator_sql(c: int) -> str:
+    y = f"CAST(acq_class = {c} AS INT)::DOUBLE"
+    return f"regr_slope({y}, valuation) AS s{c}, regr_intercept({y}, valuation) AS i{c}"
+
+
+@query(
+    "least_squares_classes",
+    oracle(
+        f"f AS (SELECT {', '.join(map(_indicator_sql, range(3)))} FROM cmp WHERE valuation IS NOT NULL), "
+        "o AS (SELECT company_id, i0 + s0 * valuation AS a, i1 + s1 * valuation AS b, i2 + s2 * valuation AS c FROM cmp, f WHERE valuation IS NOT NULL) "
+        "SELECT company_id, CASE WHEN a >= b AND a >= c THEN 0.0::DOUBLE WHEN b >= c THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS prediction FROM o",
+        "cmp",
+    ),
+)
+def least_squares_classes(spark, d):
+    rows = settle(selection.assemble(companies(spark, d), ["valuation"], "acq_class", "company_id"))
+    return models.LeastSquaresClassifier().fit(rows).transform(rows).select("company_id", "prediction")
+
+
 @query("linear_classifiers")
 def linear_classifiers(spark, d):
     return _scores(spark, d, "class", {loss: models.linear_clf(loss) for loss in ("log", "hinge", "squared")})
