@@ -14,7 +14,7 @@ from firmlens.functions.columns import any_null, col, cols_of, null_columns
 from firmlens.operators.knn import knn_join
 from firmlens.operators.quantiles import exact_quantiles
 from firmlens.operators.splitting import split
-from firmlens.session import settle
+from firmlens.session import hold, settle
 
 # Column groups imputed together, in this order; profit_margin is in two of them.
 FEATURE_GROUPS = {
@@ -114,12 +114,13 @@ def impute_by_model(
     the winner is fitted again on all rows that have the column and predicts the others.
     """
     for name in target_cols:
+        df = settle(df)
         known = df.where(col(name).isNotNull())
         unknown = df.where(col(name).isNull())
         train, unknown = impute_median(known, unknown, predictors)
         indexer = StringIndexer(inputCol=name, outputCol="__label", stringOrderType="alphabetAsc").fit(known)
         assembler = VectorAssembler(inputCols=list(predictors), outputCol="__features")
-        rows = assembler.transform(indexer.transform(train)).persist()
+        rows = hold(assembler.transform(indexer.transform(train)))
         complete = rows.join(known.dropna(subset=list(predictors)).select(key), key, "left_semi")
         fit_rows, test_rows = split(complete, key, 0.2, seed)
         args = dict(labelCol="__label", featuresCol="__features", predictionCol="__pred")

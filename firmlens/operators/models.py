@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 from firmlens.functions.columns import col
 from firmlens.operators.knn import knn_join
 from firmlens.operators.metrics import classification_metrics, regression_metrics
+from firmlens.session import hold
 
 MAX_DEPTH = 30
 
@@ -175,7 +176,7 @@ class SupportVectors(Estimator):
         rows = df
         for stage in stages:
             rows = stage.transform(rows)
-        rows = rows.select(inputs, "label").persist()
+        rows = hold(rows.select(inputs, "label"))
         penalty = 1e-3 / self.c
         if self.task == "regression":
             last = LinearRegression(featuresCol=inputs, loss="huber", regParam=penalty, maxIter=50)

@@ -13,6 +13,7 @@ from firmlens.operators import models
 from firmlens.operators.encoding import minmax, standardize
 from firmlens.operators.profile import corr_with
 from firmlens.operators.splitting import split
+from firmlens.session import hold
 
 # Correlation and importance thresholds of the fused and the two-year tables.
 CORR_THRESHOLDS = {"regression": 0.15, "regression_two_year": 0.20, "class": 0.04, "class_two_year": 0.08}
@@ -86,7 +87,7 @@ def assemble(df: DataFrame, names: Sequence[str], target: str, *keep: str) -> Da
 
 def importances(df: DataFrame, target: str, names: Sequence[str], task: str, trees: int = 100, seed: int = 42) -> dict[str, float]:
     """Random forest importance per column."""
-    rows = assemble(df, names, target).persist()
+    rows = hold(assemble(df, names, target))
     model = models.forest(task, n=trees, seed=seed).fit(rows)
     rows.unpersist()
     return dict(zip(names, (float(v) for v in model.featureImportances.toArray())))
@@ -104,7 +105,7 @@ def rfe(
 ) -> list[str]:
     """Drop the ``step`` least important columns and refit until ``n`` are left."""
     left = list(names)
-    rows = df.select(target, *left).dropna().persist()
+    rows = hold(df.select(target, *left).dropna())
     try:
         while len(left) > n:
             scores = importances(rows, target, left, task, trees, seed)
@@ -117,7 +118,7 @@ def rfe(
 
 def base_score(df: DataFrame, names: Sequence[str], target: str, key: str, task: str, trees: int = 100, seed: int = 42) -> float:
     """R2 or accuracy of a plain forest on a 30 % hold-out."""
-    rows = assemble(df, names, target, key).persist()
+    rows = hold(assemble(df, names, target, key))
     train, test = split(rows, key, 0.3, seed)
     fitted = models.forest(task, n=trees, seed=seed).fit(train)
     score = models.evaluator(task).evaluate(fitted.transform(test))
@@ -129,7 +130,7 @@ def best_feature_set(
     df: DataFrame, sets: Mapping[str, Sequence[str]], target: str, key: str, task: str, trees: int = 100, seed: int = 42
 ) -> DataFrame:
     """Base score of every candidate set (the target is never among the features), best first."""
-    used = df.select(key, target, *dict.fromkeys(c for cs in sets.values() for c in cs if c != target)).persist()
+    used = hold(df.select(key, target, *dict.fromkeys(c for cs in sets.values() for c in cs if c != target)))
     rows = [
         (name, len(cols), base_score(used, cols, target, key, task, trees, seed))
         for name, cols in ((n, [c for c in cs if c != target]) for n, cs in sets.items())
@@ -147,7 +148,7 @@ def best_scaling(
     df: DataFrame, names: Sequence[str], target: str, key: str, task: str, trees: int = 100, seed: int = 42
 ) -> DataFrame:
     """Base score of the raw, standardised and min-max scaled table, best first."""
-    used = df.select(key, target, *names).persist()
+    used = hold(df.select(key, target, *names))
     rows = [(kind, base_score(d, names, target, key, task, trees, seed)) for kind, d in scalings(used, names).items()]
     used.unpersist()
     out = df.sparkSession.createDataFrame(rows, "scaling string, score double")
@@ -172,13 +173,13 @@ def leaderboard(
     jobs = []
     held = []
     for name, (df, names) in tables.items():
-        used = df.select(key, target, *names).dropna().persist()
+        used = hold(df.select(key, target, *names).dropna())
         held.append(used)
         for kind, scaled in scalings(used, names).items():
             train, test = split(scaled, key, 0.2 if task == "regression" else 0.3, seed)
             train = train if prepare is None else prepare(train, names)
-            train = assemble(train, names, target, key).persist()
-            test = assemble(test, names, target, key).persist()
+            train = hold(assemble(train, names, target, key))
+            test = hold(assemble(test, names, target, key))
             held += [train, test]
             jobs += [(name, kind, model, est, train, test) for model, est in candidates.items()]
 

@@ -24,7 +24,7 @@ from firmlens.plans.views import (
     prepared,
     table,
 )
-from firmlens.session import scratch_path, settle
+from firmlens.session import hold, scratch_path, settle
 from firmlens.sources.models import load_model, save_model
 
 # The collection period of the bound tables is constant up to rounding, hence no feature.
@@ -300,7 +300,7 @@ def class_rows(spark, d, names=SMALL_SET) -> DataFrame:
 
 def _scores(spark, d, task: str, candidates: dict) -> DataFrame:
     """The score rows of every estimator; the valuation goes through a Box-Cox transform."""
-    rows = (regression_rows if task == "regression" else class_rows)(spark, d).persist()
+    rows = hold((regression_rows if task == "regression" else class_rows)(spark, d))
     train, test = split(rows, "company_id", 0.2 if task == "regression" else 0.3)
     if task == "regression":
         lam = M.boxcox_fit(train, "label")
@@ -358,7 +358,7 @@ def _penalised_sql(name: str) -> str:
 )
 def penalised_one_feature(spark, d):
     """With one feature the penalised slopes have a closed form."""
-    rows = selection.assemble(companies(spark, d), ["total_funding"], "valuation").persist()
+    rows = hold(selection.assemble(companies(spark, d), ["total_funding"], "valuation"))
     spread = models.label_std(rows)
     fits = {name: models.linear(alpha, l1, spread).fit(rows) for name, (alpha, l1) in PENALTIES.items()}
     rows.unpersist()

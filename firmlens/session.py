@@ -54,6 +54,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hold(df: DataFrame) -> DataFrame:
+    """``settle`` and keep in memory, for solvers that pass over the rows many times. The written
+    copy has as many partitions as its size asks for, and a lost cached block is read, not redone.
+    Call ``unpersist`` when done."""
+    return settle(df).persist()
+
+
 def parallelism(spark: SparkSession) -> int:
     """Tasks for work that is heavy per row, where small-partition merging would hurt."""
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

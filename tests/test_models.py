@@ -76,6 +76,9 @@ def test_searches(clf, reg):
     board, best = tuning.grid_search(reg[0], lambda **p: models.tree("regression", **p), {"max_depth": [1, 5]}, "regression", k=3)
     assert board.first()["params"] == '{"max_depth": 5}'
     assert "prediction" in best.transform(reg[1]).columns
+    assert tuning.BUILDERS.keys() == tuning.SPACES.keys()
+    for name, (space, _) in tuning.SPACES.items():
+        assert tuning.BUILDERS[name](**tuning.sample_space(space, 1)[0]) is not None
     draws = tuning.sample_space(*tuning.SPACES["gbt_regression"])
     assert len(draws) == 10 and draws == tuning.sample_space(*tuning.SPACES["gbt_regression"])
     assert all(10 <= p["n"] <= 100 and p["loss"] in ("squared", "absolute") for p in draws)
