@@ -24,7 +24,8 @@ def join_company(legal: DataFrame, funding: DataFrame, facts: DataFrame, key: st
 
     The second full outer join is written as its two parts, facts with their company and companies
     without facts: a company with a great share of the facts can then be split over several tasks
-    (adaptive skew join), which Spark cannot do for a full outer join.
+    (adaptive skew join), which Spark cannot do for a full outer join. Both parts read all inputs,
+    so settle an input that is expensive to compute.
     """
     firms = join_statements(legal, funding, [key])
     shared = [c for c in firms.columns if c in facts.columns and c != key]

@@ -29,7 +29,7 @@ from firmlens.session import parallelism, settle
 
 SMALL_ROWS = 32_768
 SMALL_CELLS = 4_000_000
-LEAF_ROWS = 8_192
+LEAF_ROWS = 2_048
 MAX_LEAVES = 65_536
 SAMPLE_CELLS = 4_000_000
 QUERY_CHUNK = 16_384

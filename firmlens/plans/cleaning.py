@@ -129,14 +129,14 @@ def _group_fill_sql(known: str) -> str:
 @query("group_mean_fill", _group_fill_sql("employees"))
 def group_mean_fill(spark, d):
     df = statements(spark, d).join(companies(spark, d), "company_id")
-    df = df.select("company_id", "year", "growth_stage", "employees")
+    df = settle(df.select("company_id", "year", "growth_stage", "employees"))
     return rounded(cleaning.impute_group_mean(df, "growth_stage", "employees"), 6, "employees")
 
 
 @query("group_mean_fill_strict", _group_fill_sql("CASE WHEN growth_stage IS NOT NULL THEN employees END"))
 def group_mean_fill_strict(spark, d):
     df = statements(spark, d).join(companies(spark, d), "company_id")
-    df = df.select("company_id", "year", "growth_stage", "employees")
+    df = settle(df.select("company_id", "year", "growth_stage", "employees"))
     return rounded(cleaning.impute_group_mean(df, "growth_stage", "employees", keep_null_group=False), 6, "employees")
 
 
@@ -237,7 +237,7 @@ MEDIAN = ("last_funding", "total_funding")
     ),
 )
 def median_imputation(spark, d):
-    df = companies(spark, d).select("company_id", "growth_stage", *MEDIAN)
+    df = settle(companies(spark, d).select("company_id", "growth_stage", *MEDIAN))
     known, unknown = df.where(F.col("growth_stage").isNotNull()), df.where(F.col("growth_stage").isNull())
     known, unknown = imputation.impute_median(known, unknown, MEDIAN)
     return known.unionByName(unknown)
@@ -444,7 +444,7 @@ def fuse_years_pct(spark, d):
     ),
 )
 def label_encode(spark, d):
-    return encoding.label_encode(companies(spark, d).select("company_id", "growth_stage", "place", "name"))
+    return encoding.label_encode(settle(companies(spark, d).select("company_id", "growth_stage", "place", "name")))
 
 
 @query(
@@ -467,7 +467,7 @@ SCALED = ("sales", "ebitda", "fixed_assets", "current_liab")
     ),
 )
 def standardize(spark, d):
-    df = statements(spark, d).select("company_id", "year", *SCALED, "taxes")
+    df = settle(statements(spark, d).select("company_id", "year", *SCALED, "taxes"))
     return rounded(encoding.standardize(df, skip=["company_id", "taxes"]), 8, *SCALED)
 
 
@@ -481,7 +481,7 @@ def standardize(spark, d):
     ),
 )
 def minmax(spark, d):
-    df = statements(spark, d).select("company_id", "year", *SCALED, "taxes")
+    df = settle(statements(spark, d).select("company_id", "year", *SCALED, "taxes"))
     return encoding.minmax(df, skip=["company_id", "taxes"])
 
 
@@ -570,8 +570,8 @@ def _flag_sql(c: str) -> str:
     ),
 )
 def flag_outliers(spark, d):
-    df = prepared(spark, d).select("company_id", "year", *CHECKED)
-    return outliers.flag_outliers(df, outliers.limits(df, CHECKED, "q1")).drop(*CHECKED)
+    df = settle(prepared(spark, d).select("company_id", "year", *CHECKED))
+    return outliers.flag_outliers(df, outliers.limits(df, CHECKED, "q1", stored=True)).drop(*CHECKED)
 
 
 @query(
@@ -584,8 +584,8 @@ def flag_outliers(spark, d):
     ),
 )
 def drop_outlier_rows(spark, d):
-    df = prepared(spark, d).select("company_id", "year", *CHECKED)
-    flagged = outliers.flag_outliers(df, outliers.limits(df, CHECKED, "q1"))
+    df = settle(prepared(spark, d).select("company_id", "year", *CHECKED))
+    flagged = outliers.flag_outliers(df, outliers.limits(df, CHECKED, "q1", stored=True))
     return outliers.drop_outlier_rows(flagged, [f"{c}_is_outlier" for c in CHECKED]).select("company_id", "year", "sales")
 
 

@@ -88,6 +88,12 @@ def nearest_companies(spark, d):
 cte("mtc", f"SELECT * FROM mt WHERE {' AND '.join(f'{c} IS NOT NULL' for c in SMALL_SET)}", "mt")
 
 
+def complete(spark, d) -> DataFrame:
+    """Companies with all features of the small set, written once for train and test."""
+    df = model_table(spark, d).select("company_id", "acq_class", "valuation", *SMALL_SET)
+    return settle(df.dropna(subset=list(SMALL_SET)))
+
+
 def labelled(spark, d) -> DataFrame:
     return model_table(spark, d).select("company_id", "acq_class", *SMALL_SET).dropna()
 
@@ -503,7 +509,7 @@ def _knn_sql(k: int, known: str) -> str:
     ),
 )
 def knn_regression(spark, d):
-    train, test = split(settle(model_table(spark, d).dropna(subset=list(SMALL_SET))), "company_id", 0.2)
+    train, test = split(complete(spark, d), "company_id", 0.2)
     train = train.where(F.col("valuation").isNotNull())
     out = models.knn_predict(train, test, 7, SMALL_SET, "company_id", "valuation", "regression", "distance")
     return rounded(out, 4, "prediction")
@@ -519,7 +525,7 @@ def knn_regression(spark, d):
     ),
 )
 def knn_classification(spark, d):
-    train, test = split(settle(model_table(spark, d).dropna(subset=list(SMALL_SET))), "company_id", 0.2)
+    train, test = split(complete(spark, d), "company_id", 0.2)
     return models.knn_predict(train, test, 5, SMALL_SET, "company_id", "acq_class", "class")
 
 
@@ -682,6 +688,7 @@ KPIS = {"profitability": "ratio_ebitda_assets", "liquidity_solvency": "ratio_aci
 )
 def kpi_by_year(spark, d):
     df = M.add_ratios(prepared(spark, d)).select("company_id", "year", *(F.col(r).alias(k) for k, r in KPIS.items()))
+    df = settle(df)
     earlier, later = df.where(F.col("year") == EARLIER), df.where(F.col("year") == LATER)
     return scoring.kpi_by_year(earlier, later, list(KPIS), (EARLIER, LATER))
 

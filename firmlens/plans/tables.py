@@ -9,7 +9,7 @@ from firmlens.functions.text import strip_words
 from firmlens.operators import joins, profile
 from firmlens.plans.registry import query
 from firmlens.plans.views import EARLIER, LATER, companies, oracle, prepared, statements, table
-from firmlens.session import scratch_path
+from firmlens.session import scratch_path, settle
 from firmlens.sources import pages, tables
 
 CUSTOMER = T.StructType(
@@ -164,7 +164,7 @@ def dedup_columns(spark, d):
     ),
 )
 def drop_null_columns(spark, d):
-    return C.drop_null_columns(statements(spark, d))
+    return C.drop_null_columns(settle(statements(spark, d)))
 
 
 @query("drop_null_target", oracle("SELECT * FROM cmp WHERE valuation IS NOT NULL", "cmp"))
@@ -299,7 +299,7 @@ def strip_words_query(spark, d):
     ),
 )
 def join_statements(spark, d):
-    df = statements(spark, d)
+    df = settle(statements(spark, d).select("company_id", "year", "fixed_assets", "current_liab", "sales"))
     a = C.drop_null_rows(df.select("company_id", "year", "fixed_assets", "sales"), ["fixed_assets"])
     b = C.drop_null_rows(df.select("company_id", "year", "current_liab", "sales"), ["current_liab"])
     return joins.join_statements(a, b)
@@ -317,10 +317,11 @@ def join_statements(spark, d):
     ),
 )
 def join_company(spark, d):
-    c = companies(spark, d)
+    c = settle(companies(spark, d))
     legal = c.select("company_id", "name", "place", "constitution_date")
     funding = C.drop_null_rows(c.select("company_id", "total_funding", "last_round", "growth_stage"), ["last_round"])
-    return joins.join_company(legal, funding, statements(spark, d).select("company_id", "year", "sales", "employees"))
+    facts = settle(statements(spark, d).select("company_id", "year", "sales", "employees"))
+    return joins.join_company(legal, funding, facts)
 
 
 @query(

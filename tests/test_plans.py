@@ -40,3 +40,11 @@ def test_results_do_not_depend_on_partitions(spark, sf_dir, parts):
     whole = sorted(map(tuple, fuse_years_pct(df, "company_id", "year", 2000, 1999).collect()))
     again = sorted(map(tuple, fuse_years_pct(df.repartition(parts), "company_id", "year", 2000, 1999).collect()))
     assert whole == again
+
+
+def test_equal_points_are_cut_before_the_shuffle(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(100).select("id", F.array((F.col("id") % 3).cast("double")).alias("x"))
+    order = Window.partitionBy("x").orderBy("id")
+    assert "WindowGroupLimit" in plan(df.withColumn("n", F.row_number().over(order)).where("n <= 6").drop("n"))
