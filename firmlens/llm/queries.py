@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmlens.llm import simhash
+from firmlens.llm import packing, planes, simhash
 from firmlens.llm.common import table
+from firmlens.llm.tokens import read_tokenizer
 from firmlens.plans.registry import Query
+from firmlens.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
 
@@ -19,9 +21,21 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op3_bit_planes")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "planes")
+    planes.write(table(spark, sf_dir, "documents"), path, read_tokenizer())
+    return planes.digests(spark, path)
+
+
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op9_best_fit_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), read_tokenizer())
