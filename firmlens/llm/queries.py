@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmlens.llm import packing, planes, simhash
+from firmlens.llm import decontaminate, packing, planes, simhash
 from firmlens.llm.common import table
 from firmlens.llm.tokens import read_tokenizer
 from firmlens.plans.registry import Query
@@ -39,3 +39,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), read_tokenizer())
+
+
+@query("op10_winnowing_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
