@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmlens.llm import decontaminate, packing, planes, simhash
-from firmlens.llm.common import table
+from firmlens.llm import decontaminate, langid, packing, planes, quality, simhash, toxicity
+from firmlens.llm.common import fold, table
 from firmlens.llm.tokens import read_tokenizer
 from firmlens.plans.registry import Query
 from firmlens.session import scratch_path
@@ -48,3 +48,33 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query("op5_string_kernel_language")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.where(~held_out))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), langid.predictions(model, F.col("text")).alias("found")
+    ).select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+@query("op4_fourier_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = quality.fit(docs.where(~held_out), table(spark, sf_dir, "labels"))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), quality.scores(model, F.col("text")).alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op7_pattern_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs.where(~held_out), table(spark, sf_dir, "labels"))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), toxicity.scores(model, F.col("text")).alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
