@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmlens.llm import decontaminate, langid, packing, planes, quality, simhash, toxicity
+from firmlens.llm import decontaminate, langid, packing, planes, quality, secretscan, simhash, toxicity
 from firmlens.llm.common import fold, table
 from firmlens.llm.tokens import read_tokenizer
 from firmlens.plans.registry import Query
@@ -78,3 +78,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), toxicity.scores(model, F.col("text")).alias("score")
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op6_char_network_secrets")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = secretscan.fit(docs)
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), secretscan.spans(model, F.col("text")).alias("found"))
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    def count(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda s: s["kind"] != "net")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"),
+    )
