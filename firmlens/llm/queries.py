@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmlens.llm import decontaminate, langid, packing, planes, quality, secretscan, simhash, toxicity
+from firmlens.llm import ann, decontaminate, langid, packing, planes, quality, secretscan, simhash, toxicity
 from firmlens.llm.common import fold, table
 from firmlens.llm.tokens import read_tokenizer
 from firmlens.plans.registry import Query
@@ -97,3 +97,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", count("assign"), count("access"), count("hex"),
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"),
     )
+
+
+@query("op1_inverted_multi_index")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
