@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmlens.llm import ann, decontaminate, langid, packing, planes, quality, secretscan, simhash, toxicity
+from firmlens.llm import ann, decontaminate, hpylm, langid, packing, planes, quality, secretscan, simhash, toxicity
 from firmlens.llm.common import fold, table
 from firmlens.llm.tokens import read_tokenizer
 from firmlens.plans.registry import Query
@@ -102,3 +102,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_inverted_multi_index")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op2_hierarchical_pitman_yor")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = hpylm.score(docs, fold(F.col("doc_id"), 5) != 1)
+    return found.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
