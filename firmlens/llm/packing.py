@@ -10,7 +10,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from firmlens.llm.common import texts
 from firmlens.llm.tokens import encoder
 from firmlens.session import settle
 
@@ -102,11 +101,11 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
     schema = pa.schema(names + [("ids", pa.binary())] * with_ids)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        words = encoder(tokenizer)
         for batch in batches:
             out = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.encode(texts(batch)), strict=True):
-                ids += end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.with_end(batch.column("text"), end_id), strict=True):
+                ids = ids.tobytes()
                 for at in range(0, len(ids), 4 * window):
                     part = ids[at : at + 4 * window]
                     out.append((doc_id, at // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4, part)[: 5 + with_ids])

@@ -21,7 +21,6 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from firmlens.llm.common import texts
 from firmlens.llm.tokens import encoder
 from firmlens.session import parallelism, settle
 
@@ -102,11 +101,10 @@ def write(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer)
-        end = np.array([end_id], "<u4").tobytes()
         shard = _Shard(TaskContext.get().partitionId(), block_ids, mode)
         for batch in batches:
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.encode(texts(batch)), strict=True):
-                for row in shard.add(doc_id, np.frombuffer(ids + end, "<u4")):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.with_end(batch.column("text"), end_id), strict=True):
+                for row in shard.add(doc_id, ids):
                     yield pa.RecordBatch.from_pylist([row], schema)
         if shard.held:
             yield pa.RecordBatch.from_pylist([shard.chunk()], schema)

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -15,7 +16,7 @@ from firmlens.llm.tokens import WordEncoder, read_tokenizer
 
 CONTENT = read_tokenizer()
 PLAIN = Tokenizer.from_str(CONTENT)
-WORDS = WordEncoder(CONTENT, words_known=50)
+WORDS = WordEncoder(CONTENT, words_known=50, pieces_known=20)
 ODD = ["", None, "a\xa0b \xa0 c", "<|endoftext|> <|EndOfText|>x<|startoftext|>", "É É ΑΣ İ ß\x1cq", "it's  WE'LL 12 3.5—x"]
 
 
@@ -23,15 +24,21 @@ def plain_ids(text):
     return np.array([*PLAIN.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
 
 
-@settings(max_examples=150, deadline=None)
+def check_ids(texts):
+    found = WORDS.with_end(pa.array(texts, pa.string()), 1)
+    assert [f.tolist() for f in found] == [plain_ids(t).tolist() for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=40), max_size=4))
 def test_ids_equal_the_tokenizer(texts):
-    assert [w for w in WORDS.encode(texts)] == [plain_ids(t)[:-1].tobytes() for t in texts]
+    check_ids(texts)
 
 
 def test_ids_of_odd_texts():
-    texts = [t or "" for t in ODD]
-    assert WORDS.encode(texts) == [plain_ids(t)[:-1].tobytes() for t in texts]
+    check_ids(ODD)
+    check_ids([])
+    check_ids([None, ""])
 
 
 @pytest.mark.parametrize("mode", ["byte", "bit"])
