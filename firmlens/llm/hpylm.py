@@ -191,8 +191,8 @@ def draw_tables(customers: np.ndarray, mass: np.ndarray, discount: float, unifor
     """The number of tables at which the customers of each dish sit, given all others.
 
     ``mass`` is what a new table of the dish weighs: the restaurant's strength and tables times the
-    parent's probability of the dish. Seatings with t tables weigh ``stirling[c, t] * mass ** t``.
-    Beyond ``EXACT_CUSTOMERS`` the rest are seated in groups of a tenth of those already there.
+    parent's probability of the dish. Seatings with t tables weigh ``stirling[c, t] * mass ** t``;
+    beyond ``EXACT_CUSTOMERS`` the saddle point of the same weights is used.
     """
     tables = np.minimum(customers, 1).astype(np.int64)
     few = np.minimum(customers, EXACT_CUSTOMERS)
@@ -206,17 +206,38 @@ def draw_tables(customers: np.ndarray, mass: np.ndarray, discount: float, unifor
             tables[some] = 1 + (total < uniform[some, None] * total[:, -1:]).sum(axis=1)
     many = np.flatnonzero(customers > EXACT_CUSTOMERS)
     if len(many):
-        seated = np.full(len(many), EXACT_CUSTOMERS, np.int64)
-        t, goal, m, u = tables[many].astype(float), customers[many], mass[many], uniform[many]
-        while (left := goal - seated).any():
-            group = np.minimum(left, np.maximum(1, seated // 10))
-            u = (u * 977.0 + 0.618) % 1.0
-            t += np.minimum(group, np.floor(group * m / (m + seated - discount * t) + u)) * (left > 0)
-            seated += group
-        tables[many] = t.astype(np.int64)
+        tables[many] = _saddle_tables(customers[many].astype(float), mass[many], discount, uniform[many])
     return tables
 
 
+def _saddle_tables(customers: np.ndarray, mass: np.ndarray, discount: float, uniform: np.ndarray) -> np.ndarray:
+    """Tables of many customers. The weights are those of a compound Poisson number of tables given
+    their total size; tilted so that the size is expected, one table holds the bulk and the others
+    are a Poisson number (with the variance that the total leaves, where there are many)."""
+    low, high = np.full(len(mass), -700.0), np.zeros(len(mass))
+    for _ in range(60):
+        middle = (low + high) / 2
+        u = np.exp(middle)
+        over = np.log(mass) + np.log1p(-u) + (discount - 1) * middle > np.log(customers)
+        low, high = np.where(over, middle, low), np.where(over, high, middle)
+    u = np.exp(high)
+    x = 1 - u
+    mean = mass / discount * (1 - u**discount)
+    spread = customers + customers * x * (1 - discount) / u
+    sigma = np.sqrt(np.maximum(mean - customers**2 / spread, 1e-9))
+    few = np.minimum(mean, 40.0)
+    others, term = np.zeros(len(mass)), np.exp(-few)
+    total = term.copy()
+    for k in range(1, 120):
+        others += uniform > total
+        term = term * few / k
+        total += term
+    # The logistic curve is close enough to the normal one here.
+    normal = np.log(uniform / (1 - uniform)) * 0.5513
+    others = np.where(mean > 40.0, np.rint(mean + sigma * normal), others)
+    return np.clip(1 + others, 1, customers).astype(np.int64)
+
+
 @dataclass
 class Totals:
     """What all tasks know after a sweep: per context the tokens and tables; of the root the customers

@@ -14,7 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from firmlens.llm.common import share, texts
+from firmlens.llm.common import share, texts, unused
 
 LONGEST = 4
 #: n-grams are hashed to this many places, which bounds memory in every language.
@@ -24,6 +24,8 @@ LANDMARKS_PER_LANGUAGE = 24
 ROWS_PER_LANGUAGE = 1500
 RIDGE = 1e-3
 UNKNOWN = "und"
+#: A text below this score has hardly an n-gram in common with any language.
+LEAST_SCORE = 0.1
 #: Texts whose kernel with all landmarks is one matrix product.
 TOGETHER = 64
 _MULTIPLIER = np.uint32(0x9E3779B1)
@@ -184,3 +186,15 @@ def predictions(model: Model, text: Column) -> Column:
         return pd.DataFrame(model.predict(part.tolist()), columns=["lang_pred", "score"])
 
     return run(text)
+
+
+def speaks(model: Model, docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has a language: letters, and a score
+    of at least ``least``. A model that knows no language rejects only texts without letters."""
+    name = unused(docs, "found")
+    found = docs.withColumn(name, predictions(model, docs["text"]))
+    if model.languages:
+        kept = (F.col(f"`{name}`.lang_pred") != UNKNOWN) & (F.col(f"`{name}`.score") >= least)
+    else:
+        kept = F.col("text").rlike("\\p{L}")
+    return found.where(kept).drop(name)

@@ -26,10 +26,12 @@ from firmlens.session import settle
 SAMPLE_ROWS = 20_000
 STEMS = 4000
 STEM_LETTERS = range(3, 10)
-#: A stem counts if the evidence (likelihood ratio) and the odds are at least these.
-EVIDENCE = 16.0
-LOG_ODDS = 1.5
-RIDGE = 0.05
+#: A stem counts if the evidence (likelihood ratio) is at least this, and its log odds, less one
+#: standard error, which is its weight, at least that.
+EVIDENCE = 20.0
+LEAST_WEIGHT = 1.0
+FOLDS = 3
+RIDGE = 0.5
 SEED = 11
 
 # Words of the grammar.
@@ -168,6 +170,9 @@ class Lexicon:
 
 FEATURES = ("clauses", "strongest", "total", "density", "log_words", *(f"pattern_{p}" for p in PATTERNS))
 
+#: What the constant and the features weigh before anything is learned.
+PRIOR = np.array([-3.0, 0.5, 0.5, 0.5, 0.5, 0.0, *[0.0] * len(PATTERNS)])
+
 
 def clauses(text: str | None, lexicon: Lexicon) -> tuple[int, list[tuple[float, Counter]]]:
     """The number of words, and the weight and patterns of each clause that matches."""
@@ -213,86 +218,104 @@ class Model:
 
 
 def _stem_counts(rows: DataFrame) -> DataFrame:
-    """In how many toxic and other documents each word (with a mark at its end) and stem occurs.
-    Counts are summed in each batch, then by Spark."""
+    """In how many toxic and other documents of each fold each word (with a mark at its end) and stem
+    occurs. Counts are summed in each batch, then by Spark."""
+    names = [f"{kind}{k}" for kind in ("neg", "pos") for k in range(FOLDS)]
 
     def run(batches):
         for batch in batches:
-            sums: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, label in zip(texts(batch), batch.column("label").to_pylist(), strict=True):
+            sums = [Counter() for _ in names]
+            for text, label, fold in zip(texts(batch), batch.column("label").to_pylist(), batch.column("fold").to_pylist(), strict=True):
                 words = {t for t in TOKENS.findall(text.lower()) if t[0].isalpha()}
                 stems = {w[:n] for w in words for n in STEM_LETTERS if n <= len(w)}
-                sums[int(label)].update(stems)
-                sums[int(label)].update(w + "$" for w in words)
-            keys = list(sums[0].keys() | sums[1].keys())
-            yield pa.RecordBatch.from_pydict(
-                {"stem": pa.array(keys, pa.string()), "pos": pa.array([sums[1][k] for k in keys], pa.int64()), "neg": pa.array([sums[0][k] for k in keys], pa.int64())}
-            )
+                sums[FOLDS * label + fold].update(stems | {w + "$" for w in words})
+            keys = list(set().union(*sums))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array([s[k] for k in keys], pa.int64()) for s in sums)], ["stem", *names])
 
-    return rows.select("text", "label").mapInArrow(run, "stem string, pos long, neg long").groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    parts = rows.select("text", "label", "fold").mapInArrow(run, "stem string, " + ", ".join(f"{n} long" for n in names))
+    return parts.groupBy("stem").agg(*(F.sum(n).alias(n) for n in names))
 
 
-def learn_lexicon(rows: DataFrame, stems: int = STEMS) -> Lexicon:
-    """Words and stems that are far likelier in toxic documents of ``rows`` (text, label)."""
-    sizes = {int(r["label"]): r["count"] for r in rows.groupBy("label").count().collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+def _lexicon(counts: DataFrame, sizes: dict[tuple[int, int], int], skip: int | None = None, stems: int = STEMS) -> Lexicon:
+    """Words and stems that are far likelier in toxic documents, from all folds but ``skip``."""
+    folds = [k for k in range(FOLDS) if k != skip]
+    n1, n0 = (sum(sizes.get((label, k), 0) for k in folds) for label in (1, 0))
     if not n1 or not n0:
         return Lexicon({}, {})
-    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    pos, neg = (sum((F.col(f"{kind}{k}") for k in folds), F.lit(0)).cast("double") for kind in ("pos", "neg"))
     odds = F.log((pos + 0.5) / (n1 + 1.0)) - F.log((neg + 0.5) / (n0 + 1.0))
+    weight = odds - F.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
     expected = (pos + neg) * (n1 / (n1 + n0))
     evidence = 2 * (pos * F.log(pos / expected) + F.when(neg > 0, neg * F.log(neg / (pos + neg - expected))).otherwise(0.0))
     found = (
-        _stem_counts(rows).where("pos >= 4").select("stem", odds.alias("odds"), evidence.alias("evidence"))
-        .where((F.col("odds") >= LOG_ODDS) & (F.col("evidence") >= EVIDENCE))
+        counts.where(pos >= 4).select("stem", weight.alias("weight"), evidence.alias("evidence"))
+        .where((F.col("weight") >= LEAST_WEIGHT) & (F.col("evidence") >= EVIDENCE))
         .orderBy(F.desc("evidence"), "stem").limit(stems).collect()
     )
-    words = {r["stem"][:-1]: r["odds"] for r in found if r["stem"].endswith("$")}
-    return Lexicon(words, {r["stem"]: r["odds"] for r in found if not r["stem"].endswith("$")})
+    words = {r["stem"][:-1]: r["weight"] for r in found if r["stem"].endswith("$")}
+    return Lexicon(words, {r["stem"]: r["weight"] for r in found if not r["stem"].endswith("$")})
+
+
+def _sizes(rows: DataFrame) -> dict[tuple[int, int], int]:
+    return {(r["label"], r["fold"]): r["count"] for r in rows.groupBy("label", "fold").count().collect()}
+
+
+def learn_lexicon(rows: DataFrame, stems: int = STEMS) -> Lexicon:
+    """The lexicon of all ``rows`` (text, label, fold)."""
+    return _lexicon(_stem_counts(rows), _sizes(rows), None, stems)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
-    """Penalised logistic regression by Newton steps, until the gradient vanishes."""
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
-    penalty[0] = 1e-6
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + penalty * w
-        if np.abs(gradient).max() < 1e-6 * len(y):
-            break
-        w = w - np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty), gradient)
-    return w
+    """Logistic regression drawn towards ``PRIOR``: Newton steps, halved until the loss falls, to
+    where it falls no more."""
+    sign = np.where(y > 0, -1.0, 1.0)
+
+    def loss(w: np.ndarray) -> float:
+        return float(np.logaddexp(0, sign * (x @ w)).sum() + ridge / 2 * ((w - PRIOR) ** 2).sum())
+
+    w = PRIOR.copy()
+    now = loss(w)
+    while True:
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        gradient = x.T @ (p - y) + ridge * (w - PRIOR)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), gradient)
+        while (then := loss(w - step)) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if not then < now - 1e-9 * abs(now):
+            return w
+        w, now = w - step, then
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn the stems' weights and how much the patterns say from labelled documents.
 
-    About ``sample_rows`` labelled rows are drawn by a hash of doc_id. The patterns are weighed on a
-    third of them with a lexicon from the others, as unseen documents meet it; the lexicon is then
-    learned from all. Only the strongest stems and the numbers of the third's clauses come to the
+    About ``sample_rows`` labelled rows are drawn by a hash of doc_id. What the patterns say is weighed
+    on each fold of them with a lexicon from the other folds, as unseen documents meet it; the lexicon
+    itself is learned from all. Only the strongest stems and the features of the sample come to the
     driver. Without labels of both kinds the grammar's own words and weights are used.
     """
     marks = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
     number = docs.select("doc_id").join(marks, "doc_id").count()
     draw = share(F.col("doc_id"), SEED) < min(1.0, sample_rows / max(1, number))
-    third = share(F.col("doc_id"), SEED + 1) < 1 / 3
+    fold = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(FOLDS)).cast("int")
     rows = docs.where(draw).select("doc_id", "text").join(marks.where(draw), "doc_id")
-    rows = settle(rows.select(third.alias("third"), "label", "text"))
-    first = learn_lexicon(rows.where(~F.col("third")))
+    rows = settle(rows.select(fold.alias("fold"), "label", "text"))
+    sizes, counts = _sizes(rows), settle(_stem_counts(rows).where(sum((F.col(f"pos{k}") for k in range(FOLDS)), F.lit(0)) >= 4))
+    others = [_lexicon(counts, sizes, k) for k in range(FOLDS)]
 
     def measure(batches):
         for batch in batches:
-            found = [features(t, first) for t in texts(batch)]
+            found = [features(t, others[k]) for t, k in zip(texts(batch), batch.column("fold").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.list_(pa.float64()))], ["label", "x"])
 
-    seen = rows.where("third").select("label", "text").mapInArrow(measure, "label int, x array<double>").collect()
+    seen = rows.mapInArrow(measure, "label int, x array<double>").collect()
     y = np.array([r["label"] for r in seen], float)
+    lexicon = _lexicon(counts, sizes)
     if len(set(y.tolist())) < 2:
-        return Model(learn_lexicon(rows), np.array([-3.0, 0.5, 0.5, 0.5, 0.5, *[0.0] * (len(FEATURES) - 4)]))
+        return Model(lexicon, PRIOR)
     x = np.array([[1.0, *r["x"]] for r in seen])
     order = np.lexsort([*x.T, y])
-    return Model(learn_lexicon(rows), _logistic(x[order], y[order]))
+    return Model(lexicon, _logistic(x[order], y[order]))
 
 
 def scores(model: Model, text: Column) -> Column:
