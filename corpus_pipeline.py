@@ -4,22 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmlens.llm import simhash
-from firmlens.llm.common import table
+from firmlens.llm import decontaminate, langid, packing, secretscan, simhash
+from firmlens.llm.common import fold, table, whole_texts
+from firmlens.llm.tokens import read_tokenizer
 from firmlens.session import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognisable language go."""
+    whole_texts(spark)
+    model = langid.fit(docs.where(fold(F.col("doc_id"), 4) != 2))
+    return langid.speaks(model, docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies stays."""
+    whole_texts(spark)
     return simhash.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a share of benchmark passages go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; secrets in its text are replaced."""
+    whole_texts(spark)
+    return secretscan.without_secrets(secretscan.fit(docs), docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents' tokens and their places in training windows."""
+    whole_texts(spark)
+    return packing.pack(docs, read_tokenizer())
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("packing", pack),
 ]
 
 #: Models and fingerprints are not expressible in SQL; tests compare with brute force instead.
@@ -28,6 +58,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for _, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
