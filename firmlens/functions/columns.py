@@ -9,8 +9,7 @@ from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-NUMERIC = (T.DoubleType, T.LongType)
-KINDS = {"numeric": NUMERIC, "string": (T.StringType,)}
+KINDS = {"numeric": (T.NumericType,), "string": (T.StringType,)}
 
 
 def col(name: str) -> Column:
@@ -29,7 +28,7 @@ def drop_identity(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def cols_of(df: DataFrame, kind: str) -> list[str]:
-    """Names of the double/long columns (``numeric``) or the text columns (``string``)."""
+    """Names of the columns of any number type (``numeric``) or the text columns (``string``)."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, KINDS[kind])]
 
 

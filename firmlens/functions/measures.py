@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import datetime as dt
 from collections.abc import Sequence
 
@@ -122,25 +124,29 @@ def boxcox_fit(
     df: DataFrame, name: str, low: float = -2.0, high: float = 2.0, steps: int = 11, rounds: int = 6
 ) -> float:
     """The exponent of highest likelihood. Each round scores a whole grid in one aggregate pass
-    and narrows to the cells around the best point."""
+    and narrows to the cells around the best point; while that is an end of the grid, the next grid
+    reaches beyond it."""
     x = F.when(col(name) > 0, col(name).cast("double"))
     mean_log = df.agg(F.avg(F.ln(x))).first()[0]
     if mean_log is None:
         raise ValueError(f"{name} has no positive value")
     # Dividing by the geometric mean keeps powers near 1 and only shifts the likelihood.
-    z = F.exp(F.ln(x) - F.lit(mean_log))
-    best = 0.0
-    for _ in range(rounds):
+    log_z = F.ln(x) - F.lit(mean_log)
+    best, left = 0.0, rounds
+    while left:
         grid = [low + (high - low) * i / (steps - 1) for i in range(steps)]
         scores = []
         for i, lam in enumerate(grid):
-            y = F.ln(z) if abs(lam) < 1e-9 else F.pow(z, F.lit(lam)) / F.lit(lam)
+            y = log_z if abs(lam) < 1e-9 else F.exp(log_z * F.lit(lam)) / F.lit(lam)
             scores.append(F.var_pop(y).alias(str(i)))
-        row = df.agg(*scores).first()
+        row = [v if v is not None and math.isfinite(v) else math.inf for v in df.agg(*scores).first()]
         # With a geometric mean of 1 the likelihood falls exactly as the variance grows.
-        best_at = min(range(steps), key=lambda i: row[i])
-        best = grid[best_at]
-        low, high = grid[max(best_at - 1, 0)], grid[min(best_at + 1, steps - 1)]
+        at = min(range(steps), key=lambda i: row[i])
+        best, width = grid[at], high - low
+        if at in (0, steps - 1) and left == rounds and width < 1000 and max(row) > min(row):
+            low, high = best - width, best + width
+        else:
+            low, high, left = grid[max(at - 1, 0)], grid[min(at + 1, steps - 1)], left - 1
     return best
 
 

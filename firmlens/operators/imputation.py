@@ -106,7 +106,7 @@ def impute_median(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> tup
 
 
 def impute_by_model(
-    df: DataFrame, target_cols: Sequence[str], predictors: Sequence[str], key: str, seed: int = 42, trees: int = 20, rounds: int = 10
+    df: DataFrame, target_cols: Sequence[str], predictors: Sequence[str], key: str, seed: int = 42, trees: int = 100, rounds: int = 20
 ) -> DataFrame:
     """Fill text columns with the better of a random forest and boosted trees.
 

@@ -71,7 +71,8 @@ def knn_join(
     if same:
         left = right.select(F.col("neighbour").alias("query"), wanted.alias("need"), "g", "x")
     else:
-        left = queries.select(col(key).alias("query"), wanted.alias("need"), group.alias("g"), _vector(queries, cols).alias("x"))
+        # Counted and then searched.
+        left = settle(queries.select(col(key).alias("query"), wanted.alias("need"), group.alias("g"), _vector(queries, cols).alias("x")))
     total = right.count()
     carried = [f for f in right.schema.fields if f.name in inner]
     width = (right.select(F.size("x")).first() or [1])[0] if len(cols) == 1 else len(cols)
@@ -393,8 +394,6 @@ def _eligible(boxes: _Boxes, group: str, need: int) -> np.ndarray:
 def _visit(visits: DataFrame, placed: DataFrame, k: int, exclude_self: bool, out: T.StructType) -> DataFrame:
     """Search the leaf each visit names. A leaf with many visits is copied to several tasks."""
     parts = visits.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / QUERY_CHUNK).cast("long").alias("parts"))
-    # One row per leaf, at most 65,536 of them.
-    parts = F.broadcast(parts)
     asked = visits.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("query", "need"), F.col("parts")))
     copies = placed.join(parts, "leaf").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     names = out.fieldNames()

@@ -7,6 +7,8 @@
 from __future__ import annotations
 
 import math
+import warnings
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -21,7 +23,7 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -41,14 +43,60 @@ from firmlens.operators.knn import knn_join
 from firmlens.operators.metrics import classification_metrics, regression_metrics
 from firmlens.session import hold
 
+#: Spark's own limit; stands for trees without one.
 MAX_DEPTH = 30
+ITERATIONS = 200
 
 
-def evaluator(task: str):
-    """R2 for regression, accuracy for classes."""
-    if task == "regression":
-        return RegressionEvaluator(metricName="r2")
-    return MulticlassClassificationEvaluator(metricName="accuracy")
+def _depth(wanted: int | None) -> int:
+    if wanted is not None and wanted > MAX_DEPTH:
+        raise ValueError(f"trees can be {MAX_DEPTH} deep at most, not {wanted}")
+    return MAX_DEPTH if wanted is None else wanted
+
+
+def _converged(model: Model) -> Model:
+    """The fitted model; says so if its solver stopped at its limit of iterations."""
+    for part in getattr(model, "models", [model]):
+        try:
+            done = part.summary.totalIterations if not callable(part.summary) else part.summary().totalIterations
+        except Exception:  # a model without a training summary
+            continue
+        if done >= ITERATIONS:
+            warnings.warn(f"{type(part).__name__} stopped after {done} iterations", stacklevel=3)
+    return model
+
+
+class Penalised(Estimator):
+    """An estimator whose mean loss is penalised by ``1 / (c * rows)``: ``c`` weighs the sum of losses."""
+
+    def __init__(self, build: Callable[[float], Estimator], c: float):
+        super().__init__()
+        self.build, self.c = build, c
+
+    def _fit(self, df: DataFrame) -> Model:
+        return _converged(self.build(1.0 / (self.c * max(1, df.count()))).fit(df))
+
+
+class RelativeError(Evaluator):
+    """Mean absolute error relative to the label; lower is better."""
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        relative = F.abs(F.col("label") - F.col("prediction")) / F.greatest(F.abs("label"), F.lit(2.220446049250313e-16))
+        return dataset.agg(F.avg(relative)).first()[0]
+
+    def isLargerBetter(self) -> bool:
+        return False
+
+
+def evaluator(task: str, metric: str | None = None) -> Evaluator:
+    """R2 for regression and accuracy for classes, unless ``metric`` names another: r2, rmse, mape,
+    accuracy."""
+    metric = metric or ("r2" if task == "regression" else "accuracy")
+    if metric == "mape":
+        return RelativeError()
+    if metric in ("r2", "rmse"):
+        return RegressionEvaluator(metricName=metric)
+    return MulticlassClassificationEvaluator(metricName=metric)
 
 
 # ---- linear --------------------------------------------------------------------------------------
@@ -71,6 +119,18 @@ def ridge(alpha: float, n_rows: int, label_std: float = 1.0) -> LinearRegression
     return linear(alpha / max(n_rows, 1), 0.0, label_std)
 
 
+class Ridge(Estimator):
+    """Ridge whose penalty follows the rows it is fitted on."""
+
+    def __init__(self, alpha: float):
+        super().__init__()
+        self.alpha = alpha
+
+    def _fit(self, df: DataFrame) -> Model:
+        n, spread = df.agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
+        return ridge(self.alpha, n, spread or 1.0).fit(df)
+
+
 def label_std(df: DataFrame, label: str = "label") -> float:
     return df.agg(F.stddev_pop(label)).first()[0] or 1.0
 
@@ -82,15 +142,19 @@ def tweedie(link: str = "auto", alpha: float = 1.0) -> GeneralizedLinearRegressi
 
 
 def linear_clf(loss: str = "log", c: float = 1.0) -> Estimator:
-    """Linear classifier with logistic, hinge or squared loss; the penalty is 0.001 / ``c``."""
-    penalty = 1e-3 / c
-    if loss == "log":
-        return LogisticRegression(family="multinomial", regParam=penalty, elasticNetParam=0.0, maxIter=50)
-    if loss == "hinge":
-        return OneVsRest(classifier=LinearSVC(regParam=penalty, maxIter=25), parallelism=3)
-    if loss == "squared":
-        return LeastSquaresClassifier(alpha=penalty)
-    raise ValueError(f"unknown loss {loss!r}")
+    """Linear classifier with logistic, hinge or squared loss; ``c`` weighs the sum of losses."""
+
+    def build(penalty: float) -> Estimator:
+        if loss == "log":
+            return LogisticRegression(family="multinomial", regParam=penalty, elasticNetParam=0.0, maxIter=ITERATIONS)
+        if loss == "hinge":
+            return OneVsRest(classifier=LinearSVC(regParam=penalty, maxIter=ITERATIONS), parallelism=3)
+        if loss == "squared":
+            return LeastSquaresClassifier(alpha=penalty)
+        raise ValueError(f"unknown loss {loss!r}")
+
+    build(1.0)
+    return Penalised(build, c)
 
 
 class LeastSquaresClassifier(Estimator):
@@ -177,23 +241,24 @@ class SupportVectors(Estimator):
         for stage in stages:
             rows = stage.transform(rows)
         rows = hold(rows.select(inputs, "label"))
-        penalty = 1e-3 / self.c
+        penalty = 1.0 / (self.c * max(1, rows.count()))
         if self.task == "regression":
-            last = LinearRegression(featuresCol=inputs, loss="huber", regParam=penalty, maxIter=50)
+            last = LinearRegression(featuresCol=inputs, loss="huber", regParam=penalty, maxIter=ITERATIONS)
         else:
-            inner = LinearSVC(featuresCol=inputs, regParam=penalty, maxIter=25, standardization=False)
+            inner = LinearSVC(featuresCol=inputs, regParam=penalty, maxIter=ITERATIONS, standardization=False)
             last = OneVsRest(featuresCol=inputs, classifier=inner, parallelism=3)
-        stages.append(last.fit(rows))
+        stages.append(_converged(last.fit(rows)))
         rows.unpersist()
         return PipelineModel(stages)
 
 
 def svm(
-    task: str, kernel: str = "rbf", c: float = 1.0, gamma: float = 0.0, n_features: int = 64, seed: int = 42
+    task: str, kernel: str = "rbf", c: float = 1.0, gamma: float | str = "scale", n_features: int = 256, seed: int = 42
 ) -> SupportVectors:
     """Support vectors: hinge loss for classes, Huber loss for regression; the RBF kernel goes
-    through random Fourier features. The penalty is 0.001 / ``c``."""
-    return SupportVectors(task, kernel, c, gamma, n_features, seed)
+    through random Fourier features. ``c`` weighs the sum of losses. Inputs are standardised, so
+    ``gamma`` "scale" and "auto" are both one over their number."""
+    return SupportVectors(task, kernel, c, 0.0 if gamma in ("scale", "auto") else float(gamma), n_features, seed)
 
 
 # ---- trees ---------------------------------------------------------------------------------------
@@ -202,20 +267,27 @@ def svm(
 def tree(task: str, max_depth: int | None = None, min_split: int = 2, seed: int = 42, **extra) -> Estimator:
     """Decision tree; the least rows to split become the least rows in a leaf (half of them)."""
     kind = DecisionTreeRegressor if task == "regression" else DecisionTreeClassifier
-    depth = 10 if max_depth is None else min(max_depth, MAX_DEPTH)
-    return kind(maxDepth=depth, minInstancesPerNode=max(1, min_split // 2), seed=seed, **extra)
+    return kind(maxDepth=_depth(max_depth), minInstancesPerNode=max(1, min_split // 2), seed=seed, **extra)
 
 
 def forest(
-    task: str, n: int = 100, max_depth: int = 8, min_leaf: int = 1, bootstrap: bool = True, seed: int = 42, **extra
+    task: str,
+    n: int = 100,
+    max_depth: int | None = None,
+    min_leaf: int = 1,
+    min_split: int = 2,
+    bootstrap: bool = True,
+    seed: int = 42,
+    **extra,
 ) -> Estimator:
+    """Random forest; the least rows to split are half as many in a leaf, as for ``tree``."""
     kind = RandomForestRegressor if task == "regression" else RandomForestClassifier
     return kind(
-        numTrees=n, maxDepth=min(max_depth, MAX_DEPTH), minInstancesPerNode=min_leaf, bootstrap=bootstrap, seed=seed, **extra
+        numTrees=n, maxDepth=_depth(max_depth), minInstancesPerNode=max(min_leaf, min_split // 2), bootstrap=bootstrap, seed=seed, **extra
     )
 
 
-def random_subspace_forest(task: str, n: int = 100, max_depth: int = 8, bins: int = 8, seed: int = 42, **extra) -> Estimator:
+def random_subspace_forest(task: str, n: int = 100, max_depth: int | None = None, bins: int = 8, seed: int = 42, **extra) -> Estimator:
     """Stands in for extremely randomised trees: all rows, few split points, column subsets."""
     return forest(task, n, max_depth, bootstrap=False, seed=seed, maxBins=bins, featureSubsetStrategy="onethird", **extra)
 
@@ -227,7 +299,7 @@ def gbt(
     max_depth: int = 3,
     min_leaf: int = 1,
     subsample: float = 1.0,
-    columns: str = "all",
+    columns: str | float = "all",
     loss: str = "squared",
     seed: int = 42,
     **extra,
@@ -236,10 +308,10 @@ def gbt(
     args = dict(
         maxIter=n,
         stepSize=rate,
-        maxDepth=min(max_depth, MAX_DEPTH),
+        maxDepth=_depth(max_depth),
         minInstancesPerNode=min_leaf,
         subsamplingRate=subsample,
-        featureSubsetStrategy=columns,
+        featureSubsetStrategy=str(columns),
         seed=seed,
         **extra,
     )
@@ -303,9 +375,13 @@ class NeighboursModel(Model):
         self.spec, self.train = spec, train
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        """A row that shares no column with any training row gets the mean label or commonest class."""
         s = self.spec
         test = df.select(s.key, vector_to_array("features").alias("__x"))
-        return df.join(knn_predict(self.train, test, s.k, ["__x"], s.key, "label", s.task, s.weights), s.key)
+        found = knn_predict(self.train, test, s.k, ["__x"], s.key, "label", s.task, s.weights)
+        usual = F.avg("label") if s.task == "regression" else F.mode("label", deterministic=True).cast("double")
+        usual = self.train.agg(usual).first()[0]
+        return df.join(found, s.key, "left").withColumn("prediction", F.coalesce("prediction", F.lit(usual)))
 
 
 # ---- fit and score -------------------------------------------------------------------------------

@@ -10,8 +10,8 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from firmlens.functions.columns import col, cols_of
-from firmlens.operators.quantiles import exact_quantiles
-from firmlens.session import settle
+from firmlens.operators.quantiles import quantiles_and
+from firmlens.session import settle, temporary
 
 CORR_BATCH = 500
 
@@ -76,16 +76,14 @@ def missing_min(df: DataFrame, name: str) -> DataFrame:
 def describe(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std, min, quartiles and max of numeric columns, one row per column."""
     names = list(names or cols_of(df, "numeric"))
-    kept = settle(df.select(*(col(c) for c in names)))
-    quartiles = exact_quantiles(kept, names, [0.25, 0.5, 0.75], stored=True)
     stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    wide = kept.agg(
-        *(
-            fn(col(c)).cast("long" if s == "count" else "double").alias(f"{s}__{i}")
-            for i, c in enumerate(names)
-            for s, fn in stats.items()
-        )
-    ).first()
+    wanted = [
+        fn(col(c)).cast("long" if s == "count" else "double").alias(f"{s}__{i}")
+        for i, c in enumerate(names)
+        for s, fn in stats.items()
+    ]
+    with temporary(df.sparkSession):
+        quartiles, wide = quantiles_and(settle(df.select(*(col(c) for c in names))), names, [0.25, 0.5, 0.75], wanted)
     rows = [(c, *(wide[f"{s}__{i}"] for s in stats), *quartiles[c]) for i, c in enumerate(names)]
     schema = "variable string, count long, mean double, std double, min double, max double, q1 double, median double, q3 double"
     return df.sparkSession.createDataFrame(rows, schema)

@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from firmlens.functions.columns import col
 from firmlens.session import settle
 
-SMALL = 100_000
-
 
 def uniform_hash(key: Column | Sequence[Column], seed: int) -> Column:
     """32 hex digits, evenly spread, the same on every run and under every partitioning."""
@@ -42,12 +40,9 @@ def rank_by_hash(df: DataFrame, group: Sequence[str], digest: str, name: str, di
 def rank_distinct(values: DataFrame, name: str, code: str) -> DataFrame:
     """Sorted position (from 0) of each value of a duplicate-free, NULL-free column.
 
-    Few values are numbered in one window. Many are range-partitioned and written once; a value's
-    code is then its place in its range plus the sizes of the ranges before.
+    The values are range-partitioned and written once; a value's code is then its place in its
+    range plus the sizes of the ranges before.
     """
-    if values.limit(SMALL + 1).count() <= SMALL:
-        numbered = values.limit(SMALL).select(name, (F.row_number().over(Window.orderBy(name)) - 1).alias(code))
-        return numbered
     parts = values.repartitionByRange(F.col(name)).sortWithinPartitions(name)
     # The written copy pins the ranges, so that a re-run task cannot number them anew.
     placed = settle(parts.select(name, F.monotonically_increasing_id().alias("__id")))

@@ -7,11 +7,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from firmlens.functions import measures as M
-from firmlens.functions.columns import drop_null_rows, filter_null_fraction
+from firmlens.functions.columns import filter_null_fraction
 from firmlens.functions.text import decode_class
 from firmlens.operators import cleaning, encoding, fusion, imputation, outliers, splitting
 from firmlens.plans.registry import query
 from firmlens.plans.views import (
+    BOTH,
     EARLIER,
     LATER,
     companies,
@@ -248,7 +249,7 @@ def model_imputation(spark, d):
     """Known stages stay, missing ones get one of the known labels."""
     df = companies(spark, d).select("company_id", "growth_stage", "total_funding", "last_funding", "acq_class")
     return imputation.impute_by_model(
-        df, ["growth_stage"], ["total_funding", "last_funding", "acq_class"], "company_id", trees=10, rounds=3
+        df, ["growth_stage"], ["total_funding", "last_funding", "acq_class"], "company_id"
     )
 
 
@@ -289,7 +290,7 @@ cte(
     "SELECT r.*, capex, current_change, ebit - taxes + amort - capex - current_change AS free_cash_flow FROM rat r "
     "LEFT JOIN (SELECT a.company_id, a.fixed_assets - (b.fixed_assets - b.amort) AS capex, "
     "a.current_assets - b.current_assets AS current_change FROM rat a JOIN rat b ON a.company_id = b.company_id "
-    f"AND a.year = {LATER} AND b.year = {EARLIER}) USING (company_id)",
+    f"AND a.year = {LATER} AND b.year = {EARLIER}) USING (company_id) WHERE r.year IN ({EARLIER}, {LATER})",
     "rat",
 )
 
@@ -297,7 +298,7 @@ cte(
 @query("free_cash_flow", oracle("SELECT company_id, year, capex, current_change, free_cash_flow FROM fcf", "fcf"))
 def free_cash_flow(spark, d):
     # Written once: the change between the years is joined back to the same rows.
-    df = M.free_cash_flow(settle(prepared(spark, d)), LATER, EARLIER)
+    df = M.free_cash_flow(settle(prepared(spark, d, BOTH)), LATER, EARLIER)
     return df.select("company_id", "year", "capex", "current_change", "free_cash_flow")
 
 
@@ -307,7 +308,7 @@ CHANGE = ("sales", "ebitda", "total_assets", "ratio_debt_assets", "ratio_acid_te
 @query("cash_flow_change", oracle(fuse_sql("fcf", CHANGE, kind="pct"), "fcf"))
 def cash_flow_change(spark, d):
     """Free cash flow and the two-year change of every company."""
-    df = settle(prepared(spark, d)).transform(M.add_ratios).transform(M.free_cash_flow, LATER, EARLIER)
+    df = settle(prepared(spark, d, BOTH)).transform(M.add_ratios).transform(M.free_cash_flow, LATER, EARLIER)
     df = df.select("company_id", "year", *CHANGE)
     return fusion.fuse_years_pct(df, "company_id", "year", LATER, EARLIER)
 
@@ -417,13 +418,13 @@ FUSED = ("sales", "ebitda", "fixed_assets", "employees", "turnover", "ratio_acid
 
 @query("fuse_years_weighted", oracle(fuse_sql("rat", FUSED, ("taxes",)), "rat"))
 def fuse_years_weighted(spark, d):
-    df = M.add_ratios(prepared(spark, d)).select("company_id", "year", *FUSED, "taxes")
+    df = M.add_ratios(prepared(spark, d, BOTH)).select("company_id", "year", *FUSED, "taxes")
     return fusion.fuse_years_weighted(df, "company_id", "year", LATER, EARLIER, ["taxes"])
 
 
 @query("fuse_years_pct", oracle(fuse_sql("rat", FUSED, ("taxes",), "pct"), "rat"))
 def fuse_years_pct(spark, d):
-    df = M.add_ratios(prepared(spark, d)).select("company_id", "year", *FUSED, "taxes")
+    df = M.add_ratios(prepared(spark, d, BOTH)).select("company_id", "year", *FUSED, "taxes")
     return fusion.fuse_years_pct(df, "company_id", "year", LATER, EARLIER, ["taxes"])
 
 
@@ -591,5 +592,5 @@ def drop_outlier_rows(spark, d):
 
 @query("isolation_forest")
 def isolation_forest(spark, d):
-    df = drop_null_rows(company_years(spark, d).select("company_year", *RESOURCES), RESOURCES)
+    df = imputation.impute_knn(company_years(spark, d).select("company_year", *RESOURCES), "company_year", RESOURCES)
     return outliers.isolation_forest(df, RESOURCES, "company_year").select("company_year", "score", "outlier")

@@ -14,6 +14,7 @@ from firmlens.operators.splitting import split
 from firmlens.plans.cleaning import RESOURCES, company_years, rounded
 from firmlens.plans.registry import query
 from firmlens.plans.views import (
+    BOTH,
     EARLIER,
     FEATURES,
     LATER,
@@ -22,6 +23,7 @@ from firmlens.plans.views import (
     model_table,
     oracle,
     prepared,
+    scoring_table,
     table,
 )
 from firmlens.session import hold, scratch_path, settle
@@ -233,62 +235,63 @@ def _listed(df: DataFrame, names, column="variable") -> DataFrame:
 @query("forest_importance")
 def forest_importance(spark, d):
     df = model_table(spark, d)
-    found = selection.importances(df, "valuation", NUMBERS, "regression", trees=20)
+    found = selection.importances(df, "valuation", NUMBERS, "regression")
     return spark.createDataFrame(list(found.items()), "variable string, importance double")
 
 
 @query("select_by_importance")
 def select_by_importance(spark, d):
     df = model_table(spark, d)
-    return _listed(df, selection.select_by_importance(df, "acq_class", 0.017, NUMBERS, "class", trees=20))
+    return _listed(df, selection.select_by_importance(df, "acq_class", 0.017, NUMBERS, "class"))
 
 
 @query("recursive_elimination")
 def recursive_elimination(spark, d):
     df = model_table(spark, d)
-    return _listed(df, selection.rfe(df, "acq_class", NUMBERS, "class", n=12, step=3, trees=10))
+    return _listed(df, selection.rfe(df, "acq_class", NUMBERS, "class"))
 
 
 @query("best_feature_set")
 def best_feature_set(spark, d):
-    return selection.best_feature_set(model_table(spark, d), SETS, "valuation", "company_id", "regression", trees=10)
+    return selection.best_feature_set(model_table(spark, d), SETS, "valuation", "company_id", "regression")
 
 
 @query("best_scaling")
 def best_scaling(spark, d):
-    return selection.best_scaling(model_table(spark, d), NUMBERS, "acq_class", "company_id", "class", trees=10)
+    return selection.best_scaling(model_table(spark, d), NUMBERS, "acq_class", "company_id", "class")
 
 
 @query("regression_leaderboard")
 def regression_leaderboard(spark, d):
-    df = M.log1p_all(model_table(spark, d), ["valuation", *SMALL_SET]).where(F.col("valuation").isNotNull())
+    df = M.log1p_all(model_table(spark, d), ["valuation", *NUMBERS]).where(F.col("valuation").isNotNull())
     candidates = {
-        "forest": models.forest("regression", n=10),
+        "forest": models.forest("regression"),
         "linear": models.linear(),
-        "svm": models.svm("regression", n_features=32),
+        "svm": models.svm("regression"),
         "neighbours": models.Neighbours("regression"),
-        "tree": models.tree("regression", 5),
+        "tree": models.tree("regression"),
         "tweedie": models.tweedie(),
     }
-    return selection.leaderboard({"small": (df, SMALL_SET)}, "valuation", "company_id", candidates, "regression")
+    return selection.leaderboard({n: (df, names) for n, names in SETS.items()}, "valuation", "company_id", candidates, "regression")
 
 
 @query("class_leaderboard")
 def class_leaderboard(spark, d):
-    df = labelled(spark, d)
+    df = model_table(spark, d).select("company_id", "acq_class", *NUMBERS)
     candidates = {
-        "forest": models.forest("class", n=10),
+        "forest": models.forest("class"),
         "linear": models.linear_clf("log"),
+        "svm": models.svm("class"),
         "neighbours": models.Neighbours("class"),
-        "tree": models.tree("class", 5),
+        "tree": models.tree("class"),
         "bayes": models.gaussian_nb(),
     }
 
     def resample(train: DataFrame, names):
-        return balance.smote(train, "acq_class", names, "company_id")
+        return balance.smote_enn(train, "acq_class", names, "company_id")
 
     df = df.withColumn("company_id", F.col("company_id").cast("string"))
-    return selection.leaderboard({"small": (df, SMALL_SET)}, "acq_class", "company_id", candidates, "class", prepare=resample)
+    return selection.leaderboard({n: (df, names) for n, names in SETS.items()}, "acq_class", "company_id", candidates, "class", prepare=resample)
 
 
 # ---- models --------------------------------------------------------------------------------------
@@ -420,7 +423,7 @@ def support_vector_regressors(spark, d):
 
 @query("support_vector_classifiers")
 def support_vector_classifiers(spark, d):
-    return _scores(spark, d, "class", {k: models.svm("class", k, n_features=32) for k in ("linear", "rbf")})
+    return _scores(spark, d, "class", {k: models.svm("class", k) for k in ("linear", "rbf")})
 
 
 def _tree_query(name: str, regressor, classifier):
@@ -434,28 +437,42 @@ def _tree_query(name: str, regressor, classifier):
 
 
 _tree_query("decision_tree", lambda: models.tree("regression", 5, 10), lambda: models.tree("class", 5, 10))
-_tree_query("random_forest", lambda: models.forest("regression", n=20), lambda: models.forest("class", n=20))
+_tree_query("random_forest", lambda: models.forest("regression"), lambda: models.forest("class"))
 _tree_query(
-    "random_subspace", lambda: models.random_subspace_forest("regression", n=20), lambda: models.random_subspace_forest("class", n=20)
+    "random_subspace", lambda: models.random_subspace_forest("regression"), lambda: models.random_subspace_forest("class")
 )
-_tree_query("gradient_boosting", lambda: models.gbt("regression", n=10), lambda: models.gbt("class", n=5))
+_tree_query("gradient_boosting", lambda: models.gbt("regression"), lambda: models.gbt("class"))
 _tree_query(
     "adaboost",
-    lambda: ensembles.AdaBoost("regression", n=6, loss="linear"),
-    lambda: ensembles.AdaBoost("class", n=6, max_depth=2),
+    lambda: ensembles.AdaBoost("regression", loss="linear"),
+    lambda: ensembles.AdaBoost("class"),
 )
 _tree_query(
     "bagging",
-    lambda: ensembles.Bagging(models.tree("regression", 5), 6, "regression"),
-    lambda: ensembles.Bagging(models.tree("class", 5), 6, "class"),
+    lambda: ensembles.Bagging(models.tree("regression"), 100, "regression"),
+    lambda: ensembles.Bagging(models.tree("class"), 100, "class"),
 )
 _tree_query(
     "stacking",
     lambda: ensembles.Stacking(
-        {"lasso": models.linear(0.5, 1.0), "tree": models.tree("regression", 5)}, models.tree("regression", 3), "regression", k=3
+        {
+            "lasso": models.linear(0.5, 1.0),
+            "ridge": models.Ridge(0.5),
+            "tree": models.tree("regression"),
+            "svm": models.svm("regression"),
+        },
+        models.tree("regression"),
+        "regression",
     ),
     lambda: ensembles.Stacking(
-        {"logistic": models.linear_clf("log"), "tree": models.tree("class", 5)}, models.linear_clf("log"), "class", k=3
+        {
+            "logistic": models.linear_clf("log"),
+            "svm": models.svm("class"),
+            "neighbours": models.Neighbours("class"),
+            "tree": models.tree("class", 3),
+        },
+        models.linear_clf("log"),
+        "class",
     ),
 )
 
@@ -533,7 +550,7 @@ def knn_classification(spark, d):
 def grid_search_tree(spark, d):
     train, _ = split(regression_rows(spark, d), "company_id", 0.2)
     board, _ = tuning.grid_search(
-        train, lambda **p: models.tree("regression", **p), {"max_depth": [3, 5], "min_split": [2, 10]}, "regression", k=3
+        train, lambda **p: models.tree("regression", **p), tuning.REGRESSION_GRIDS["tree"], "regression"
     )
     return board
 
@@ -542,26 +559,47 @@ def grid_search_tree(spark, d):
 def grid_search_neighbours(spark, d):
     train, _ = split(class_rows(spark, d), "company_id", 0.3)
     board, _ = tuning.grid_search(
-        train, lambda **p: models.Neighbours("class", **p), {"k": [3, 7], "weights": ["uniform", "distance"]}, "class", k=2
+        train, lambda **p: models.Neighbours("class", **p), tuning.CLASS_GRIDS["neighbours"], "class"
     )
     return board
 
 
+@query("random_search_boosting")
+def random_search_boosting(spark, d):
+    """The whole space and budget of the light boosting search, by relative error."""
+    train, _ = split(regression_rows(spark, d), "company_id", 0.2)
+    space, budget = tuning.SPACES["light_boosting"]
+    board, _ = tuning.random_search(train, tuning.BUILDERS["light_boosting"], space, budget, "regression", metric="mape")
+    return board
+
+
 @query("random_search_forest")
 def random_search_forest(spark, d):
+    """The forest's space with the numbers of trees of a sketch search: a fifth of the full ones."""
     train, _ = split(class_rows(spark, d), "company_id", 0.3)
-    space = {"n": ("int", 5, 20, 1), "max_depth": ("int", 2, 6, 1), "min_leaf": ("int", 1, 9, 1)}
-    board, _ = tuning.random_search(train, lambda **p: models.forest("class", **p), space, 4, "class", k=3)
+    space, budget = tuning.SPACES["forest_class"]
+    board, _ = tuning.random_search(train, tuning.BUILDERS["forest_class"], {**space, "n": ("int", 1, 40, 1), "max_depth": ("int", 10, 30, 1)}, budget, "class")
     return board
 
 
-@query("saved_model")
+@query(
+    "saved_model",
+    oracle(
+        "s AS (SELECT *, CAST('0x' || substr(md5('42|' || company_id::VARCHAR), 1, 8) AS BIGINT) % 100 < 20 AS is_test FROM mt WHERE valuation IS NOT NULL), "
+        "f AS (SELECT regr_slope(valuation, total_funding) AS b, regr_intercept(valuation, total_funding) AS a FROM s WHERE NOT is_test) "
+        "SELECT company_id, round(a + b * total_funding, 4) AS before, round(a + b * total_funding, 4) AS after FROM s, f WHERE is_test",
+        "mt",
+    ),
+)
 def saved_model(spark, d):
     """Predictions of a pipeline that was written and read back, next to those of the original."""
-    names = ["sales", "debt", "total_funding"]
     train, test = split(settle(model_table(spark, d).dropna(subset=["valuation"])), "company_id", 0.2)
-    stages = [VectorAssembler(inputCols=names, outputCol="features"), models.linear().setLabelCol("valuation")]
+    stages = [VectorAssembler(inputCols=["total_funding"], outputCol="features"), models.linear().setLabelCol("valuation")]
     fitted = Pipeline(stages=stages).fit(train)
+    return rounded(_round_trip(spark, fitted, test), 4, "before", "after")
+
+
+def _round_trip(spark, fitted, test: DataFrame) -> DataFrame:
     path = scratch_path(spark, "model")
     save_model(fitted, path)
     before = fitted.transform(test).select("company_id", F.col("prediction").alias("before"))
@@ -569,6 +607,91 @@ def saved_model(spark, d):
     return before.join(after, "company_id")
 
 
+@query("saved_adaboost")
+def saved_adaboost(spark, d):
+    """Both tasks' boosted trees, written and read back."""
+    out = []
+    for task, rows in (("regression", regression_rows(spark, d)), ("class", class_rows(spark, d))):
+        train, test = split(settle(rows), "company_id", 0.2)
+        out.append(_round_trip(spark, ensembles.AdaBoost(task, n=20).fit(train), test).withColumn("task", F.lit(task)))
+    return out[0].unionByName(out[1])
+
+
+@query("saved_forest")
+def saved_forest(spark, d):
+    train, test = split(settle(regression_rows(spark, d)), "company_id", 0.2)
+    return _round_trip(spark, models.forest("regression").fit(train), test)
+
+
+@query(
+    "tweedie_identity",
+    oracle(
+        "SELECT round(covar_pop(valuation, total_funding) / var_pop(total_funding), 6) AS slope, "
+        "round(avg(valuation) - covar_pop(valuation, total_funding) / var_pop(total_funding) * avg(total_funding), 3) AS intercept "
+        "FROM cmp WHERE valuation IS NOT NULL",
+        "cmp",
+    ),
+)
+def tweedie_identity(spark, d):
+    """Without a penalty the identity link is least squares."""
+    rows = hold(selection.assemble(companies(spark, d), ["total_funding"], "valuation"))
+    m = models.tweedie("identity", 0.0).fit(rows)
+    rows.unpersist()
+    return spark.createDataFrame([(round(float(m.coefficients[0]), 6), round(float(m.intercept), 3))], "slope double, intercept double")
+
+
+def _two_by_normal_equations(ridge: float) -> str:
+    """Two features solved by hand from central moments; ``ridge`` is added to both variances."""
+    return (
+        "s AS (SELECT * FROM cmp WHERE valuation IS NOT NULL AND last_funding IS NOT NULL), "
+        f"m AS (SELECT var_pop(total_funding) + {ridge} AS aa, var_pop(last_funding) + {ridge} AS bb, covar_pop(total_funding, last_funding) AS ab, "
+        "covar_pop(total_funding, valuation) AS ay, covar_pop(last_funding, valuation) AS by FROM s) "
+        "SELECT round((ay * bb - by * ab) / (aa * bb - ab * ab), 5) AS total_funding, "
+        "round((by * aa - ay * ab) / (aa * bb - ab * ab), 5) AS last_funding FROM m"
+    )
+
+
+def _two_slopes(spark, d, build) -> DataFrame:
+    rows = hold(selection.assemble(companies(spark, d), ["total_funding", "last_funding"], "valuation"))
+    a, b = build(rows).fit(rows).coefficients
+    rows.unpersist()
+    return spark.createDataFrame([(round(float(a), 5), round(float(b), 5))], "total_funding double, last_funding double")
+
+
+@query("ols_two_features", oracle(_two_by_normal_equations(0.0), "cmp"))
+def ols_two_features(spark, d):
+    return _two_slopes(spark, d, lambda rows: models.linear())
+
+
+@query("ridge_two_features", oracle(_two_by_normal_equations(1e6), "cmp"))
+def ridge_two_features(spark, d):
+    return _two_slopes(spark, d, lambda rows: models.linear(1e6, 0.0, models.label_std(rows)))
+
+
+@query(
+    "tree_one_cut",
+    oracle(
+        "s AS (SELECT total_funding AS x, valuation AS y FROM cmp WHERE valuation IS NOT NULL AND c_small), "
+        "g AS (SELECT x, count(*) AS n, sum(y) AS t FROM s GROUP BY x), "
+        "c AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx, sum(n) OVER (ORDER BY x) AS n1, sum(t) OVER (ORDER BY x) AS t1, "
+        "sum(n) OVER () AS n, sum(t) OVER () AS t FROM g), "
+        "b AS (SELECT *, t1 * t1 / n1 + (t - t1) * (t - t1) / nullif(n - n1, 0) AS gain FROM c WHERE nx IS NOT NULL ORDER BY gain DESC, x LIMIT 1) "
+        "SELECT round(t1 / n1, 4) AS low, round((t - t1) / (n - n1), 4) AS high FROM b".replace(" AND c_small", " AND company_id % 30 = 1"),
+        "cmp",
+    ),
+)
+def tree_one_cut(spark, d):
+    """A tree of depth one is the cut that leaves the least variance; few rows, so every value is a
+    candidate cut."""
+    df = companies(spark, d).where("company_id % 30 = 1")
+    rows = hold(selection.assemble(df, ["total_funding"], "valuation"))
+    # As many bins as rows: every midpoint is tried.
+    fitted = models.tree("regression", 1, maxBins=max(2, rows.count())).fit(rows)
+    rows.unpersist()
+    low, high = ensembles.Trees.of([fitted]).nodes[1:, 4]
+    return spark.createDataFrame([(round(float(low), 4), round(float(high), 4))], "low double, high double")
+
+
 # ---- metrics -------------------------------------------------------------------------------------
 
 
@@ -642,25 +765,21 @@ def accuracy(spark, d):
 # ---- scoring -------------------------------------------------------------------------------------
 
 
-def present(df: DataFrame, features) -> list[str]:
-    return [c for c in features if c in df.columns]
-
-
 @query("score_valuation")
 def score_valuation(spark, d):
-    df = settle(model_table(spark, d))
-    names = present(df, scoring.VALUATION_FEATURES)
+    df = settle(scoring_table(spark, d))
+    names = scoring.VALUATION_FEATURES
     known = df.where(F.col("valuation") > 0).withColumn("valuation", F.ln("valuation"))
     rows = selection.assemble(scoring.valuation_inputs(known, names), names, "valuation")
-    return scoring.score_valuation(df, models.forest("regression", n=10).fit(rows), names)
+    return scoring.score_valuation(df, models.forest("regression").fit(rows), names)
 
 
 @query("score_acquisition")
 def score_acquisition(spark, d):
-    df = settle(model_table(spark, d))
-    names = present(df, scoring.ACQUISITION_FEATURES)
+    df = settle(scoring_table(spark, d))
+    names = scoring.ACQUISITION_FEATURES
     rows = selection.assemble(M.nan_to_num(df, names), names, "acq_class")
-    return scoring.score_acquisition(df, models.forest("class", n=10).fit(rows), names)
+    return scoring.score_acquisition(df, models.forest("class").fit(rows), names)
 
 
 @query(
@@ -687,7 +806,7 @@ KPIS = {"profitability": "ratio_ebitda_assets", "liquidity_solvency": "ratio_aci
     ),
 )
 def kpi_by_year(spark, d):
-    df = M.add_ratios(prepared(spark, d)).select("company_id", "year", *(F.col(r).alias(k) for k, r in KPIS.items()))
+    df = M.add_ratios(prepared(spark, d, BOTH)).select("company_id", "year", *(F.col(r).alias(k) for k, r in KPIS.items()))
     df = settle(df)
     earlier, later = df.where(F.col("year") == EARLIER), df.where(F.col("year") == LATER)
     return scoring.kpi_by_year(earlier, later, list(KPIS), (EARLIER, LATER))

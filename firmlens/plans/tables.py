@@ -9,7 +9,7 @@ from firmlens.functions.text import strip_words
 from firmlens.operators import joins, profile
 from firmlens.operators.quantiles import quartile_frame
 from firmlens.plans.registry import query
-from firmlens.plans.views import EARLIER, LATER, companies, oracle, prepared, statements, table
+from firmlens.plans.views import BOTH, EARLIER, LATER, companies, oracle, prepared, statements, table
 from firmlens.session import scratch_path, settle
 from firmlens.sources import pages, tables
 
@@ -84,7 +84,7 @@ PAGE_RULES = {
 
 def _page_field(name: str) -> str:
     pattern, words = PAGE_RULES[name]
-    text = f"regexp_extract(html, '{pattern}', 1)"
+    text = f"regexp_replace(regexp_extract(html, '{pattern}', 1), '<[^>]*>', '', 'g')"
     for w in words:
         text = f"replace({text}, '{w}', '')"
     return f"nullif(trim({text}), '') AS {name}"
@@ -95,6 +95,34 @@ def page_fields(spark, d):
     return pages.extract_page_fields(table(spark, d, "pages"), PAGE_RULES)
 
 
+def profile_pages(spark, d):
+    """Profile pages made from the companies, with every element that the rules look for."""
+    month = F.element_at(F.array(*(F.lit(m) for m in pages.MONTHS)), F.col("company_id").cast("int") % 12 + 1)
+    number = F.col("company_id").cast("string")
+    parts = (
+        '<h1 class="n">\n<b>', F.col("name"), "</b> Ltd</h1><time>", month, " ", (F.col("company_id") % 30 + 1990).cast("string"), "</time>",
+        '<div class="field employees"><i><a href="#">', number, " people</a></i></div>",
+        F.when(F.col("company_id") % 5 != 0, F.concat(F.lit('<a class="field-value-link" href="/x">'), F.col("place"), F.lit("</a>"))).otherwise(""),
+        '<span class="highlight">', F.col("place"), " Basque Country</span>",
+        '<div class="ranking-section-container">Dealroom.co signal ', number, "</div>",
+    )
+    html = F.concat(*(p if not isinstance(p, str) else F.lit(p) for p in parts))
+    return companies(spark, d).select("company_id", html.alias("html"))
+
+
+@query(
+    "profile_fields",
+    oracle(
+        "SELECT company_id, name || ' Ltd' AS name, (company_id % 30 + 1990)::VARCHAR AS launch_year, company_id::VARCHAR AS employees, "
+        "CASE WHEN company_id % 5 <> 0 THEN place END AS ownership, place AS location, company_id::VARCHAR AS ranking FROM cmp",
+        "cmp",
+    ),
+)
+def profile_fields(spark, d):
+    out = pages.extract_page_fields(profile_pages(spark, d))
+    return out.withColumn("name", F.trim(F.regexp_replace("name", r"^\s+", "")))
+
+
 # ---- columns and rows ----------------------------------------------------------------------------
 
 BALANCE = ("fixed_assets", "current_assets", "total_assets", "equity", "noncurrent_liab", "current_liab")
@@ -115,7 +143,7 @@ def drop_identity(spark, d):
 
 @query(
     "numeric_columns",
-    oracle("SELECT company_id, total_funding, last_funding, valuation FROM cmp", "cmp"),
+    oracle("SELECT company_id, total_funding, last_funding, valuation, acq_class FROM cmp", "cmp"),
 )
 def numeric_columns(spark, d):
     df = companies(spark, d)
@@ -206,7 +234,7 @@ def filter_null_fraction(spark, d):
     oracle("SELECT * FROM stm JOIN cmp USING (company_id) WHERE place = 'NATION_7' AND year = 2000 AND acq_class = 1", "stm", "cmp"),
 )
 def lookup_company(spark, d):
-    df = statements(spark, d).join(companies(spark, d), "company_id")
+    df = statements(spark, d, (LATER, LATER)).join(companies(spark, d), "company_id")
     return C.lookup_company(df, place="NATION_7", year=LATER, acq_class=1)
 
 
@@ -237,7 +265,7 @@ def find_by_name(spark, d):
     "null_pattern_counts",
     oracle(
         "p AS (SELECT company_id, max(CASE WHEN year = 1999 THEN employees END) AS e1, "
-        "max(CASE WHEN year = 2000 THEN employees END) AS e2 FROM stm GROUP BY company_id) "
+        "max(CASE WHEN year = 2000 THEN employees END) AS e2 FROM stm WHERE year IN (1999, 2000) GROUP BY company_id) "
         "SELECT count(*) FILTER (e1 IS NULL AND e2 IS NULL AND last_funding IS NULL) AS all_missing, "
         "count(*) FILTER (e1 IS NOT NULL AND e2 IS NULL) AS only_earlier, "
         "count(*) FILTER (last_funding IS NOT NULL AND e2 IS NULL) AS only_funding FROM p JOIN cmp USING (company_id)",
@@ -247,7 +275,7 @@ def find_by_name(spark, d):
 )
 def null_pattern_counts(spark, d):
     e1, e2 = f"employees_{EARLIER}", f"employees_{LATER}"
-    wide = profile.pivot_year(statements(spark, d), "company_id", "year", "employees", [EARLIER, LATER])
+    wide = profile.pivot_year(statements(spark, d, BOTH), "company_id", "year", "employees", [EARLIER, LATER])
     wide = wide.join(companies(spark, d), "company_id")
     return C.null_pattern_counts(
         wide,
@@ -329,14 +357,14 @@ def join_company(spark, d):
     "employees_with_funding",
     oracle(
         "p AS (SELECT company_id, max(CASE WHEN year = 1999 THEN employees END) AS employees_1999, "
-        "max(CASE WHEN year = 2000 THEN employees END) AS employees_2000 FROM stm GROUP BY company_id) "
+        "max(CASE WHEN year = 2000 THEN employees END) AS employees_2000 FROM stm WHERE year IN (1999, 2000) GROUP BY company_id) "
         "SELECT company_id, employees_1999, employees_2000, last_funding FROM p JOIN cmp USING (company_id)",
         "stm",
         "cmp",
     ),
 )
 def employees_with_funding(spark, d):
-    wide = profile.pivot_year(statements(spark, d), "company_id", "year", "employees", [EARLIER, LATER])
+    wide = profile.pivot_year(statements(spark, d, BOTH), "company_id", "year", "employees", [EARLIER, LATER])
     return wide.join(companies(spark, d).select("company_id", "last_funding"), "company_id", "inner")
 
 
@@ -359,14 +387,16 @@ def attach_year(spark, d):
 @query(
     "companies_by_place",
     oracle(
-        "SELECT place, CAST(trunc(count(company_id) / 2.0) AS INTEGER) AS companies FROM stm JOIN cmp USING (company_id) GROUP BY place",
+        "SELECT place, CAST(trunc(count(company_id) / CAST((SELECT count(DISTINCT year) FROM stm) AS DOUBLE)) AS INTEGER) AS companies "
+        "FROM stm JOIN cmp USING (company_id) GROUP BY place",
         "stm",
         "cmp",
     ),
 )
 def companies_by_place(spark, d):
+    years = statements(spark, d).select("year").distinct().count()
     rows = statements(spark, d).select("company_id").join(companies(spark, d).select("company_id", "place"), "company_id")
-    return profile.companies_by_place(rows)
+    return profile.companies_by_place(rows, years)
 
 
 @query(
@@ -603,12 +633,12 @@ def filtered_mean(spark, d):
     "pivot_year",
     oracle(
         "SELECT company_id, max(CASE WHEN year = 1999 THEN sales END) AS sales_1999, "
-        "max(CASE WHEN year = 2000 THEN sales END) AS sales_2000 FROM stm GROUP BY company_id",
+        "max(CASE WHEN year = 2000 THEN sales END) AS sales_2000 FROM stm WHERE year IN (1999, 2000) GROUP BY company_id",
         "stm",
     ),
 )
 def pivot_year(spark, d):
-    return profile.pivot_year(statements(spark, d), "company_id", "year", "sales", [EARLIER, LATER])
+    return profile.pivot_year(statements(spark, d, BOTH), "company_id", "year", "sales", [EARLIER, LATER])
 
 
 EXTREME = ("sales", "ebitda", "fixed_assets", "current_liab")

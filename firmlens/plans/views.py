@@ -18,18 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Company-year statements.
+#: The fiscal years of everything that sets two years side by side.
+BOTH = (EARLIER, LATER)
+
+
+def statements(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
+    """Company-year statements of all years, or from the first to the last of ``years``.
 
     The year filter is a date range that reaches the scan. Lines are summed per order first: that
     aggregate keeps the partitioning of the join, and the number of orders becomes a plain count
     instead of a distinct one.
     """
     orders = table(spark, sf_dir, "orders")
-    # Literals of the column's own type: a cast on the column would keep the filter from the scan.
-    kind = orders.schema["o_orderdate"].dataType
-    start, end = (F.lit(f"{y}-01-01").cast(kind) for y in (EARLIER, LATER + 1))
-    orders = orders.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end))
+    if years:
+        # Literals of the column's own type: a cast on the column would keep the filter from the scan.
+        kind = orders.schema["o_orderdate"].dataType
+        start, end = (F.lit(f"{y}-01-01").cast(kind) for y in (years[0], years[1] + 1))
+        orders = orders.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end))
 
     def money(c) -> F.Column:
         """Ten-thousandths as a whole number: sums are exact whatever their order, and the
@@ -90,8 +95,7 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Legal and funding facts, one row per company."""
     first = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_date"))
-    # Customers join 25 nations; the broadcast side is a fixed code table.
-    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     key, balance = F.col("c_custkey"), F.col("c_acctbal")
     month = F.month("first_date")
     name = F.when(month == 1, "jan").when(month == 2, "feb").when(month == 3, "mar").otherwise("apr")
@@ -119,22 +123,23 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prepared(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
     """Statements after sentinel removal, identity fills and recomputed totals."""
-    df = null_sentinel(statements(spark, sf_dir)).withColumnRenamed("turnover_txt", "turnover")
+    df = null_sentinel(statements(spark, sf_dir, years)).withColumnRenamed("turnover_txt", "turnover")
     return df.transform(impute_balance).transform(recompute_totals)
 
 
 FEATURES = (
     "fixed_assets", "current_assets", "total_assets", "equity", "noncurrent_liab", "current_liab", "sales", "debt",
     "taxes", "inventory", "ebitda", "ebit", "amort", "payables", "working_capital", "ratio_debt_assets",
-    "ratio_ebitda_assets", "ratio_sales_assets", "ratio_acid_test", "ratio_collection_days",
+    "ratio_debt_equity", "ratio_ebitda_assets", "ratio_ebitda_equity", "ratio_sales_ebitda", "ratio_sales_assets",
+    "ratio_acid_test", "ratio_collection_days",
 )
 
 
 def fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per company with both years: the weighted mean of every feature."""
-    df = add_ratios(prepared(spark, sf_dir)).select("company_id", "year", *FEATURES)
+    df = add_ratios(prepared(spark, sf_dir, BOTH)).select("company_id", "year", *FEATURES)
     return fuse_years_weighted(df, "company_id", "year", LATER, EARLIER)
 
 
@@ -146,6 +151,48 @@ def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fused(spark, sf_dir).join(facts, "company_id")
 
 
+def scoring_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every company with both years and all inputs of the two published scorers.
+
+    Measures that the bound tables lack are made from those they have.
+    """
+    rounds = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("company_id")).agg(
+        F.count(F.lit(1)).cast("double").alias("total_rounds"),
+        F.datediff(F.lit("2002-06-30").cast("date"), F.min("o_orderdate").cast("date")).cast("double").alias("days_operating"),
+    )
+    staff = statements(spark, sf_dir, BOTH).groupBy("company_id").agg(F.avg("employees").alias("employees"))
+
+    def over(a: str, b: str):
+        return F.col(a) / F.nullif(F.col(b), F.lit(0.0))
+
+    total_debt = F.col("noncurrent_liab") + F.col("current_liab")
+    return (
+        model_table(spark, sf_dir)
+        .join(rounds, "company_id", "left")
+        .join(staff, "company_id", "left")
+        .withColumns(
+            {
+                "total_liab_equity": F.col("total_assets"),
+                "share_capital": F.col("equity") * 0.625,
+                "cash": F.col("current_assets") - F.col("inventory"),
+                "collection_days": F.col("ratio_collection_days"),
+                "indebtedness": total_debt / F.nullif("total_assets", F.lit(0.0)),
+                "financial_autonomy": over("equity", "total_assets"),
+                "staff_cost_ratio": over("employees", "sales"),
+                "inventory_turnover": over("sales", "inventory"),
+                "net_asset_turnover": over("sales", "equity"),
+                "return_on_assets": (F.col("ebit") - F.col("taxes")) / F.nullif("total_assets", F.lit(0.0)),
+                "economic_return": over("ebit", "total_assets"),
+                "financial_result": -F.col("debt"),
+                "value_added": F.col("sales") - F.col("payables"),
+                "liquidity_ratio": over("current_assets", "current_liab"),
+                "general_liquidity": over("working_capital", "current_liab"),
+                "solvency_ratio": over("equity", "debt"),
+            }
+        )
+    )
+
+
 # ---- the same tables as SQL ----------------------------------------------------------------------
 
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -199,7 +246,6 @@ FROM (
     CAST(SUM(CAST(l_quantity AS DECIMAL(18,4))) AS DOUBLE) AS inventory,
     CAST(COUNT(DISTINCT o_orderkey) AS DOUBLE) AS n_orders
   FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-  WHERE year(o_orderdate) IN (1999, 2000)
   GROUP BY o_custkey, year(o_orderdate))
 """,
 )

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +26,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship(session)
+    return session
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         named = sc.getCheckpointDir()
     if not named:
-        if not sc.master.startswith("local"):
+        if not sc.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="firmlens-")
     if not sc.getCheckpointDir():
@@ -41,9 +47,62 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_inside: list[list[str]] = []
+
+
+def _path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/firmlens-{name}-{uuid.uuid4().hex}"
+    """A new, unused path in the application's own folder below the shared one.
+
+    The folder goes when the application ends; what is made inside ``temporary`` goes with the block.
+    """
+    own = f"{shared_dir(spark).rstrip('/')}/firmlens-{spark.sparkContext.applicationId}"
+    folder, store = _path(spark, own)
+    store.mkdirs(folder)
+    store.deleteOnExit(folder)
+    path = f"{own}/{name}-{uuid.uuid4().hex}"
+    if _inside:
+        _inside[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target, store = _path(spark, path)
+    store.delete(target, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Written tables made inside are removed at the end. For work that is finished by then: nothing
+    that is still to be computed may read them."""
+    _inside.append([])
+    try:
+        yield
+    finally:
+        for path in _inside.pop():
+            remove(spark, path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, unless it is installed there anyway."""
+    sc = spark.sparkContext
+    if getattr(sc, "_firmlens_shipped", False):
+        return
+    sc._firmlens_shipped = True
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="firmlens-ship-"), "firmlens.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -1,13 +1,73 @@
-"""Saving and loading fitted pipelines."""
+"""Saving and loading fitted models.
+
+Spark's own models keep Spark's format. The ensembles that Spark has none of are written as Parquet
+tables and a description; their parts that are Spark models are saved below them.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+import json
+
+import numpy as np
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import SparkSession, functions as F
+
+from firmlens.operators.ensembles import StackingModel, Trees, WeightedMembers
+from firmlens.operators.models import HighestOutput, Neighbours, NeighboursModel
+
+
+def save_model(model: Model, path: str) -> None:
+    spark = SparkSession.getActiveSession()
 
+    def describe(**what) -> None:
+        spark.createDataFrame([(json.dumps(what),)], "description string").coalesce(1).write.mode("overwrite").parquet(f"{path}/firmlens")
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    if isinstance(model, WeightedMembers):
+        if model.trees is None:
+            for i, member in enumerate(model.members):
+                save_model(member, f"{path}/member{i}")
+        else:
+            nodes = spark.createDataFrame([(i, *map(float, n)) for i, n in enumerate(model.trees.nodes)], "id long, " + ", ".join(f"{c} double" for c in Trees.COLUMNS))
+            nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+        starts = model.trees.starts if model.trees else None
+        describe(kind="members", votes=model.votes, classes=model.classes, mean=model.mean, starts=starts, n=len(model.members))
+    elif isinstance(model, StackingModel):
+        for i, member in enumerate([*model.level0.values(), model.level1]):
+            save_model(member, f"{path}/level{i}")
+        describe(kind="stacking", names=list(model.level0), classes=model.classes)
+    elif isinstance(model, HighestOutput):
+        for i, member in enumerate(model.fits):
+            save_model(member, f"{path}/fit{i}")
+        describe(kind="highest", classes=model.classes)
+    elif isinstance(model, NeighboursModel):
+        model.train.write.mode("overwrite").parquet(f"{path}/train")
+        describe(kind="neighbours", task=model.spec.task, k=model.spec.k, weights=model.spec.weights, key=model.spec.key)
+    elif isinstance(model, PipelineModel) and any(type(s).__module__.startswith("firmlens.operators") and not hasattr(s, "write") for s in model.stages):
+        for i, stage in enumerate(model.stages):
+            save_model(stage, f"{path}/stage{i}")
+        describe(kind="pipeline", n=len(model.stages))
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> Model:
+    spark = SparkSession.getActiveSession()
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/firmlens")
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return DefaultParamsReader.loadParamsInstance(path, spark)
+    what = json.loads(spark.read.parquet(f"{path}/firmlens").first()[0])
+    if what["kind"] == "members":
+        if what["starts"] is None:
+            return WeightedMembers([load_model(f"{path}/member{i}") for i in range(what["n"])], what["votes"], what["classes"], what["mean"])
+        rows = spark.read.parquet(f"{path}/nodes").orderBy("id").select(*(F.col(c) for c in Trees.COLUMNS)).collect()
+        return WeightedMembers([], what["votes"], what["classes"], what["mean"], Trees(np.array(rows, float).reshape(-1, 5), what["starts"]))
+    if what["kind"] == "stacking":
+        parts = [load_model(f"{path}/level{i}") for i in range(len(what["names"]) + 1)]
+        return StackingModel(dict(zip(what["names"], parts[:-1], strict=True)), parts[-1], what["classes"])
+    if what["kind"] == "highest":
+        return HighestOutput(what["classes"], [load_model(f"{path}/fit{i}") for i in range(len(what["classes"]))])
+    if what["kind"] == "neighbours":
+        spec = Neighbours(what["task"], what["k"], what["weights"], what["key"])
+        return NeighboursModel(spec, spark.read.parquet(f"{path}/train"))
+    return PipelineModel([load_model(f"{path}/stage{i}") for i in range(what["n"])])

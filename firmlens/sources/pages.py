@@ -26,8 +26,9 @@ PROFILE_RULES: dict[str, tuple[str, Sequence[str]]] = {
 
 
 def field(html: Column, pattern: str, words: Sequence[str] = ()) -> Column:
-    """First match of ``pattern`` without the listed words; NULL when the element is missing."""
-    found = F.when(F.regexp_like(html, F.lit(pattern)), F.regexp_extract(html, pattern, 1))
+    """First match of ``pattern`` without inner tags and the listed words; NULL when the element is
+    missing."""
+    found = F.when(F.regexp_like(html, F.lit(pattern)), F.regexp_replace(F.regexp_extract(html, pattern, 1), "<[^>]*>", ""))
     return F.nullif(strip_words(found, words), F.lit(""))
 
 
