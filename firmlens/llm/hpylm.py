@@ -33,9 +33,9 @@ CONTEXTS = HASHED_CONTEXTS + 1
 START = HASHED_CONTEXTS
 END = np.uint64(xxhash.xxh64_intdigest(b""))  # no word is empty
 #: Tokens of documents that travel together, and (word, context, document) entries of a bucket, about.
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 400_000
 BLOCK_DOCUMENTS = 16_384
-BUCKET_TOKENS = 3_000_000
+BUCKET_TOKENS = 2_000_000
 #: Words with at least this share of a sample's tokens are dealt by context too: 200 at most.
 HOT_SHARE = 0.005
 HOT_SAMPLE_DOCUMENTS = 2000
@@ -159,12 +159,18 @@ def _merge(buckets: int):
         if number >= buckets:
             return pdf.assign(types=None, refs=None)[["bucket", "block", "types", "refs", "doc_ids", "learn", "tokens"]]
         pdf = pdf.sort_values("block")
-        opened = [[_open(f, k) for f, k in zip(parts, ("<u8", "<u4", "<u4", "<u2", "<u4"), strict=True)] for parts in pdf["parts"]]
-        hashes, run_of_hash = np.unique(np.concatenate([o[0] for o in opened]), return_inverse=True)
-        word = np.repeat(run_of_hash, np.concatenate([o[1] for o in opened]))
-        context, doc, count = (np.concatenate([o[i] for o in opened]) for i in (2, 3, 4))
-        sizes = np.array([len(o[3]) for o in opened], np.int64)
-        key, ref = np.unique(word * CONTEXTS + context, return_inverse=True)
+        kinds = ("<u8", "<u4", "<u4", "<u2", "<u4")
+
+        def column(i: int) -> np.ndarray:
+            """One field of all messages; only one is open at a time."""
+            return np.concatenate([_open(parts[i], kinds[i]) for parts in pdf["parts"]])
+
+        hashes, run_of_hash = np.unique(column(0), return_inverse=True)
+        key = np.repeat(run_of_hash * CONTEXTS, column(1))
+        key += column(2)
+        key, ref = np.unique(key, return_inverse=True)
+        doc, count = column(3), column(4)
+        sizes = np.array([len(_open(parts[3], "<u2")) for parts in pdf["parts"]], np.int64)
         learned = np.bincount(ref, np.where(doc & _HELD, 0, count), len(key)).astype("<u8")
         per_word = np.bincount(key // CONTEXTS, minlength=len(hashes)).astype("<u4")
         types = _squeeze(hashes, per_word, (key % CONTEXTS).astype("<u4"), learned)
@@ -326,6 +332,13 @@ def draw_root_tables(customers: np.ndarray, hashes: np.ndarray, before: Totals,
     return draw_tables(customers, mass, before.root_discount, _uniform(_mix(hashes), 2 * sweep + 1), log_stirling(before.root_discount))
 
 
+def _rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    """Rows one by one: each may hold megabytes."""
+    columns = [batch.column(n) for n in names]
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in columns)
+
+
 def _totals(merged: DataFrame, hot: np.ndarray, known: list[Totals]) -> Totals:
     """One Gibbs sweep over all buckets, given the totals after the sweeps before."""
     sweep, hots = len(known), len(hot)
@@ -333,7 +346,7 @@ def _totals(merged: DataFrame, hot: np.ndarray, known: list[Totals]) -> Totals:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            for number, types in zip(batch.column("bucket").to_pylist(), batch.column("types").to_pylist(), strict=True):
+            for number, types in _rows(batch, "bucket", "types"):
                 bucket = Bucket(number, types, hot)
                 *_, state = bucket.states(known, sweep)
                 summary = bucket.summary(state, hots)
@@ -385,7 +398,7 @@ def _scored(hot: np.ndarray, known: list[Totals]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, types, refs in zip(*(batch.column(c).to_pylist() for c in ("bucket", "types", "refs")), strict=True):
+            for number, types, refs in _rows(batch, "bucket", "types", "refs"):
                 bucket = Bucket(number, types, hot)
                 log_p = np.log10(probabilities(bucket, known))
                 tokens = np.where(bucket.is_hot, last.hot_tokens[bucket.hot], bucket.tokens) if len(hot) else bucket.tokens
