@@ -7,12 +7,17 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from firmlens.session import ship
+
 #: Whole documents per Arrow batch: bounds what a Python worker holds at once.
 DOCUMENTS_PER_BATCH = 256
 
 
 def whole_texts(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, since each row may be a very long document."""
+    """Bound the rows and bytes of an Arrow batch, since each row may be a very long document; and
+    send the package to the executors."""
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > DOCUMENTS_PER_BATCH:
