@@ -469,7 +469,7 @@ SCALED = ("sales", "ebitda", "fixed_assets", "current_liab")
 )
 def standardize(spark, d):
     df = settle(statements(spark, d).select("company_id", "year", *SCALED, "taxes"))
-    return rounded(encoding.standardize(df, skip=["company_id", "taxes"]), 8, *SCALED)
+    return rounded(encoding.standardize(df, skip=["company_id", "year", "taxes"]), 8, *SCALED)
 
 
 @query(
@@ -483,7 +483,7 @@ def standardize(spark, d):
 )
 def minmax(spark, d):
     df = settle(statements(spark, d).select("company_id", "year", *SCALED, "taxes"))
-    return encoding.minmax(df, skip=["company_id", "taxes"])
+    return encoding.minmax(df, skip=["company_id", "year", "taxes"])
 
 
 @query(
@@ -543,18 +543,18 @@ def _limit_sql(lower: str) -> str:
 
 def _limits_rounded(lower: str) -> str:
     return oracle(
-        f"l AS ({_limit_sql(lower)}) SELECT variable, round(out_min, 4) AS out_min, round(out_max, 4) AS out_max FROM l", "prep"
+        f"l AS ({_limit_sql(lower)}) SELECT variable, round(out_min, 6) AS out_min, round(out_max, 6) AS out_max FROM l", "prep"
     )
 
 
 @query("outlier_limits", _limits_rounded("q3"))
 def outlier_limits(spark, d):
-    return rounded(outliers.outlier_limits(prepared(spark, d), CHECKED), 4, "out_min", "out_max")
+    return rounded(outliers.outlier_limits(prepared(spark, d), CHECKED), 6, "out_min", "out_max")
 
 
 @query("outlier_limits_q1", _limits_rounded("q1"))
 def outlier_limits_q1(spark, d):
-    return rounded(outliers.outlier_limits(prepared(spark, d), CHECKED, "q1"), 4, "out_min", "out_max")
+    return rounded(outliers.outlier_limits(prepared(spark, d), CHECKED, "q1"), 6, "out_min", "out_max")
 
 
 def _flag_sql(c: str) -> str:

@@ -643,29 +643,29 @@ def tweedie_identity(spark, d):
 def _two_by_normal_equations(ridge: float) -> str:
     """Two features solved by hand from central moments; ``ridge`` is added to both variances."""
     return (
-        "s AS (SELECT * FROM cmp WHERE valuation IS NOT NULL AND last_funding IS NOT NULL), "
-        f"m AS (SELECT var_pop(total_funding) + {ridge} AS aa, var_pop(last_funding) + {ridge} AS bb, covar_pop(total_funding, last_funding) AS ab, "
-        "covar_pop(total_funding, valuation) AS ay, covar_pop(last_funding, valuation) AS by FROM s) "
-        "SELECT round((ay * bb - by * ab) / (aa * bb - ab * ab), 5) AS total_funding, "
-        "round((by * aa - ay * ab) / (aa * bb - ab * ab), 5) AS last_funding FROM m"
+        "s AS (SELECT sales, debt, valuation FROM mt WHERE valuation IS NOT NULL), "
+        f"m AS (SELECT var_pop(sales) + {ridge} AS aa, var_pop(debt) + {ridge} AS bb, covar_pop(sales, debt) AS ab, "
+        "covar_pop(sales, valuation) AS ya, covar_pop(debt, valuation) AS yb FROM s) "
+        "SELECT round((ya * bb - yb * ab) / (aa * bb - ab * ab), 8) AS sales, "
+        "round((yb * aa - ya * ab) / (aa * bb - ab * ab), 8) AS debt FROM m"
     )
 
 
 def _two_slopes(spark, d, build) -> DataFrame:
-    rows = hold(selection.assemble(companies(spark, d), ["total_funding", "last_funding"], "valuation"))
+    rows = hold(selection.assemble(model_table(spark, d), ["sales", "debt"], "valuation"))
     a, b = build(rows).fit(rows).coefficients
     rows.unpersist()
-    return spark.createDataFrame([(round(float(a), 5), round(float(b), 5))], "total_funding double, last_funding double")
+    return spark.createDataFrame([(round(float(a), 8), round(float(b), 8))], "sales double, debt double")
 
 
-@query("ols_two_features", oracle(_two_by_normal_equations(0.0), "cmp"))
+@query("ols_two_features", oracle(_two_by_normal_equations(0.0), "mt"))
 def ols_two_features(spark, d):
     return _two_slopes(spark, d, lambda rows: models.linear())
 
 
-@query("ridge_two_features", oracle(_two_by_normal_equations(1e6), "cmp"))
+@query("ridge_two_features", oracle(_two_by_normal_equations(1e8), "mt"))
 def ridge_two_features(spark, d):
-    return _two_slopes(spark, d, lambda rows: models.linear(1e6, 0.0, models.label_std(rows)))
+    return _two_slopes(spark, d, lambda rows: models.linear(1e8, 0.0, models.label_std(rows)))
 
 
 @query(

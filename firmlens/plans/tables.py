@@ -491,15 +491,16 @@ def _rounded(df, digits, *names):
     oracle(
         " UNION ALL ".join(
             f"SELECT '{c}' AS variable, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
-            f"min({c}) AS min, max({c}) AS max, round(quantile_cont({c}, 0.25), 4) AS q1, round(quantile_cont({c}, 0.5), 4) AS median, "
-            f"round(quantile_cont({c}, 0.75), 4) AS q3 FROM stm"
+            f"min({c}) AS min, max({c}) AS max, round(quantile_cont({c}, 0.25), 6) AS q1, round(quantile_cont({c}, 0.5), 6) AS median, "
+            f"round(quantile_cont({c}, 0.75), 6) AS q3 FROM stm"
             for c in DESCRIBED
         ),
         "stm",
     ),
 )
 def describe(spark, d):
-    return _rounded(profile.describe(statements(spark, d), DESCRIBED), 4, "mean", "std", "q1", "median", "q3")
+    # Quartiles of amounts in cents end after six digits, so no rounding falls on a tie.
+    return _rounded(_rounded(profile.describe(statements(spark, d), DESCRIBED), 4, "mean", "std"), 6, "q1", "median", "q3")
 
 
 @query(
@@ -514,9 +515,9 @@ def table_shape(spark, d):
     "quartiles",
     oracle(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS variable, min({c}) AS min, round(quantile_cont({c}, 0.25), 4) AS q1, "
-            f"round(quantile_cont({c}, 0.5), 4) AS median, round(quantile_cont({c}, 0.75), 4) AS q3, max({c}) AS max, "
-            f"round(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25), 4) AS iqr FROM prep"
+            f"SELECT '{c}' AS variable, min({c}) AS min, round(quantile_cont({c}, 0.25), 6) AS q1, "
+            f"round(quantile_cont({c}, 0.5), 6) AS median, round(quantile_cont({c}, 0.75), 6) AS q3, max({c}) AS max, "
+            f"round(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25), 6) AS iqr FROM prep"
             for c in ("fixed_assets", "current_assets", "turnover", "working_capital")
         ),
         "prep",
@@ -524,7 +525,7 @@ def table_shape(spark, d):
 )
 def quartiles(spark, d):
     df = quartile_frame(prepared(spark, d), ["fixed_assets", "current_assets", "turnover", "working_capital"])
-    return _rounded(df, 4, "q1", "median", "q3", "iqr")
+    return _rounded(df, 6, "q1", "median", "q3", "iqr")
 
 
 CORRELATED = ("fixed_assets", "current_liab", "sales", "debt", "employees", "taxes")
