@@ -35,7 +35,7 @@ END = np.uint64(xxhash.xxh64_intdigest(b""))  # no word is empty
 #: Tokens of documents that travel together, and (word, context, document) entries of a bucket, about.
 BLOCK_TOKENS = 400_000
 BLOCK_DOCUMENTS = 16_384
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_400_000
 #: Words with at least this share of a sample's tokens are dealt by context too: 200 at most.
 HOT_SHARE = 0.005
 HOT_SAMPLE_DOCUMENTS = 2000
