@@ -108,7 +108,7 @@ class Model:
 
 
 def _sums(rows: DataFrame, width: int, part) -> np.ndarray:
-    """``part(stats, label, fold)`` gives (fold, row, sums) of a batch; added up by task, then here."""
+    """``part(stats, label, fold)`` gives the sums of a batch, rows of ``width``; added up by task, then here."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -118,13 +118,11 @@ def _sums(rows: DataFrame, width: int, part) -> np.ndarray:
                 sums = part(stats, np.array(batch.column("label"), float), np.array(batch.column("fold")))
                 total = sums if total is None else total + sums
         if total is not None:
-            flat = total.reshape(-1, width)
-            yield pa.RecordBatch.from_pydict({"row": list(range(len(flat))), "sums": flat.tolist()})
+            yield pa.RecordBatch.from_pydict({"sums": [total.reshape(-1, width).tobytes()]})
 
-    found: dict[int, np.ndarray] = {}
-    for r in rows.mapInArrow(run, "row long, sums array<double>").collect():
-        found[r["row"]] = found.get(r["row"], 0) + np.array(r["sums"])
-    return np.array([found[i] for i in sorted(found)])
+    # One row per task of a fixed number of tasks.
+    found = [np.frombuffer(r["sums"]).reshape(-1, width) for r in rows.mapInArrow(run, "sums binary").toLocalIterator()]
+    return np.sum(found, axis=0) if found else np.zeros((0, width))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int) -> DataFrame:
