@@ -52,38 +52,58 @@ def _near_embeddings(k: int) -> str:
     )
 
 
-@query(
-    "nearest_embeddings",
-    f"WITH {_near_embeddings(5)} SELECT query, neighbour, other AS label, round(distance, 8) AS distance, CAST(rank AS INTEGER) AS rank FROM near",
-)
-def nearest_embeddings(spark, d):
+_EMBEDDINGS_SQL = f"WITH {_near_embeddings(5)} SELECT query, neighbour, other AS label, round(distance, 8) AS distance, CAST(rank AS INTEGER) AS rank FROM near"
+
+
+def _embeddings(spark, d, **how) -> DataFrame:
     df = table(spark, d, "embeddings")
-    found = knn_join(df, df, 5, ["embedding"], "vec_id", exclude_self=True, carry=["label"])
+    found = knn_join(df, df, 5, ["embedding"], "vec_id", exclude_self=True, carry=["label"], **how)
     return found.select("query", "neighbour", "label", F.round("distance", 8).alias("distance"), "rank")
 
 
+@query("nearest_embeddings", _EMBEDDINGS_SQL)
+def nearest_embeddings(spark, d):
+    return _embeddings(spark, d)
+
+
+@query("nearest_embeddings_leaves", _EMBEDDINGS_SQL)
+def nearest_embeddings_leaves(spark, d):
+    """The way that a base takes which is too big to broadcast."""
+    return _embeddings(spark, d, small_rows=0, leaf_rows=256)
+
+
 _SEEN = " + ".join(f"(a.{c} IS NOT NULL AND b.{c} IS NOT NULL)::INT" for c in RESOURCES)
 _SUM = " + ".join(f"coalesce((a.{c} - b.{c}) * (a.{c} - b.{c}), 0)" for c in RESOURCES)
 
 
-@query(
-    "nearest_companies",
-    oracle(
-        f"p AS (SELECT a.company_year AS query, b.company_year AS neighbour, {_SEEN} AS seen, {_SUM} AS total "
-        "FROM cy a JOIN cy b ON a.company_year <> b.company_year), "
-        f"n AS (SELECT query, neighbour, sqrt(CASE WHEN seen = {len(RESOURCES)} THEN total ELSE total / seen * {len(RESOURCES)} END) "
-        "AS distance FROM p WHERE seen > 0), "
-        "r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, neighbour) AS rank FROM n QUALIFY rank <= 3) "
-        "SELECT query, neighbour, round(distance, 4) AS distance, CAST(rank AS INTEGER) AS rank FROM r",
-        "cy",
-    ),
+_COMPANIES_SQL = oracle(
+    f"p AS (SELECT a.company_year AS query, b.company_year AS neighbour, {_SEEN} AS seen, {_SUM} AS total "
+    "FROM cy a JOIN cy b ON a.company_year <> b.company_year), "
+    f"n AS (SELECT query, neighbour, sqrt(CASE WHEN seen = {len(RESOURCES)} THEN total ELSE total / seen * {len(RESOURCES)} END) "
+    "AS distance FROM p WHERE seen > 0), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, neighbour) AS rank FROM n QUALIFY rank <= 3) "
+    "SELECT query, neighbour, round(distance, 4) AS distance, CAST(rank AS INTEGER) AS rank FROM r",
+    "cy",
 )
-def nearest_companies(spark, d):
+
+
+def _near_companies(spark, d, **how) -> DataFrame:
     df = company_years(spark, d)
-    found = knn_join(df, df, 3, RESOURCES, "company_year", exclude_self=True)
+    found = knn_join(df, df, 3, RESOURCES, "company_year", exclude_self=True, **how)
     return found.select("query", "neighbour", F.round("distance", 4).alias("distance"), "rank")
 
 
+@query("nearest_companies", _COMPANIES_SQL)
+def nearest_companies(spark, d):
+    return _near_companies(spark, d)
+
+
+@query("nearest_companies_leaves", _COMPANIES_SQL)
+def nearest_companies_leaves(spark, d):
+    """The way that a base takes which is too big to broadcast."""
+    return _near_companies(spark, d, small_rows=0, leaf_rows=512)
+
+
 # ---- class balance -------------------------------------------------------------------------------
 
 

@@ -3,11 +3,13 @@
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from firmlens.operators import ensembles, models, selection, tuning
 from firmlens.operators.imputation import impute_by_model
 from firmlens.operators.splitting import split
+from firmlens.sources.models import load_model, save_model
 
 
 @pytest.fixture(scope="module")
@@ -104,3 +106,84 @@ def test_bootstrap_weight_has_mean_one(spark):
     df = spark.range(20000).select(ensembles.bootstrap_weight("id", 3).alias("w"))
     mean, var = df.agg(F.avg("w"), F.var_pop("w")).first()
     assert mean == pytest.approx(1.0, abs=0.05) and var == pytest.approx(1.0, abs=0.1)
+
+
+@pytest.mark.parametrize("task", ["regression", "class"])
+def test_trees_are_scored_together_as_one_by_one(reg, clf, task):
+    train, test = reg if task == "regression" else clf
+    fits = [models.tree(task, d, seed=d).fit(train) for d in (1, 3, 6)]
+    rows = test.collect()
+    together = ensembles.Trees.of(fits).values(np.array([r["features"].toArray() for r in rows]))
+    for i, fit in enumerate(fits):
+        assert together[:, i].tolist() == [r["prediction"] for r in fit.transform(test).collect()]
+
+
+def test_votes_and_medians():
+    p = np.array([[1.0, 2.0, 2.0], [0.0, 1.0, 2.0]])
+    assert ensembles._voted(p, np.array([1.0, 1.0, 1.0]), [0.0, 1.0, 2.0]).tolist() == [2.0, 0.0]
+    assert ensembles._voted(np.array([[5.0, 1.0, 3.0]]), np.array([1.0, 1.0, 1.0]), []).tolist() == [3.0]
+    assert ensembles._voted(np.array([[5.0, 1.0, 3.0]]), np.array([5.0, 1.0, 1.0]), []).tolist() == [5.0]
+
+
+@pytest.mark.parametrize(
+    "task,est",
+    [
+        ("regression", lambda: ensembles.AdaBoost("regression", n=4)),
+        ("class", lambda: ensembles.AdaBoost("class", n=4, max_depth=2)),
+        ("regression", lambda: ensembles.Bagging(models.tree("regression", 3), 3, "regression")),
+        ("regression", lambda: ensembles.Bagging(models.linear(), 3, "regression")),
+        ("class", lambda: models.linear_clf("squared")),
+        ("class", lambda: models.Neighbours("class", 5)),
+        ("regression", lambda: ensembles.Stacking({"a": models.linear(), "b": models.tree("regression", 4)}, models.linear(), "regression", k=3)),
+    ],
+    ids=["adaboost", "adaboost_class", "bagged_trees", "bagged_lines", "squared", "neighbours", "stacking"],
+)
+def test_saved_ensembles_predict_the_same(reg, clf, tmp_path, task, est):
+    train, test = reg if task == "regression" else clf
+    fitted = est().fit(train)
+    save_model(fitted, str(tmp_path / "m"))
+    again = load_model(str(tmp_path / "m"))
+
+    def predicted(m):
+        return sorted(tuple(r) for r in m.transform(test).select("company_id", "prediction").collect())
+
+    assert predicted(fitted) == predicted(again)
+
+
+def test_plan_of_many_members_stays_small(reg):
+    train, test = reg
+    few, many = (ensembles.Bagging(models.tree("regression", 1), n, "regression").fit(train).transform(test) for n in (2, 12))
+    sizes = [len(df._jdf.queryExecution().executedPlan().toString()) for df in (few, many)]
+    assert abs(sizes[0] - sizes[1]) < 200
+
+
+def test_metrics_order_the_board(reg):
+    for metric in ("rmse", "mape"):
+        board, _ = tuning.grid_search(reg[0], lambda **p: models.tree("regression", **p), {"max_depth": [1, 5]}, "regression", k=3, metric=metric)
+        scores = [r["score"] for r in board.collect()]
+        assert scores == sorted(scores)
+
+
+def test_depth_beyond_the_limit_is_refused():
+    with pytest.raises(ValueError):
+        models.forest("class", max_depth=31)
+    assert models.tree("class").getMaxDepth() == 30
+
+
+def test_neighbours_without_a_comparable_row(spark, reg):
+    train, _ = reg
+    model = models.Neighbours("regression", 3).fit(train)
+    odd = spark.createDataFrame([(9999, [float("nan")] * 3)], "company_id long, x array<double>")
+    odd = odd.select("company_id", array_to_vector("x").alias("features"))
+    mean = train.agg(F.avg("label")).first()[0]
+    assert model.transform(odd).first()["prediction"] == pytest.approx(mean)
+
+
+def test_all_features_of_the_scorers(spark, sf_dir):
+    from firmlens.operators import scoring
+    from firmlens.plans.views import model_table, scoring_table
+
+    df = scoring_table(spark, sf_dir)
+    assert len(scoring.VALUATION_FEATURES) == 22 and len(scoring.ACQUISITION_FEATURES) == 23
+    assert {*scoring.VALUATION_FEATURES, *scoring.ACQUISITION_FEATURES} <= set(df.columns)
+    assert df.count() == model_table(spark, sf_dir).count()

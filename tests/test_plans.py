@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from firmlens.plans import QUERIES
-from firmlens.plans.views import companies, statements
+from firmlens.plans.views import BOTH, companies, statements
 
 
 def plan(df) -> str:
@@ -12,8 +12,9 @@ def plan(df) -> str:
 
 
 def test_year_range_is_pushed_and_columns_are_pruned(spark, sf_dir):
-    text = plan(statements(spark, sf_dir).select("company_id", "year", "sales"))
+    text = plan(statements(spark, sf_dir, BOTH).select("company_id", "year", "sales"))
     assert "GreaterThanOrEqual(o_orderdate" in text
+    assert "GreaterThanOrEqual(o_orderdate" not in plan(statements(spark, sf_dir))
     assert "l_tax" not in text and "l_quantity" not in text
 
 

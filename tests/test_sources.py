@@ -38,3 +38,25 @@ def test_profile_page(spark):
 def test_nan_to_null(spark):
     df = spark.createDataFrame([(math.nan, 1)], "x double, i int")
     assert tables.nan_to_null(df).select(F.col("x").isNull()).first()[0]
+
+
+def test_all_profile_fields_and_inner_tags(spark):
+    html = '<h1><b>A</b>cme</h1><time>Jan 2001</time><div class="ranking-section-container">Dealroom.co signal <i>77</i></div>'
+    got = pages.extract_page_fields(spark.createDataFrame([(html,)], "html string")).first()
+    assert (got["name"], got["launch_year"], got["ranking"]) == ("Acme", "2001", "77")
+
+
+def test_written_tables_go_when_work_is_done(spark):
+    import os
+
+    from firmlens.operators.quantiles import exact_quantiles
+    from firmlens.session import scratch_path, shared_dir
+
+    def folders():
+        own = os.path.join(shared_dir(spark).removeprefix("file://"), f"firmlens-{spark.sparkContext.applicationId}")
+        return set(os.listdir(own))
+
+    scratch_path(spark, "x")
+    before = folders()
+    exact_quantiles(spark.range(50).selectExpr("id * 1.0D AS x"), ["x"], [0.5])
+    assert folders() == before
