@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firmlens.session import ship
 
-#: Whole documents per Arrow batch: bounds what a Python worker holds at once.
-DOCUMENTS_PER_BATCH = 256
+#: Whole documents per Arrow batch at most; its bytes are bounded too, so long ones come in fewer.
+DOCUMENTS_PER_BATCH = 1024
 
 
 def whole_texts(spark: SparkSession) -> None:
