@@ -16,6 +16,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -140,34 +141,32 @@ def _bases(chunks: DataFrame) -> DataFrame:
     )
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """The pieces of documents in each chunk: shard, number (of the document in its shard), doc_id,
-    offset (in the document), tokens (of the document), first (the document's start in the shard)
-    and ids (little-endian unsigned 32-bit)."""
+def _pieces(spark: SparkSession, path: str, columns: dict[str, tuple[pa.DataType, str]], of) -> DataFrame:
+    """The pieces of documents in each chunk, with ``columns`` made by ``of`` from a piece's ids."""
+    names = {"shard": pa.int32(), "number": pa.int64(), "doc_id": pa.int64(), "offset": pa.int64(), "tokens": pa.int64(), "first": pa.int64()}
+    schema = pa.schema([*names.items(), *((n, t) for n, (t, _) in columns.items())])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 ids = from_planes(row["planes"], row["n"], row["mode"])
                 docs = row["docs"]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "shard": [row["shard"]] * len(docs),
-                        "number": [d["number"] for d in docs],
-                        "doc_id": pa.array([d["doc_id"] for d in docs], pa.int64()),
-                        "offset": [d["offset"] for d in docs],
-                        "tokens": [d["tokens"] for d in docs],
-                        "first": [row["first"] + d["at"] - d["offset"] for d in docs],
-                        "ids": [ids[d["at"] : d["at"] + d["length"]].tobytes() for d in docs],
-                    },
-                    schema,
-                )
+                fixed = [
+                    [row["shard"]] * len(docs), [d["number"] for d in docs], [d["doc_id"] for d in docs], [d["offset"] for d in docs],
+                    [d["tokens"] for d in docs], [row["first"] + d["at"] - d["offset"] for d in docs],
+                ]
+                made = zip(*(of(ids[d["at"] : d["at"] + d["length"]].tobytes()) for d in docs), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*fixed, *made], schema, strict=True)], schema=schema)
 
-    schema = pa.schema(
-        [("shard", pa.int32()), ("number", pa.int64()), ("doc_id", pa.int64()), ("offset", pa.int64()), ("tokens", pa.int64()), ("first", pa.int64()), ("ids", pa.binary())]
-    )
-    out = "shard int, number long, doc_id long, offset long, tokens long, first long, ids binary"
-    return spark.read.parquet(f"{path}/chunks").mapInArrow(decode, out)
+    out = "shard int, number long, doc_id long, offset long, tokens long, first long"
+    return spark.read.parquet(f"{path}/chunks").mapInArrow(decode, ", ".join([out, *(f"{n} {t}" for n, (_, t) in columns.items())]))
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """The pieces of documents in each chunk: shard, number (of the document in its shard), doc_id,
+    offset (in the document), tokens (of the document), first (the document's start in the shard)
+    and ids (little-endian unsigned 32-bit)."""
+    return _pieces(spark, path, {"ids": (pa.binary(), "binary")}, lambda ids: (ids,))
 
 
 def join_crc32(before: int, after: int, length: int) -> int:
@@ -179,21 +178,27 @@ def join_crc32(before: int, after: int, length: int) -> int:
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files: doc_id, start (ids of all documents before it), n_tokens and the
     crc32 of its ids. Only documents that lie in several chunks are grouped, by their pieces' crc32."""
-    import pandas as pd
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("offset")
-        crc = 0
-        for piece, size in zip(pdf["crc"].tolist(), pdf["size"].tolist(), strict=True):
-            crc = join_crc32(crc, piece, size)
-        return pdf.head(1).assign(crc=crc)[["shard", "number", "doc_id", "tokens", "first", "crc"]]
 
-    pieces = settle(read(spark, path).select("*", F.crc32("ids").alias("crc"), F.length("ids").alias("size")).drop("ids"))
+    @F.pandas_udf("long")
+    def joined(parts: pd.Series) -> pd.Series:
+        out = []
+        for pieces_of_one in parts:
+            crc = None
+            for p in pieces_of_one:
+                crc = p["crc"] if crc is None else join_crc32(crc, p["crc"], p["size"])
+            out.append(crc)
+        return pd.Series(out, dtype="int64")
+
+    digest = {"crc": (pa.int64(), "long"), "size": (pa.int64(), "long")}
+    pieces = settle(_pieces(spark, path, digest, lambda ids: (zlib.crc32(ids), len(ids))))
     whole = F.col("size") == 4 * F.col("tokens")
-    kept = ["shard", "number", "doc_id", "tokens", "first", "crc"]
-    cut = pieces.where(~whole).groupBy("shard", "number").applyInPandas(
-        merge, "shard int, number long, doc_id long, tokens long, first long, crc long"
+    kept = ["doc_id", "tokens", "shard", "first", "crc"]
+    # A document has as many pieces as chunks that it reaches into.
+    parts = F.sort_array(F.collect_list(F.struct("offset", "crc", "size")))
+    cut = pieces.where(~whole).groupBy("shard", "number").agg(
+        F.first("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), F.min("first").alias("first"), parts.alias("parts")
     )
+    cut = cut.select("doc_id", "tokens", "shard", "first", joined("parts").alias("crc"))
     sizes = pieces.select("shard", F.expr("size div 4").alias("n"))
     return (
         pieces.where(whole).select(*kept).unionByName(cut)
