@@ -282,6 +282,9 @@ def forest(
 ) -> Estimator:
     """Random forest; the least rows to split are half as many in a leaf, as for ``tree``."""
     kind = RandomForestRegressor if task == "regression" else RandomForestClassifier
+    # Deep trees have many nodes at a level: with more room for statistics a pass over the rows grows
+    # more of them, and kept node numbers save walking each row down from the root.
+    extra = {"maxMemoryInMB": 1024, "cacheNodeIds": True} | extra
     return kind(
         numTrees=n, maxDepth=_depth(max_depth), minInstancesPerNode=max(min_leaf, min_split // 2), bootstrap=bootstrap, seed=seed, **extra
     )
