@@ -1,20 +1,21 @@
 """Hierarchical Pitman-Yor language model over a whole corpus.
 
-Two levels: a restaurant for each context (the word before, hashed to a fixed number of contexts;
-the start of a text is one more) and the root that all of them share as their parent. Customers of a
-context restaurant are its tokens; each of its tables sends one customer to the root.
+Two levels: a restaurant for each context (the 64-bit hash of the word before; the start of a text
+is one more) and the root that all of them share as their parent. Customers of a context restaurant
+are its tokens; each of its tables sends one customer to the root.
 
 Work is dealt by dish, that is by word: a task holds all (word, context) counts of its words, so
-tables and root customers are counted where they are, and what tasks must tell each other are the
-totals of each restaurant, vectors of fixed length. Words that are very frequent are dealt by word
-and context, and their root counts are totals too.
+tables and root customers are counted where they are. What tasks must tell each other are the totals
+of each restaurant: a table of (bucket, shard) rows, where a bucket tells each shard of contexts what
+it has of them, and the shard answers with the sums. Words that are very frequent are dealt by word
+and context, and their root counts are totals at the driver.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -27,11 +28,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from firmlens.llm.common import share, texts
 from firmlens.session import settle
 
-#: Hashed contexts; with the start of a text, the restaurants under the root.
-HASHED_CONTEXTS = 1 << 16
-CONTEXTS = HASHED_CONTEXTS + 1
-START = HASHED_CONTEXTS
 END = np.uint64(xxhash.xxh64_intdigest(b""))  # no word is empty
+START = np.uint64(xxhash.xxh64_intdigest(b" "))  # no word is a space
 #: Tokens of documents that travel together, and (word, context, document) entries of a bucket, about.
 BLOCK_TOKENS = 400_000
 BLOCK_DOCUMENTS = 16_384
@@ -43,7 +41,6 @@ STRENGTH = 1.0
 BURN_IN, SAMPLES = 2, 4
 #: Up to this many customers of a dish the number of tables is drawn from the exact conditional.
 EXACT_CUSTOMERS = 64
-CHUNKS = 16
 SEED = 17
 
 _HELD = 1 << 15
@@ -83,6 +80,9 @@ def _bucket(hashes: np.ndarray, contexts: np.ndarray, hot: np.ndarray, buckets:
     return (_mix(keys) % np.uint64(buckets)).astype(np.int64)
 
 
+EXCHANGED = "bucket long, shard long, sweep long, parts array<binary>"
+#: In place of a shard: a bucket's summary, and what of it the sweeps need.
+SUMMARY, CORE = -1, -2
 MESSAGE = "bucket long, block long, parts array<binary>, doc_ids array<long>, learn array<boolean>, tokens array<long>"
 MERGED = "bucket long, block long, types array<binary>, refs array<binary>, doc_ids array<long>, learn array<boolean>, tokens array<long>"
 
@@ -110,13 +110,14 @@ def _messages(hot: np.ndarray, buckets: int):
         inner = np.ones(len(doc), bool)
         inner[stop] = False
         token[inner] = rank[codes]
+        names = np.append(hashes, START)
         context = np.empty(len(doc), np.int64)
-        context[1:] = (hashes[token[:-1]] >> np.uint64(48)).astype(np.int64)
-        context[np.append(0, stop[:-1] + 1)] = START
-        key, count = np.unique((token * CONTEXTS + context) * docs + doc, return_counts=True)
+        context[1:] = token[:-1]
+        context[np.append(0, stop[:-1] + 1)] = len(hashes)
+        key, count = np.unique((token * len(names) + context) * docs + doc, return_counts=True)
         doc, key = key % docs, key // docs
-        context, token = key % CONTEXTS, key // CONTEXTS
-        to = _bucket(hashes[token], context, hot, buckets)
+        context, token = key % len(names), key // len(names)
+        to = _bucket(hashes[token], names[context], hot, buckets)
         by = np.argsort(to, kind="stable")
         to, token, context, doc, count = to[by], token[by], context[by], doc[by], count[by]
         doc = doc | np.where(np.array(learn, bool)[doc], 0, _HELD)
@@ -125,7 +126,8 @@ def _messages(hot: np.ndarray, buckets: int):
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(to)], strict=True):
             starts = np.append(0, np.flatnonzero(np.diff(token[a:b])) + 1)
             lengths = np.diff(np.append(starts, b - a))
-            parts = _squeeze(hashes[token[a:b][starts]], lengths.astype("<u4"), context[a:b].astype("<u4"), doc[a:b].astype("<u2"), count[a:b].astype("<u4"))
+            met, slot = np.unique(context[a:b], return_inverse=True)
+            parts = _squeeze(hashes[token[a:b][starts]], lengths.astype("<u4"), slot.astype("<u4"), doc[a:b].astype("<u2"), count[a:b].astype("<u4"), names[met])
             for column, value in zip(rows, (int(to[a]), number, parts, None, None, None), strict=True):
                 column.append(value)
         for column, value in zip(rows, (buckets + number % buckets, number, None, ids, learn, (size + 1).tolist()), strict=True):
@@ -159,21 +161,22 @@ def _merge(buckets: int):
         if number >= buckets:
             return pdf.assign(types=None, refs=None)[["bucket", "block", "types", "refs", "doc_ids", "learn", "tokens"]]
         pdf = pdf.sort_values("block")
-        kinds = ("<u8", "<u4", "<u4", "<u2", "<u4")
+        kinds = ("<u8", "<u4", "<u4", "<u2", "<u4", "<u8")
 
         def column(i: int) -> np.ndarray:
             """One field of all messages; only one is open at a time."""
             return np.concatenate([_open(parts[i], kinds[i]) for parts in pdf["parts"]])
 
         hashes, run_of_hash = np.unique(column(0), return_inverse=True)
-        key = np.repeat(run_of_hash * CONTEXTS, column(1))
-        key += column(2)
+        contexts = np.unique(column(5))
+        key = np.repeat(run_of_hash * len(contexts), column(1))
+        key += np.concatenate([np.searchsorted(contexts, _open(parts[5], "<u8"))[_open(parts[2], "<u4")] for parts in pdf["parts"]])
         key, ref = np.unique(key, return_inverse=True)
         doc, count = column(3), column(4)
         sizes = np.array([len(_open(parts[3], "<u2")) for parts in pdf["parts"]], np.int64)
         learned = np.bincount(ref, np.where(doc & _HELD, 0, count), len(key)).astype("<u8")
-        per_word = np.bincount(key // CONTEXTS, minlength=len(hashes)).astype("<u4")
-        types = _squeeze(hashes, per_word, (key % CONTEXTS).astype("<u4"), learned)
+        per_word = np.bincount(key // len(contexts), minlength=len(hashes)).astype("<u4")
+        types = _squeeze(hashes, per_word, (key % len(contexts)).astype("<u4"), learned, contexts)
         step = np.diff(ref, prepend=0)
         refs = _squeeze(step.astype("<i4"), doc & (_HELD - 1), count, pdf["block"].to_numpy("<i8"), sizes)
         return pd.DataFrame([{"bucket": number, "block": None, "types": types, "refs": refs, "doc_ids": None, "learn": None, "tokens": None}])
@@ -246,8 +249,10 @@ def _saddle_tables(customers: np.ndarray, mass: np.ndarray, discount: float, uni
 
 @dataclass
 class Totals:
-    """What all tasks know after a sweep: per context the tokens and tables; of the root the customers
-    and tables; per hot word its training tokens, root customers and root tables."""
+    """What all tasks know after a sweep: of the root the customers and tables; per hot word its
+    training tokens, root customers and root tables. ``tokens`` and ``tables`` are those of all
+    restaurants, bucket by bucket. What is of single restaurants stays in tables: ``sent`` by the
+    buckets to the shards, and ``replies``, the shards' sums for the contexts that sweeps need."""
 
     tokens: np.ndarray
     tables: np.ndarray
@@ -261,23 +266,46 @@ class Totals:
     v: float
     discount: float
     root_discount: float
+    shards: int
+    sent: DataFrame | None = None
+    replies: DataFrame | None = None
 
 
 class Bucket:
-    """A bucket's words and (word, context) types, and their seating sweep by sweep."""
+    """A bucket's words and (word, context) types, and their seating sweep by sweep. ``types`` may be
+    those of ``core``: only what sweeps can change."""
 
     def __init__(self, number: int, types: list[bytes], hot: np.ndarray):
         self.number = number
-        self.hashes, per_word, self.context, learned = (_open(f, k) for f, k in zip(types, ("<u8", "<u4", "<u4", "<u8"), strict=True))
+        self.hashes, per_word, self.slot, learned, self.contexts, *rest = (_open(f, k) for f, k in zip(types, ("<u8", "<u4", "<u4", "<u8", "<u8", "<u4", "<u8"), strict=False))
+        #: Types that are left out: per word those of one customer, and words of one token.
+        self.single, self.hidden = (rest[0].astype(np.int64), int(rest[1][0])) if rest else (np.zeros(len(self.hashes), np.int64), 0)
         self.word = np.repeat(np.arange(len(self.hashes)), per_word)
         self.count = learned.astype(np.int64)
-        self.keys = _mix(self.hashes[self.word]) ^ _mix(self.context.astype(np.uint64) + np.uint64(77))
+        self.keys = _mix(self.hashes[self.word]) ^ _mix(self.contexts + np.uint64(77))[self.slot]
         place = np.searchsorted(hot, self.hashes) if len(hot) else np.zeros(len(self.hashes), np.int64)
         self.hot = place.clip(max=max(0, len(hot) - 1))
         self.is_hot = hot[self.hot] == self.hashes if len(hot) else np.zeros(len(self.hashes), bool)
-        self.tokens = np.bincount(self.word, self.count, len(self.hashes))
+        self.tokens = np.bincount(self.word, self.count, len(self.hashes)) + self.single
         self.several = np.flatnonzero(self.count > 1)
 
+    @property
+    def context(self) -> np.ndarray:
+        """The first 16 bits of each type's context, to show; the model goes by all 64."""
+        return (self.contexts >> np.uint64(48))[self.slot]
+
+    def core(self) -> list[bytes]:
+        """The types of several customers and the words of several tokens: the others have one table
+        in every sweep."""
+        kept = (self.tokens > 1) | (self.is_hot & (self.tokens > 0))
+        used, slot = np.unique(self.slot[self.several], return_inverse=True)
+        per_word = np.bincount(self.word[self.several], minlength=len(self.hashes))[kept]
+        single = np.bincount(self.word, self.count == 1, len(self.hashes))[kept]
+        hidden = (~kept & (self.tokens == 1)).sum()
+        return _squeeze(
+            self.hashes[kept], per_word.astype("<u4"), slot.astype("<u4"), self.count[self.several].astype("<u8"), self.contexts[used], single.astype("<u4"), np.array([hidden], "<u8")
+        )
+
     def root(self, state: tuple, totals: Totals) -> np.ndarray:
         """The root's probability of each word."""
         customers, tables = state[1], state[2]
@@ -286,20 +314,21 @@ class Bucket:
             tables = np.where(self.is_hot, totals.hot_tables[self.hot], tables)
         return (customers - totals.root_discount * tables + new_word(totals)) / (STRENGTH + totals.customers)
 
-    def states(self, known: list[Totals], upto: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def states(self, known: list[Totals], seats: list[np.ndarray], upto: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(tables per type, root customers and root tables per word) after sweeps 0 to ``upto``; at
-        0 every dish has one table in each restaurant. Draws depend on word, context and sweep alone,
-        so each pass repeats the earlier ones exactly instead of keeping their seats."""
+        0 every dish has one table in each restaurant. ``seats`` are the tables of each context after
+        each sweep before. Draws depend on word, context and sweep alone, so each pass repeats the
+        earlier ones exactly instead of keeping their seats."""
         tables = np.minimum(self.count, 1)
         for sweep in range(upto + 1):
             if sweep:
                 before = known[sweep - 1]
-                mass = (STRENGTH + before.discount * before.tables[self.context[self.several]]) * self.root(state, before)[self.word[self.several]]
+                mass = (STRENGTH + before.discount * seats[sweep - 1][self.slot[self.several]]) * self.root(state, before)[self.word[self.several]]
                 tables = tables.copy()
                 tables[self.several] = draw_tables(
                     self.count[self.several], mass, before.discount, _uniform(self.keys[self.several], 2 * sweep), log_stirling(before.discount)
                 )
-            customers = np.bincount(self.word, tables, len(self.hashes)).astype(np.int64)
+            customers = np.bincount(self.word, tables, len(self.hashes)).astype(np.int64) + self.single
             root_tables = np.minimum(customers, 1)
             if sweep:
                 root_tables = draw_root_tables(customers, self.hashes, known[sweep - 1], sweep)
@@ -307,19 +336,16 @@ class Bucket:
             yield state
 
     def summary(self, state: tuple, hots: int) -> np.ndarray:
-        """What the totals are made of, as one vector of fixed length."""
-        tables, customers, root_tables = state
+        """What the totals at the driver are made of. Those of words and tokens hold for sweep 0."""
+        _, customers, root_tables = state
         cold = ~self.is_hot
-        of_type = self.is_hot[self.word]
-        which = self.hot[self.word]
-        hot_tokens = np.bincount(which, self.count * of_type, hots) if hots else np.zeros(0)
-        hot_customers = np.bincount(which, tables * of_type, hots) if hots else np.zeros(0)
+        hot_tokens = np.bincount(self.hot, self.tokens * self.is_hot, hots) if hots else np.zeros(0)
+        hot_customers = np.bincount(self.hot, customers * self.is_hot, hots) if hots else np.zeros(0)
         scalars = [
-            tables.sum(), root_tables[cold].sum(), self.count.sum(), (self.tokens[cold] > 0).sum(),
+            customers.sum() + self.hidden, root_tables[cold].sum() + self.hidden, self.count.sum(), (self.tokens[cold] > 0).sum(),
             (self.count == 1).sum(), (self.count == 2).sum(), (customers[cold] == 1).sum(), (customers[cold] == 2).sum(),
         ]
-        parts = [np.bincount(self.context, self.count, CONTEXTS), np.bincount(self.context, tables, CONTEXTS), hot_tokens, hot_customers, scalars]
-        return np.concatenate(parts).astype(float)
+        return np.concatenate([hot_tokens, hot_customers, scalars]).astype(float)
 
 
 def new_word(totals: Totals) -> float:
@@ -339,30 +365,123 @@ def _rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
         yield tuple(c[i].as_py() for c in columns)
 
 
-def _totals(merged: DataFrame, hot: np.ndarray, known: list[Totals]) -> Totals:
-    """One Gibbs sweep over all buckets, given the totals after the sweeps before."""
-    sweep, hots = len(known), len(hot)
+def _dealt(number: int, sweep: int, shards: int, contexts: np.ndarray, *columns: np.ndarray) -> list[tuple]:
+    """A bucket's rows to the shards of its (sorted) contexts. Shards are ranges of hashes."""
+    shard = (((contexts >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+    edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+    return [(number, int(shard[a]), sweep, _squeeze(contexts[a:b], *(c[a:b] for c in columns))) for a, b in zip(edges[:-1], edges[1:], strict=True) if a < b]
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["bucket", "shard", "sweep", "parts"])
+
+
+def _first(hot: np.ndarray, shards: int):
+    """Sweep 0: what each bucket has of its contexts (tokens, tables, whether later sweeps need
+    them), its core and its summary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
         for batch in batches:
             for number, types in _rows(batch, "bucket", "types"):
                 bucket = Bucket(number, types, hot)
-                *_, state = bucket.states(known, sweep)
-                summary = bucket.summary(state, hots)
-                total = summary if total is None else total + summary
-        if total is not None:
-            yield pa.RecordBatch.from_pydict({"chunk": list(range(CHUNKS)), "sums": [c.tobytes() for c in np.array_split(total, CHUNKS)]})
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(s) for s in pdf["sums"]], axis=0)
-        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1].to_numpy(), "sums": [total.tobytes()]})
-
-    parts = merged.where("types is not null").select("bucket", "types").mapInArrow(run, "chunk long, sums binary")
-    rows = parts.groupBy("chunk").applyInPandas(add, "chunk long, sums binary").collect()
-    size = 2 * CONTEXTS + 2 * hots + 8
-    flat = np.concatenate([np.frombuffer(r["sums"]) for r in sorted(rows, key=lambda r: r["chunk"])]) if rows else np.zeros(size)
-    tokens, tables, hot_tokens, hot_customers, scalars = np.split(flat, np.cumsum([CONTEXTS, CONTEXTS, hots, hots]))
+                (state,) = bucket.states([], [], 0)
+                size = len(bucket.contexts)
+                tokens, tables = (np.bincount(bucket.slot, x, size) for x in (bucket.count, state[0]))
+                wanted = np.bincount(bucket.slot[bucket.several], minlength=size) > 0
+                rows = _dealt(number, 0, shards, bucket.contexts, tables.astype("<u4"), tokens.astype("<u8"), wanted)
+                rows += [(number, CORE, 0, bucket.core()), (number, SUMMARY, 0, [bucket.summary(state, len(hot)).tobytes()])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary())), strict=True)], ["bucket", "shard", "sweep", "parts"]
+                )
+
+    return run
+
+
+def _next(hot: np.ndarray, known: list[Totals], shards: int):
+    """A later sweep over the buckets' cores: the tables beyond the first of each dish, by context."""
+    sweep = len(known)
+
+    def run(core: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        number = int(core["bucket"].iat[0])
+        bucket = Bucket(number, list(core["parts"].iat[0]), hot)
+        replies = replies.sort_values(["sweep", "shard"])
+        seats = [np.concatenate([np.zeros(0, "<u4"), *(_open(p[0], "<u4") for p in replies["parts"][replies["sweep"] == i])]).astype(np.int64) for i in range(sweep)]
+        *_, state = bucket.states(known, [seats[0], *(seats[0] + more for more in seats[1:])], sweep)
+        more = np.bincount(bucket.slot, state[0] - 1, len(bucket.contexts)).astype("<u4")
+        rows = _dealt(number, sweep, shards, bucket.contexts, more)
+        return _frame([*rows, (number, SUMMARY, sweep, [bucket.summary(state, len(hot)).tobytes()])])
+
+    return run
+
+
+def _answered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A shard's sums of one sweep, to each bucket for its contexts that sweeps need, in their order."""
+    contexts = [_open(p[0], "<u8") for p in pdf["parts"]]
+    _, place = np.unique(np.concatenate(contexts), return_inverse=True)
+    sums = np.bincount(place, np.concatenate([_open(p[1], "<u4") for p in pdf["parts"]])).astype("<u4")[place]
+    rows, at = [], 0
+    for number, shard, sweep, parts, own in zip(pdf["bucket"], pdf["shard"], pdf["sweep"], pdf["parts"], contexts, strict=True):
+        mine = sums[at : at + len(own)]
+        at += len(own)
+        mine = mine[_open(parts[3], bool)] if sweep == 0 else mine
+        if len(mine):
+            rows.append((number, shard, sweep, _squeeze(mine)))
+    return _frame(rows)
+
+
+def _settled(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A shard's tokens and tables after every sweep, to each bucket for all of its contexts."""
+    asked = pdf[pdf["sweep"] == 0]
+    contexts = [_open(p[0], "<u8") for p in asked["parts"]]
+    every, place = np.unique(np.concatenate(contexts), return_inverse=True)
+    tokens, tables = (np.bincount(place, np.concatenate([_open(p[i], k) for p in asked["parts"]])) for i, k in ((2, "<u8"), (1, "<u4")))
+    columns = [tokens.astype("<u8"), tables.astype("<u4")]
+    for sweep in range(1, 1 + BURN_IN + SAMPLES):
+        parts = pdf["parts"][pdf["sweep"] == sweep]
+        more = np.zeros(len(every))
+        for p in parts:
+            more[np.searchsorted(every, _open(p[0], "<u8"))] += _open(p[1], "<u4")
+        columns.append(more.astype("<u4"))
+    edges = np.cumsum([0, *map(len, contexts)])
+    rows = zip(asked["bucket"], asked["shard"], asked["sweep"], zip(edges[:-1], edges[1:], strict=True), strict=True)
+    return _frame([(number, shard, sweep, _squeeze(*(c[place[a:b]] for c in columns))) for number, shard, sweep, (a, b) in rows])
+
+
+def _restaurants(known: list[Totals]) -> DataFrame:
+    """Tokens and tables of each bucket's contexts, from what was sent in all sweeps."""
+    sent = known[0].sent
+    for totals in known[1:]:
+        sent = sent.unionByName(totals.sent)
+    return sent.where("shard >= 0").groupBy("shard").applyInPandas(_settled, EXCHANGED)
+
+
+def _received(parts: list) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Tokens, and tables after each sweep, of a bucket's contexts; ``parts`` in the order of shards."""
+    columns = [np.concatenate([_open(p[i], "<u4" if i else "<u8") for p in parts]).astype(np.int64) for i in range(2 + BURN_IN + SAMPLES)]
+    return columns[0], [columns[1], *(columns[1] + more for more in columns[2:])]
+
+
+def _plain(known: list[Totals]) -> list[Totals]:
+    """What goes to tasks."""
+    return [replace(t, sent=None, replies=None) for t in known]
+
+
+def _totals(merged: DataFrame, hot: np.ndarray, known: list[Totals]) -> Totals:
+    """One Gibbs sweep over all buckets, given the totals after the sweeps before."""
+    sweep, hots = len(known), len(hot)
+    if known:
+        shards, replies = known[0].shards, known[0].replies
+        for totals in known[1:]:
+            replies = replies.unionByName(totals.replies)
+        cores = known[0].sent.where(F.col("shard") == CORE).groupBy("bucket")
+        sent = settle(cores.cogroup(replies.groupBy("bucket")).applyInPandas(_next(hot, _plain(known), shards), EXCHANGED))
+    else:
+        shards = 1 + (merged.where("doc_ids is null").agg(F.max("bucket")).first()[0] or 0)
+        sent = settle(merged.where("types is not null").select("bucket", "types").mapInArrow(_first(hot, shards), EXCHANGED))
+    replies = settle(sent.where("shard >= 0").groupBy("shard").applyInPandas(_answered, EXCHANGED)) if sweep < BURN_IN + SAMPLES else None
+    sums = [np.frombuffer(r["parts"][0]) for r in sent.where(F.col("shard") == SUMMARY).orderBy("bucket").select("parts").collect()]
+    sums = np.array(sums) if sums else np.zeros((1, 2 * hots + 8))
+    hot_tokens, hot_customers, scalars = np.split(sums.sum(axis=0), [hots, 2 * hots])
     customers, cold_tables, n, cold_v, one, two, root_one, root_two = scalars
 
     def discount(a: float, b: float) -> float:
@@ -371,23 +490,29 @@ def _totals(merged: DataFrame, hot: np.ndarray, known: list[Totals]) -> Totals:
 
     if known:
         hot_tables = draw_root_tables(hot_customers.astype(np.int64), hot, known[-1], sweep).astype(float)
-    else:
-        hot_tables = np.minimum(hot_customers, 1)
+        start = known[0]
+        return replace(
+            start, tables=sums[:, 2 * hots], customers=customers, root_tables=cold_tables + hot_tables.sum(), hot_customers=hot_customers, hot_tables=hot_tables, sent=sent, replies=replies
+        )
+    hot_tables = np.minimum(hot_customers, 1)
     return Totals(
-        tokens, tables, customers, cold_tables + hot_tables.sum(), hot, hot_tokens, hot_customers, hot_tables, n, cold_v + (hot_tokens > 0).sum(),
-        known[0].discount if known else discount(one, two), known[0].root_discount if known else discount(root_one, root_two),
+        sums[:, 2 * hots + 2], sums[:, 2 * hots], customers, cold_tables + hot_tables.sum(), hot, hot_tokens, hot_customers, hot_tables, n, cold_v + (hot_tokens > 0).sum(),
+        discount(one, two), discount(root_one, root_two), shards, sent, replies,
     )
 
 
-def probabilities(bucket: Bucket, known: list[Totals]) -> np.ndarray:
-    """The predictive probability of each type's word in its context, averaged over the kept sweeps."""
-    mean = np.zeros(len(bucket.context))
-    for sweep, state in enumerate(bucket.states(known, len(known) - 1)):
+def probabilities(bucket: Bucket, known: list[Totals], parts: list | None = None) -> np.ndarray:
+    """The predictive probability of each type's word in its context, averaged over the kept sweeps.
+    ``parts`` are the bucket's rows of ``_restaurants``; at the driver they are read."""
+    if parts is None:
+        parts = [r["parts"] for r in _restaurants(known).where(F.col("bucket") == bucket.number).orderBy("shard").collect()]
+    tokens, seats = _received(parts)
+    mean = np.zeros(len(bucket.word))
+    for sweep, state in enumerate(bucket.states(known, seats, len(known) - 1)):
         if sweep >= len(known) - SAMPLES:
             totals = known[sweep]
-            tables, tokens = totals.tables[bucket.context], totals.tokens[bucket.context]
-            backing = (STRENGTH + totals.discount * tables) * bucket.root(state, totals)[bucket.word]
-            mean += (bucket.count - totals.discount * state[0] + backing) / (STRENGTH + tokens)
+            backing = (STRENGTH + totals.discount * seats[sweep][bucket.slot]) * bucket.root(state, totals)[bucket.word]
+            mean += (bucket.count - totals.discount * state[0] + backing) / (STRENGTH + tokens[bucket.slot])
     return mean / SAMPLES
 
 
@@ -396,26 +521,23 @@ def _scored(hot: np.ndarray, known: list[Totals]):
     and of known tokens."""
     last = known[-1]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, types, refs in _rows(batch, "bucket", "types", "refs"):
-                bucket = Bucket(number, types, hot)
-                log_p = np.log10(probabilities(bucket, known))
-                tokens = np.where(bucket.is_hot, last.hot_tokens[bucket.hot], bucket.tokens) if len(hot) else bucket.tokens
-                base = np.log10((tokens + 0.5) / (last.n + 0.5 * (last.v + 1)))[bucket.word]
-                seen = (tokens > 0)[bucket.word]
-                step, doc, count, blocks, sizes = (_open(f, k) for f, k in zip(refs, ("<i4", "<u2", "<u4", "<i8", "<i8"), strict=True))
-                ref = np.cumsum(step, dtype=np.int64)
-                rows: list[list] = [[], []]
-                at = 0
-                for block, size in zip(blocks.tolist(), sizes.tolist(), strict=True):
-                    r, d, c = ref[at : at + size], doc[at : at + size], count[at : at + size].astype(float)
-                    at += size
-                    docs, place = np.unique(d, return_inverse=True)
-                    sums = [np.bincount(place, c * x[r], len(docs)) for x in (log_p, base, seen)]
-                    rows[0].append(block)
-                    rows[1].append(_squeeze(docs, *sums[:2], sums[2].astype("<u4")))
-                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.list_(pa.binary()))], ["block", "parts"])
+    def run(pdf: pd.DataFrame, restaurants: pd.DataFrame) -> pd.DataFrame:
+        number = int(pdf["bucket"].iat[0])
+        bucket = Bucket(number, list(pdf["types"].iat[0]), hot)
+        log_p = np.log10(probabilities(bucket, known, list(restaurants.sort_values("shard")["parts"])))
+        tokens = np.where(bucket.is_hot, last.hot_tokens[bucket.hot], bucket.tokens) if len(hot) else bucket.tokens
+        base = np.log10((tokens + 0.5) / (last.n + 0.5 * (last.v + 1)))[bucket.word]
+        seen = (tokens > 0)[bucket.word]
+        step, doc, count, blocks, sizes = (_open(f, k) for f, k in zip(pdf["refs"].iat[0], ("<i4", "<u2", "<u4", "<i8", "<i8"), strict=True))
+        ref = np.cumsum(step, dtype=np.int64)
+        rows, at = [], 0
+        for block, size in zip(blocks.tolist(), sizes.tolist(), strict=True):
+            r, d, c = ref[at : at + size], doc[at : at + size], count[at : at + size].astype(float)
+            at += size
+            docs, place = np.unique(d, return_inverse=True)
+            sums = [np.bincount(place, c * x[r], len(docs)) for x in (log_p, base, seen)]
+            rows.append((number, block, _squeeze(docs, *sums[:2], sums[2].astype("<u4"))))
+        return pd.DataFrame(rows, columns=["bucket", "block", "parts"])
 
     return run
 
@@ -463,8 +585,8 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     with the predictive probabilities averaged over ``SAMPLES`` Gibbs sweeps after ``BURN_IN``.
 
     Documents are cut into blocks, each sends every bucket of words one packed message, and a bucket's
-    merged counts are written once. Sweeps and scoring read them; only totals of fixed length come to
-    the driver. In a sweep the totals and the root's probabilities are those of the sweep before, and
+    merged counts are written once. Sweeps and scoring read them; the totals of restaurants go from
+    buckets to shards of contexts and back, and only sums over all come to the driver. In a sweep the totals and the root's probabilities are those of the sweep before, and
     a dish's tables are drawn jointly from their exact conditional.
 
     Null texts are empty: one token, the end. Unknown words share the root's room for one more word.
@@ -480,8 +602,9 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     known: list[Totals] = []
     for _ in range(1 + BURN_IN + SAMPLES):
         known.append(_totals(merged, hot, known))
-    sums = merged.where("types is not null").select("bucket", "types", "refs").mapInArrow(_scored(hot, known), "block long, parts array<binary>")
-    sums = sums.select(F.lit(0).cast("long").alias("bucket"), "block", "parts", *(F.lit(None).cast(t).alias(c) for c, t in (("doc_ids", "array<bigint>"), ("learn", "array<boolean>"), ("tokens", "array<bigint>"))))
+    types = merged.where("types is not null").select("bucket", "types", "refs").groupBy("bucket")
+    sums = types.cogroup(_restaurants(known).groupBy("bucket")).applyInPandas(_scored(hot, _plain(known)), "bucket long, block long, parts array<binary>")
+    sums = sums.select("bucket", "block", "parts", *(F.lit(None).cast(t).alias(c) for c, t in (("doc_ids", "array<bigint>"), ("learn", "array<boolean>"), ("tokens", "array<bigint>"))))
     heads = merged.where("doc_ids is not null").select("bucket", "block", F.lit(None).cast("array<binary>").alias("parts"), "doc_ids", "learn", "tokens")
     return sums.unionByName(heads).groupBy("block").applyInPandas(
         _collected(known[-1].n), "doc_id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

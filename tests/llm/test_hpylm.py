@@ -129,3 +129,16 @@ def test_odd_rows(spark, documents):
     assert hpylm.score(docs.where("false"), F.lit(True)).count() == 0
     nothing = hpylm.score(docs, F.lit(False)).collect()
     assert all(r.score == 0 and r.n_known == 0 and r.train_tokens == 0 for r in nothing)
+
+
+def test_contexts_that_share_sixteen_bits_are_apart(spark, documents):
+    """Two contexts whose hashes begin alike have restaurants of their own."""
+    seen = {}
+    for j in range(5000):
+        a, b = seen.setdefault(int(hpylm.hash_words([b"c%d" % j])[0]) >> 48, f"c{j}"), f"c{j}"
+        if a != b:
+            break
+    assert a != b
+    rows = [(i, f"{a} p" if i % 2 else f"{b} q") for i in range(200)] + [(1000, f"{a} p"), (1001, f"{a} q")]
+    found = {r.doc_id: r.score for r in hpylm.score(documents(rows), F.col("doc_id") < 1000).collect()}
+    assert found[1000] - found[1001] > 1
