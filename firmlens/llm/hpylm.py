@@ -34,7 +34,8 @@ START = np.uint64(xxhash.xxh64_intdigest(b" "))  # no word is a space
 BLOCK_TOKENS = 400_000
 BLOCK_DOCUMENTS = 16_384
 BUCKET_TOKENS = 1_400_000
-#: Words with at least this share of a sample's tokens are dealt by context too: 200 at most.
+#: Words with at least this share of a sample's tokens, or as many as a quarter of a bucket, are dealt
+#: by context too. A (word, context) pair in so many documents sends its bucket one entry a block.
 HOT_SHARE = 0.005
 HOT_SAMPLE_DOCUMENTS = 2000
 STRENGTH = 1.0
@@ -75,21 +76,30 @@ def hash_words(words) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
+def _pair(hashes: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    return hashes ^ _mix(contexts + np.uint64(1))
+
+
 def _bucket(hashes: np.ndarray, contexts: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
-    keys = np.where(np.isin(hashes, hot), hashes ^ _mix(contexts.astype(np.uint64) + np.uint64(1)), hashes) if len(hot) else hashes
+    keys = np.where(np.isin(hashes, hot), _pair(hashes, contexts), hashes) if len(hot) else hashes
     return (_mix(keys) % np.uint64(buckets)).astype(np.int64)
 
 
 EXCHANGED = "bucket long, shard long, sweep long, parts array<binary>"
 #: In place of a shard: a bucket's summary, and what of it the sweeps need.
 SUMMARY, CORE = -1, -2
+#: Summaries that reach the driver.
+SUMMARIES = 64
 MESSAGE = "bucket long, block long, parts array<binary>, doc_ids array<long>, learn array<boolean>, tokens array<long>"
 MERGED = "bucket long, block long, types array<binary>, refs array<binary>, doc_ids array<long>, learn array<boolean>, tokens array<long>"
 
 
-def _messages(hot: np.ndarray, buckets: int):
+def _messages(hot: np.ndarray, buckets: int, pairs: np.ndarray = np.zeros(0, np.uint64)):
     """Blocks of documents as one message to each bucket (sorted word, context, document and count),
-    and a head (documents, whether they are learned from, tokens) to a bucket beyond the others."""
+    and a head (documents, whether they are learned from, tokens) to a bucket beyond the others.
+
+    Of the hot ``pairs`` a bucket gets one entry a block, with a number after the documents' and the
+    block's training count (or 1, not learned from); the head keeps which documents have them."""
     schema = pa.schema(
         [("bucket", pa.int64()), ("block", pa.int64()), ("parts", pa.list_(pa.binary())), ("doc_ids", pa.list_(pa.int64())), ("learn", pa.list_(pa.bool_())), ("tokens", pa.list_(pa.int64()))]
     )
@@ -117,10 +127,21 @@ def _messages(hot: np.ndarray, buckets: int):
         key, count = np.unique((token * len(names) + context) * docs + doc, return_counts=True)
         doc, key = key % docs, key // docs
         context, token = key % len(names), key // len(names)
+        learned = np.array(learn, bool)[doc]
+        pair = _pair(hashes[token], names[context])
+        hit = np.isin(pair, pairs)
+        _, first, j = np.unique(pair[hit], return_index=True, return_inverse=True)
+        weight = np.bincount(j, count[hit] * learned[hit], len(first)).astype(np.int64)
+        kept = _squeeze(j.astype("<u4"), doc[hit].astype("<u2"), count[hit].astype("<u4"), np.maximum(weight, 1).astype("<u4"))
+        if len(first):
+            token, context = (np.append(x[~hit], x[hit][first]) for x in (token, context))
+            doc, count, learned = np.append(doc[~hit], docs + np.arange(len(first))), np.append(count[~hit], np.maximum(weight, 1)), np.append(learned[~hit], weight > 0)
+            by = np.lexsort((doc, context, token))
+            token, context, doc, count, learned = token[by], context[by], doc[by], count[by], learned[by]
         to = _bucket(hashes[token], names[context], hot, buckets)
         by = np.argsort(to, kind="stable")
+        doc = doc | np.where(learned, 0, _HELD)
         to, token, context, doc, count = to[by], token[by], context[by], doc[by], count[by]
-        doc = doc | np.where(np.array(learn, bool)[doc], 0, _HELD)
         cuts = np.flatnonzero(np.diff(to)) + 1
         rows: list[list] = [[], [], [], [], [], []]
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(to)], strict=True):
@@ -130,7 +151,7 @@ def _messages(hot: np.ndarray, buckets: int):
             parts = _squeeze(hashes[token[a:b][starts]], lengths.astype("<u4"), slot.astype("<u4"), doc[a:b].astype("<u2"), count[a:b].astype("<u4"), names[met])
             for column, value in zip(rows, (int(to[a]), number, parts, None, None, None), strict=True):
                 column.append(value)
-        for column, value in zip(rows, (buckets + number % buckets, number, None, ids, learn, (size + 1).tolist()), strict=True):
+        for column, value in zip(rows, (buckets + number % buckets, number, kept, ids, learn, (size + 1).tolist()), strict=True):
             column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
 
@@ -156,10 +177,10 @@ def _messages(hot: np.ndarray, buckets: int):
 def _merge(buckets: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         """A bucket's messages as its distinct (word, context) with their training counts, and for
-        each block the entries that refer to them. Heads stay as they are."""
+        each block the entries that refer to them. Heads stay as they are, their parts as refs."""
         number = int(pdf["bucket"].iat[0])
         if number >= buckets:
-            return pdf.assign(types=None, refs=None)[["bucket", "block", "types", "refs", "doc_ids", "learn", "tokens"]]
+            return pdf.assign(types=None, refs=pdf["parts"])[["bucket", "block", "types", "refs", "doc_ids", "learn", "tokens"]]
         pdf = pdf.sort_values("block")
         kinds = ("<u8", "<u4", "<u4", "<u2", "<u4", "<u8")
 
@@ -251,7 +272,7 @@ def _saddle_tables(customers: np.ndarray, mass: np.ndarray, discount: float, uni
 class Totals:
     """What all tasks know after a sweep: of the root the customers and tables; per hot word its
     training tokens, root customers and root tables. ``tokens`` and ``tables`` are those of all
-    restaurants, bucket by bucket. What is of single restaurants stays in tables: ``sent`` by the
+    restaurants, by groups of buckets. What is of single restaurants stays in tables: ``sent`` by the
     buckets to the shards, and ``replies``, the shards' sums for the contexts that sweeps need."""
 
     tokens: np.ndarray
@@ -447,6 +468,10 @@ def _settled(pdf: pd.DataFrame) -> pd.DataFrame:
     return _frame([(number, shard, sweep, _squeeze(*(c[place[a:b]] for c in columns))) for number, shard, sweep, (a, b) in rows])
 
 
+def _added(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"sums": [np.sum([np.frombuffer(p[0]) for p in pdf["parts"]], axis=0).tobytes()]})
+
+
 def _restaurants(known: list[Totals]) -> DataFrame:
     """Tokens and tables of each bucket's contexts, from what was sent in all sweeps."""
     sent = known[0].sent
@@ -479,7 +504,8 @@ def _totals(merged: DataFrame, hot: np.ndarray, known: list[Totals]) -> Totals:
         shards = 1 + (merged.where("doc_ids is null").agg(F.max("bucket")).first()[0] or 0)
         sent = settle(merged.where("types is not null").select("bucket", "types").mapInArrow(_first(hot, shards), EXCHANGED))
     replies = settle(sent.where("shard >= 0").groupBy("shard").applyInPandas(_answered, EXCHANGED)) if sweep < BURN_IN + SAMPLES else None
-    sums = [np.frombuffer(r["parts"][0]) for r in sent.where(F.col("shard") == SUMMARY).orderBy("bucket").select("parts").collect()]
+    groups = sent.where(F.col("shard") == SUMMARY).withColumn("shard", F.col("bucket") % SUMMARIES).groupBy("shard").applyInPandas(_added, "sums binary")
+    sums = [np.frombuffer(r["sums"]) for r in groups.collect()]
     sums = np.array(sums) if sums else np.zeros((1, 2 * hots + 8))
     hot_tokens, hot_customers, scalars = np.split(sums.sum(axis=0), [hots, 2 * hots])
     customers, cold_tables, n, cold_v, one, two, root_one, root_two = scalars
@@ -547,12 +573,15 @@ def _collected(n: float):
         """A block's documents with the sums from all buckets, added in the order of the buckets."""
         head = pdf[pdf["doc_ids"].notna()].iloc[0]
         size = len(head["tokens"])
-        score, base, known = np.zeros(size), np.zeros(size), np.zeros(size, np.int64)
-        for parts in pdf[pdf["parts"].notna()].sort_values("bucket")["parts"]:
+        pair, at, times, weight = (_open(f, t) for f, t in zip(head["parts"], ("<u4", "<u2", "<u4", "<u4"), strict=True))
+        score, base, known = (np.zeros(size + len(weight), t) for t in (float, float, np.int64))
+        for parts in pdf[pdf["doc_ids"].isna()].sort_values("bucket")["parts"]:
             docs, s, b, k = (_open(f, t) for f, t in zip(parts, ("<u2", "<f8", "<f8", "<u4"), strict=True))
             score[docs] += s
             base[docs] += b
             known[docs] += k
+        score, base, known = (x[:size] + np.bincount(at, (x[size:] / weight)[pair] * times, size) for x in (score, base, known))
+        known = np.rint(known).astype(np.int64)
         ids = pd.array([None if i is None or i != i else int(i) for i in head["doc_ids"]], dtype="Int64")
         return pd.DataFrame(
             {"doc_id": ids, "learned": [bool(x) for x in head["learn"]], "n_tokens": np.array(head["tokens"], np.int64), "n_known": known, "train_tokens": int(n), "base_score": base, "score": score}
@@ -561,20 +590,34 @@ def _collected(n: float):
     return run
 
 
-def _hot_words(docs: DataFrame) -> np.ndarray:
-    """Hashes of the most frequent words of a bounded sample of documents, and the end."""
-    rate = min(1.0, HOT_SAMPLE_DOCUMENTS / max(1, docs.count()))
+def _hot(docs: DataFrame, tokens: float, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the most frequent words of a bounded sample of documents, and the end; and of the
+    (word, context) pairs that so many documents have that they would fill a quarter of a bucket.
+
+    A hot word is at least a quarter of a bucket or ``HOT_SHARE`` of all, so there are at most some
+    four of them a bucket; the sample grows with the buckets and shows each of them often.
+    """
+    rate = min(1.0, max(HOT_SAMPLE_DOCUMENTS / max(1, docs.count()), 800 * buckets / max(1.0, tokens)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = Counter(w for t in texts(batch) for w in split_words(t))
-            yield pa.RecordBatch.from_arrays([pa.array(hash_words(list(seen)).view(np.int64)), pa.array(list(seen.values()), pa.int64())], ["h", "n"])
+            words, pairs = Counter(), Counter()
+            for t in texts(batch):
+                own = split_words(t)
+                words.update(own)
+                pairs.update({*zip([b" ", *own], [*own, b""], strict=True)})
+            for kind, hashes, seen in (("word", hash_words(list(words)), words), ("pair", _pair(hash_words([b for _, b in pairs]), hash_words([a for a, _ in pairs])), pairs)):
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(seen), pa.string()), pa.array(hashes.view(np.int64)), pa.array(list(seen.values()), pa.int64())], ["kind", "h", "n"])
 
     drawn = docs.where(share(F.xxhash64("doc_id", "text"), SEED) < rate).select("text")
-    counts = drawn.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    often = counts.where(F.col("n") >= max(50, HOT_SHARE * total)).collect()
-    return np.unique(np.append(np.array([r["h"] for r in often], np.int64).view(np.uint64), END))
+    quarter = rate * BUCKET_TOKENS / 4
+    counts = settle(drawn.mapInArrow(count, "kind string, h long, n long").groupBy("kind", "h").agg(F.sum("n").alias("n")).where("n >= 50 or kind = 'word'"))
+    total = counts.where("kind = 'word'").agg(F.sum("n")).first()[0] or 0
+    least = {"word": min(HOT_SHARE * total, quarter), "pair": quarter}
+    often = counts.where(" or ".join(f"kind = '{k}' and n >= {max(50, n)}" for k, n in least.items())).orderBy(F.desc("n"), "h").collect()
+    words, pairs = (np.array([r["h"] for r in often if r["kind"] == k], np.int64).view(np.uint64) for k in least)
+    # A block numbers its hot pairs after its documents.
+    return np.unique(np.append(words, END)), np.unique(pairs[: _HELD - BLOCK_DOCUMENTS])
 
 
 def score(docs: DataFrame, learn: Column) -> DataFrame:
@@ -596,8 +639,8 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(learn, F.lit(False)).alias("learn"))
     letters = rows.agg(F.sum(F.length("text") + 7)).first()[0] or 0
     buckets = max(1, round(letters / 7 / BUCKET_TOKENS))
-    hot = _hot_words(rows)
-    messages = rows.mapInArrow(_messages(hot, buckets), MESSAGE)
+    hot, pairs = _hot(rows, letters / 7, buckets)
+    messages = rows.mapInArrow(_messages(hot, buckets, pairs), MESSAGE)
     merged = settle(messages.groupBy("bucket").applyInPandas(_merge(buckets), MERGED))
     known: list[Totals] = []
     for _ in range(1 + BURN_IN + SAMPLES):
@@ -605,7 +648,7 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     types = merged.where("types is not null").select("bucket", "types", "refs").groupBy("bucket")
     sums = types.cogroup(_restaurants(known).groupBy("bucket")).applyInPandas(_scored(hot, _plain(known)), "bucket long, block long, parts array<binary>")
     sums = sums.select("bucket", "block", "parts", *(F.lit(None).cast(t).alias(c) for c, t in (("doc_ids", "array<bigint>"), ("learn", "array<boolean>"), ("tokens", "array<bigint>"))))
-    heads = merged.where("doc_ids is not null").select("bucket", "block", F.lit(None).cast("array<binary>").alias("parts"), "doc_ids", "learn", "tokens")
+    heads = merged.where("doc_ids is not null").select("bucket", "block", F.col("refs").alias("parts"), "doc_ids", "learn", "tokens")
     return sums.unionByName(heads).groupBy("block").applyInPandas(
         _collected(known[-1].n), "doc_id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )

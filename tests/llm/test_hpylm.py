@@ -142,3 +142,28 @@ def test_contexts_that_share_sixteen_bits_are_apart(spark, documents):
     rows = [(i, f"{a} p" if i % 2 else f"{b} q") for i in range(200)] + [(1000, f"{a} p"), (1001, f"{a} q")]
     found = {r.doc_id: r.score for r in hpylm.score(documents(rows), F.col("doc_id") < 1000).collect()}
     assert found[1000] - found[1001] > 1
+
+
+def test_hot_words_and_pairs_leave_buckets_of_their_size(spark, documents, monkeypatch):
+    """Words are hot by the size of a bucket, and a pair that many documents share sends its bucket
+    one entry a block; the scores stay the same."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(["same", "start", *rng.choices([f"w{j}" for j in range(300)], k=rng.randint(0, 20))])) for i in range(600)]
+    docs, learn = documents(rows).coalesce(1), fold(F.col("doc_id"), 5) != 1
+    whole = {r.doc_id: r for r in hpylm.score(docs, learn).collect()}
+    monkeypatch.setattr(hpylm, "BUCKET_TOKENS", 400)
+    monkeypatch.setattr(hpylm, "BLOCK_DOCUMENTS", 50)
+    monkeypatch.setattr(hpylm, "HOT_SHARE", 1.0)
+    dealt = {r.doc_id: r for r in hpylm.score(docs, learn).collect()}
+    for i, r in whole.items():
+        assert dealt[i].score == pytest.approx(r.score, rel=1e-9) and dealt[i].base_score == pytest.approx(r.base_score, rel=1e-9)
+        assert (dealt[i].n_tokens, dealt[i].n_known) == (r.n_tokens, r.n_known)
+    tokens = sum(r.n_tokens for r in whole.values())
+    buckets = round(tokens / 400)
+    hot, pairs = hpylm._hot(docs, tokens, buckets)
+    assert {int(h) for h in hpylm.hash_words([b"same", b"start"])} <= {int(h) for h in hot} and len(pairs) == 2
+    messages = docs.withColumn("learn", learn).mapInArrow(hpylm._messages(hot, buckets, pairs), hpylm.MESSAGE).where(F.col("bucket") < buckets)
+    entries = Counter()
+    for r in messages.select("bucket", "parts").collect():
+        entries[r.bucket] += len(hpylm._open(r.parts[3], "<u2"))
+    assert max(entries.values()) < 400 * 1.5
