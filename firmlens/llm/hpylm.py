@@ -13,6 +13,7 @@ and context, and their root counts are totals at the driver.
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -60,11 +61,21 @@ def _uniform(keys: np.ndarray, draw: int) -> np.ndarray:
 
 
 def _squeeze(*arrays: np.ndarray) -> list[bytes]:
-    return [zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes()) for a in arrays]
+    """Each array byte plane by byte plane: small and sorted numbers leave planes with little in them."""
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T for a in arrays)
+    return [zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(p).tobytes()) for p in planes]
 
 
 def _open(frame: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(frame), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(frame), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _release(df: DataFrame) -> None:
+    """Let Spark's cleaner remove shuffles that nothing refers to any more: it goes by the garbage
+    collection of the driver, which may not come before the disk is full."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
 
 
 def split_words(text: str) -> list[bytes]:
@@ -640,11 +651,12 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     letters = rows.agg(F.sum(F.length("text") + 7)).first()[0] or 0
     buckets = max(1, round(letters / 7 / BUCKET_TOKENS))
     hot, pairs = _hot(rows, letters / 7, buckets)
-    messages = rows.mapInArrow(_messages(hot, buckets, pairs), MESSAGE)
-    merged = settle(messages.groupBy("bucket").applyInPandas(_merge(buckets), MERGED))
+    merged = settle(rows.mapInArrow(_messages(hot, buckets, pairs), MESSAGE).groupBy("bucket").applyInPandas(_merge(buckets), MERGED))
+    _release(rows)
     known: list[Totals] = []
     for _ in range(1 + BURN_IN + SAMPLES):
         known.append(_totals(merged, hot, known))
+        _release(rows)
     types = merged.where("types is not null").select("bucket", "types", "refs").groupBy("bucket")
     sums = types.cogroup(_restaurants(known).groupBy("bucket")).applyInPandas(_scored(hot, _plain(known)), "bucket long, block long, parts array<binary>")
     sums = sums.select("bucket", "block", "parts", *(F.lit(None).cast(t).alias(c) for c, t in (("doc_ids", "array<bigint>"), ("learn", "array<boolean>"), ("tokens", "array<bigint>"))))
