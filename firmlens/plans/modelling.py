@@ -701,15 +701,34 @@ def ridge_two_features(spark, d):
     ),
 )
 def tree_one_cut(spark, d):
-    """A tree of depth one is the cut that leaves the least variance; few rows, so every value is a
-    candidate cut."""
-    df = companies(spark, d).where("company_id % 30 = 1")
+    """One company in 30, as in its SQL; ``tree_one_cut_all`` is the cut of the whole table."""
+    return _one_cut(companies(spark, d).where("company_id % 30 = 1"))
+
+
+@query(
+    "tree_one_cut_all",
+    oracle(
+        "s AS (SELECT total_funding AS x, valuation AS y FROM cmp WHERE valuation IS NOT NULL AND total_funding IS NOT NULL), "
+        "g AS (SELECT x, count(*) AS n, sum(y) AS t FROM s GROUP BY x), "
+        "c AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx, sum(n) OVER (ORDER BY x) AS n1, sum(t) OVER (ORDER BY x) AS t1, "
+        "sum(n) OVER () AS n, sum(t) OVER () AS t FROM g), "
+        "b AS (SELECT *, t1 * t1 / n1 + (t - t1) * (t - t1) / nullif(n - n1, 0) AS gain FROM c WHERE nx IS NOT NULL ORDER BY gain DESC, x LIMIT 1) "
+        "SELECT round(t1 / n1, 4) AS low, round((t - t1) / (n - n1), 4) AS high FROM b",
+        "cmp",
+    ),
+)
+def tree_one_cut_all(spark, d):
+    return _one_cut(companies(spark, d))
+
+
+def _one_cut(df: DataFrame) -> DataFrame:
+    """A tree of depth one is the cut that leaves the least variance; every midpoint is a candidate."""
     rows = hold(selection.assemble(df, ["total_funding"], "valuation"))
     # As many bins as rows: every midpoint is tried.
     fitted = models.tree("regression", 1, maxBins=max(2, rows.count())).fit(rows)
     rows.unpersist()
     low, high = ensembles.Trees.of([fitted]).nodes[1:, 4]
-    return spark.createDataFrame([(round(float(low), 4), round(float(high), 4))], "low double, high double")
+    return df.sparkSession.createDataFrame([(round(float(low), 4), round(float(high), 4))], "low double, high double")
 
 
 # ---- metrics -------------------------------------------------------------------------------------
