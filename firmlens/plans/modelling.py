@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from firmlens.functions import measures as M
 from firmlens.functions.text import decode_class
-from firmlens.operators import balance, ensembles, metrics, models, profile, scoring, selection, tuning
+from firmlens.operators import balance, ensembles, imputation, metrics, models, profile, scoring, selection, tuning
 from firmlens.operators.knn import knn_join
 from firmlens.operators.splitting import split
 from firmlens.plans.cleaning import RESOURCES, company_years, rounded
@@ -116,6 +116,12 @@ def complete(spark, d) -> DataFrame:
     return settle(df.dropna(subset=list(SMALL_SET)))
 
 
+def filled(spark, d) -> DataFrame:
+    """Every company, with missing features of the small set from its nearest neighbours."""
+    df = model_table(spark, d).select("company_id", "acq_class", "valuation", *SMALL_SET)
+    return settle(imputation.impute_knn(df, "company_id", SMALL_SET))
+
+
 def labelled(spark, d) -> DataFrame:
     return model_table(spark, d).select("company_id", "acq_class", *SMALL_SET).dropna()
 
@@ -515,6 +521,13 @@ def naive_bayes_classes(spark, d):
     return models.gaussian_nb().fit(rows).transform(rows).select("company_id", "prediction")
 
 
+@query("naive_bayes_classes_all")
+def naive_bayes_classes_all(spark, d):
+    """Fitted on complete companies like ``naive_bayes_classes``, but every company gets a class."""
+    rows = VectorAssembler(inputCols=list(SMALL_SET), outputCol="features").transform(filled(spark, d))
+    return models.gaussian_nb().fit(settle(class_rows(spark, d))).transform(rows).select("company_id", "prediction")
+
+
 @query("naive_bayes")
 def naive_bayes(spark, d):
     return _scores(spark, d, "class", {"gaussian": models.gaussian_nb()})
@@ -566,6 +579,23 @@ def knn_classification(spark, d):
     return models.knn_predict(train, test, 5, SMALL_SET, "company_id", "acq_class", "class")
 
 
+@query("knn_regression_all")
+def knn_regression_all(spark, d):
+    """Complete companies are the neighbours as in ``knn_regression``; every test company is predicted."""
+    train, _ = split(complete(spark, d), "company_id", 0.2)
+    _, test = split(filled(spark, d), "company_id", 0.2)
+    train = train.where(F.col("valuation").isNotNull())
+    out = models.knn_predict(train, test, 7, SMALL_SET, "company_id", "valuation", "regression", "distance")
+    return rounded(out, 4, "prediction")
+
+
+@query("knn_classification_all")
+def knn_classification_all(spark, d):
+    train, _ = split(complete(spark, d), "company_id", 0.2)
+    _, test = split(filled(spark, d), "company_id", 0.2)
+    return models.knn_predict(train, test, 5, SMALL_SET, "company_id", "acq_class", "class")
+
+
 @query("grid_search_tree")
 def grid_search_tree(spark, d):
     train, _ = split(regression_rows(spark, d), "company_id", 0.2)
