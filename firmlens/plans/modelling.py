@@ -625,10 +625,10 @@ def random_search_boosting(spark, d):
 
 @query("random_search_forest")
 def random_search_forest(spark, d):
-    """The forest's space with the numbers of trees of a sketch search: a fifth of the full ones."""
+    """The whole space and budget of the forest search."""
     train, _ = split(class_rows(spark, d), "company_id", 0.3)
     space, budget = tuning.SPACES["forest_class"]
-    board, _ = tuning.random_search(train, tuning.BUILDERS["forest_class"], {**space, "n": ("int", 1, 40, 1), "max_depth": ("int", 10, 30, 1)}, budget, "class")
+    board, _ = tuning.random_search(train, tuning.BUILDERS["forest_class"], space, budget, "class")
     return board
 
 

@@ -1,5 +1,6 @@
 """Queries that do the job over the whole table."""
 
+from firmlens.operators import tuning
 from firmlens.operators.splitting import split
 from firmlens.plans import QUERIES
 from firmlens.plans.views import companies, model_table
@@ -31,3 +32,15 @@ def test_companies_with_missing_features_are_predicted(spark, sf_dir):
         assert all(v is not None for v in after.values())
         assert before == {k: after[k] for k in before}
         print(name, len(before), len(after))
+
+
+def test_forest_search_draws_from_the_whole_space(spark, sf_dir, monkeypatch):
+    asked = []
+
+    def spied(train, build, space, budget, task, **how):
+        asked.append((space, budget))
+        return train, None
+
+    monkeypatch.setattr(tuning, "random_search", spied)
+    QUERIES["random_search_forest"].run(spark, sf_dir)
+    assert asked == [tuning.SPACES["forest_class"]] and asked[0][0]["n"] == ("int", 1, 1999, 1)
