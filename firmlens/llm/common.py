@@ -17,7 +17,7 @@ def whole_texts(spark: SparkSession) -> None:
     """Bound the rows and bytes of an Arrow batch, since each row may be a very long document; and
     send the package to the executors."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > DOCUMENTS_PER_BATCH:

@@ -11,9 +11,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Words and pieces of words whose ids a worker remembers (about 150 MB); all others are encoded again.
-WORDS_KNOWN = 400_000
-PIECES_KNOWN = 300_000
+#: Bytes of words and of pieces that a worker remembers with their ids; all others are encoded again.
+#: Each is counted with its ids and what Python adds, and held at most twice (kept and recent).
+WORDS_BYTES = 24 << 20
+PIECES_BYTES = 16 << 20
+ENTRY_BYTES = 180
 WORDS_AT_ONCE = 4096
 
 # The pre-tokenizer's pattern for the letters and numbers up to U+024F (and the space that
@@ -45,22 +47,29 @@ def _byte_letters() -> dict[int, str]:
 
 class Memory:
     """Ids by word, for words that came more than once; a first meeting is kept for a while only, so
-    words that never come again don't take the room."""
+    words that never come again don't take the room. ``limit`` bounds the bytes of either part."""
 
     def __init__(self, limit: int):
         self.limit, self.kept, self.recent = limit, {}, {}
+        self.kept_bytes = self.recent_bytes = 0
+
+    @staticmethod
+    def _bytes(entries: dict) -> int:
+        return ENTRY_BYTES * len(entries) + sum(map(len, entries)) + sum(map(len, entries.values()))
 
     def take(self, missing: set) -> dict:
         """Ids of those of ``missing`` that were met before."""
         again = {w: self.recent[w] for w in missing & self.recent.keys()}
-        if again and len(self.kept) < self.limit:
+        if again and self.kept_bytes < self.limit:
             self.kept |= again
+            self.kept_bytes += self._bytes(again)
         return again
 
     def add(self, new: dict) -> None:
-        if len(self.recent) >= self.limit:
-            self.recent.clear()
+        if self.recent_bytes >= self.limit:
+            self.recent, self.recent_bytes = {}, 0
         self.recent |= new
+        self.recent_bytes += self._bytes(new)
 
 
 class WordEncoder:
@@ -74,11 +83,11 @@ class WordEncoder:
 
     BREAK = b"\xff\xff\xff\xff"  # no id
 
-    def __init__(self, content: str, words_known: int = WORDS_KNOWN, pieces_known: int = PIECES_KNOWN):
+    def __init__(self, content: str, words_bytes: int = WORDS_BYTES, pieces_bytes: int = PIECES_BYTES):
         self.tokenizer = Tokenizer.from_str(content)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
-        self.words, self.pieces = Memory(words_known), Memory(pieces_known)
+        self.words, self.pieces = Memory(words_bytes), Memory(pieces_bytes)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -143,7 +152,10 @@ class WordEncoder:
         begin = (np.cumsum(sizes) - sizes)[codes] if len(ids) else np.zeros(0, np.int64)
         each = sizes[codes] if len(ids) else begin
         end = np.cumsum(each)
-        places = np.arange(end[-1] if len(end) else 0) - np.repeat(end - each - begin, each)
+        total = int(end[-1]) if len(end) else 0
+        narrow = np.int32 if total < 1 << 31 and len(table) < 1 << 31 else np.int64
+        places = np.arange(total, dtype=narrow)
+        places -= np.repeat((end - each - begin).astype(narrow), each)
         stops = np.concatenate([[0], end])
         offsets = lists.offsets.to_numpy()
         return table[places], stops[offsets - offsets[0]]
@@ -154,7 +166,7 @@ class WordEncoder:
         return [np.append(ids[a:b], np.uint32(end_id)) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def encoder(content: str) -> WordEncoder:
     """One encoder for each worker process, kept between tasks."""
     return WordEncoder(content)

@@ -16,7 +16,7 @@ from firmlens.llm.tokens import WordEncoder, read_tokenizer
 
 CONTENT = read_tokenizer()
 PLAIN = Tokenizer.from_str(CONTENT)
-WORDS = WordEncoder(CONTENT, words_known=50, pieces_known=20)
+WORDS = WordEncoder(CONTENT, words_bytes=12_000, pieces_bytes=5_000)
 ODD = ["", None, "a\xa0b \xa0 c", "<|endoftext|> <|EndOfText|>x<|startoftext|>", "É É ΑΣ İ ß\x1cq", "it's  WE'LL 12 3.5—x"]
 
 
