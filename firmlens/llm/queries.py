@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmlens.llm import ann, decontaminate, hpylm, langid, packing, planes, quality, secretscan, simhash, toxicity
+from firmlens.llm import ann, bpefst, decontaminate, dialogues, hpylm, langid, packing, planes, quality, secretscan, simhash, spelling, toxicity
 from firmlens.llm.common import fold, table
 from firmlens.llm.tokens import read_tokenizer
 from firmlens.plans.registry import Query
@@ -109,3 +109,24 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = hpylm.score(docs, fold(F.col("doc_id"), 5) != 1)
     return found.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op11_spelling_pairs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spellings(table(spark, sf_dir, "documents"))
+
+
+@query("op12_byte_bpe_transducer")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    content, pattern = bpefst.read_ranks(), bpefst.public_pattern()
+    ids = bpefst.encode(table(spark, sf_dir, "documents"), content, pattern)
+    found = ids.select("doc_id", "ids", bpefst.decoded(content, pattern, F.col("ids")).alias("text"))
+    return found.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op13_conversation_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogues.prefix_trie(table(spark, sf_dir, "conversations"))
