@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from firmlens.functions import measures as M
 from firmlens.functions.text import decode_class
-from firmlens.operators import balance, ensembles, imputation, metrics, models, profile, scoring, selection, tuning
+from firmlens.operators import balance, ensembles, grown, imputation, metrics, models, profile, scoring, selection, tuning
 from firmlens.operators.knn import knn_join
 from firmlens.operators.splitting import split
 from firmlens.plans.cleaning import RESOURCES, company_years, rounded
@@ -462,16 +462,21 @@ def _tree_query(name: str, regressor, classifier):
         return _scores(spark, d, "class", {name: classifier()})
 
 
-_tree_query("decision_tree", lambda: models.tree("regression", 5, 10), lambda: models.tree("class", 5, 10))
-_tree_query("random_forest", lambda: models.forest("regression"), lambda: models.forest("class"))
+_tree_query("decision_tree", lambda: grown.Tree("regression", 5, 10), lambda: grown.Tree("class", 5, 10))
+_tree_query("random_forest", lambda: grown.Forest("regression"), lambda: grown.Forest("class"))
+_tree_query(
+    "extra_trees",
+    lambda: grown.Forest("regression", random_cuts=True, bootstrap=False),
+    lambda: grown.Forest("class", random_cuts=True, bootstrap=False),
+)
 _tree_query(
     "random_subspace", lambda: models.random_subspace_forest("regression"), lambda: models.random_subspace_forest("class")
 )
-_tree_query("gradient_boosting", lambda: models.gbt("regression"), lambda: models.gbt("class"))
+_tree_query("gradient_boosting", lambda: grown.Boosting("regression"), lambda: grown.Boosting("class"))
 _tree_query(
     "adaboost",
     lambda: ensembles.AdaBoost("regression", loss="linear"),
-    lambda: ensembles.AdaBoost("class"),
+    lambda: grown.ProbabilityAdaBoost(),
 )
 _tree_query(
     "bagging",
@@ -600,7 +605,7 @@ def knn_classification_all(spark, d):
 def grid_search_tree(spark, d):
     train, _ = split(regression_rows(spark, d), "company_id", 0.2)
     board, _ = tuning.grid_search(
-        train, lambda **p: models.tree("regression", **p), tuning.REGRESSION_GRIDS["tree"], "regression"
+        train, lambda **p: grown.Tree("regression", **p), tuning.REGRESSION_GRIDS["tree"], "regression"
     )
     return board
 
@@ -632,6 +637,15 @@ def random_search_forest(spark, d):
     return board
 
 
+@query("random_search_extra")
+def random_search_extra(spark, d):
+    """The whole space and budget of the search over extremely randomised trees."""
+    train, _ = split(class_rows(spark, d), "company_id", 0.3)
+    space, budget = tuning.SPACES["extra_class"]
+    board, _ = tuning.random_search(train, tuning.BUILDERS["extra_class"], space, budget, "class")
+    return board
+
+
 @query(
     "saved_model",
     oracle(
@@ -663,14 +677,14 @@ def saved_adaboost(spark, d):
     out = []
     for task, rows in (("regression", regression_rows(spark, d)), ("class", class_rows(spark, d))):
         train, test = split(settle(rows), "company_id", 0.2)
-        out.append(_round_trip(spark, ensembles.AdaBoost(task, n=20).fit(train), test).withColumn("task", F.lit(task)))
+        out.append(_round_trip(spark, (ensembles.AdaBoost(task) if task == "regression" else grown.ProbabilityAdaBoost()).fit(train), test).withColumn("task", F.lit(task)))
     return out[0].unionByName(out[1])
 
 
 @query("saved_forest")
 def saved_forest(spark, d):
     train, test = split(settle(regression_rows(spark, d)), "company_id", 0.2)
-    return _round_trip(spark, models.forest("regression").fit(train), test)
+    return _round_trip(spark, grown.Forest("regression").fit(train), test)
 
 
 @query(
@@ -718,23 +732,6 @@ def ridge_two_features(spark, d):
     return _two_slopes(spark, d, lambda rows: models.linear(1e8, 0.0, models.label_std(rows)))
 
 
-@query(
-    "tree_one_cut",
-    oracle(
-        "s AS (SELECT total_funding AS x, valuation AS y FROM cmp WHERE valuation IS NOT NULL AND c_small), "
-        "g AS (SELECT x, count(*) AS n, sum(y) AS t FROM s GROUP BY x), "
-        "c AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx, sum(n) OVER (ORDER BY x) AS n1, sum(t) OVER (ORDER BY x) AS t1, "
-        "sum(n) OVER () AS n, sum(t) OVER () AS t FROM g), "
-        "b AS (SELECT *, t1 * t1 / n1 + (t - t1) * (t - t1) / nullif(n - n1, 0) AS gain FROM c WHERE nx IS NOT NULL ORDER BY gain DESC, x LIMIT 1) "
-        "SELECT round(t1 / n1, 4) AS low, round((t - t1) / (n - n1), 4) AS high FROM b".replace(" AND c_small", " AND company_id % 30 = 1"),
-        "cmp",
-    ),
-)
-def tree_one_cut(spark, d):
-    """One company in 30, as in its SQL; ``tree_one_cut_all`` is the cut of the whole table."""
-    return _one_cut(companies(spark, d).where("company_id % 30 = 1"))
-
-
 @query(
     "tree_one_cut_all",
     oracle(
@@ -826,7 +823,7 @@ def classification_metrics(spark, d):
     return rounded(metrics.classification_metrics(judged(spark, d), "acq_class", "guess_class"), 8, "precision", "recall", "f1")
 
 
-@query("accuracy", oracle("SELECT round(avg(CAST(acq_class = guess_class AS DOUBLE)), 8) AS accuracy FROM judged".replace("CAST(acq_class = guess_class AS DOUBLE)", "(acq_class = guess_class)::INT"), "judged"))
+@query("accuracy", oracle("SELECT round(avg((acq_class = guess_class)::INT), 8) AS accuracy FROM judged", "judged"))
 def accuracy(spark, d):
     return rounded(metrics.accuracy(judged(spark, d), "acq_class", "guess_class"), 8, "accuracy")
 
@@ -839,16 +836,16 @@ def score_valuation(spark, d):
     df = settle(scoring_table(spark, d))
     names = scoring.VALUATION_FEATURES
     known = df.where(F.col("valuation") > 0).withColumn("valuation", F.ln("valuation"))
-    rows = selection.assemble(scoring.valuation_inputs(known, names), names, "valuation")
-    return scoring.score_valuation(df, models.forest("regression").fit(rows), names)
+    rows = selection.assemble(scoring.valuation_inputs(known, names), names, "valuation", "company_id")
+    return scoring.score_valuation(df, grown.Forest("regression").fit(rows), names)
 
 
 @query("score_acquisition")
 def score_acquisition(spark, d):
     df = settle(scoring_table(spark, d))
     names = scoring.ACQUISITION_FEATURES
-    rows = selection.assemble(M.nan_to_num(df, names), names, "acq_class")
-    return scoring.score_acquisition(df, models.forest("class").fit(rows), names)
+    rows = selection.assemble(M.nan_to_num(df, names), names, "acq_class", "company_id")
+    return scoring.score_acquisition(df, grown.Forest("class").fit(rows), names)
 
 
 @query(

@@ -9,14 +9,16 @@ from __future__ import annotations
 import json
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import SparkSession, functions as F
 
 from firmlens.operators.ensembles import StackingModel, Trees, WeightedMembers
+from firmlens.operators.growing import Trees as GrownTrees
+from firmlens.operators.grown import GrownModel
 from firmlens.operators.models import HighestOutput, Neighbours, NeighboursModel
 
-
 def save_model(model: Model, path: str) -> None:
     spark = SparkSession.getActiveSession()
 
@@ -32,6 +34,17 @@ def save_model(model: Model, path: str) -> None:
             nodes.write.mode("overwrite").parquet(f"{path}/nodes")
         starts = model.trees.starts if model.trees else None
         describe(kind="members", votes=model.votes, classes=model.classes, mean=model.mean, starts=starts, n=len(model.members))
+    elif isinstance(model, GrownModel):
+        nodes = [
+            pa.table({
+                "group": np.full(len(t.feature), g, np.int32), "id": np.arange(len(t.feature), dtype=np.int32), "feature": t.feature.astype(np.int32), "cut": t.cut,
+                "left": t.left, "gap_left": t.gap_left, "value": pa.array(list(t.value)), "gain": t.gain, "owner": t.owner,
+            })
+            for g, t in enumerate(model.trees)
+        ]
+        spark.createDataFrame(pa.concat_tables(nodes)).write.mode("overwrite").parquet(f"{path}/nodes")
+        outputs = [o.tolist() for o in model.outputs]
+        describe(kind="grown", outputs=outputs, base=model.base.tolist(), classes=model.classes, link=model.link, n_columns=model.n_columns)
     elif isinstance(model, StackingModel):
         for i, member in enumerate([*model.level0.values(), model.level1]):
             save_model(member, f"{path}/level{i}")
@@ -62,6 +75,18 @@ def load_model(path: str) -> Model:
             return WeightedMembers([load_model(f"{path}/member{i}") for i in range(what["n"])], what["votes"], what["classes"], what["mean"])
         rows = spark.read.parquet(f"{path}/nodes").orderBy("id").select(*(F.col(c) for c in Trees.COLUMNS)).collect()
         return WeightedMembers([], what["votes"], what["classes"], what["mean"], Trees(np.array(rows, float).reshape(-1, 5), what["starts"]))
+    if what["kind"] == "grown":
+        outputs = [np.array(o, int) for o in what["outputs"]]
+        trees = [GrownTrees(len(o), 1) for o in outputs]
+        found = spark.read.parquet(f"{path}/nodes").orderBy("group", "id").toArrow()
+        group = found.column("group").to_numpy()
+        for g, t in enumerate(trees):
+            part = found.slice(int(np.searchsorted(group, g)), int((group == g).sum()))
+            kinds = {"feature": np.int16, "cut": float, "left": np.int32, "gap_left": bool, "gain": float, "owner": np.int32}
+            for name, kind in kinds.items():
+                setattr(t, name, np.array(part.column(name).to_pylist(), kind))
+            t.value = np.array(part.column("value").to_pylist(), float)
+        return GrownModel(trees, outputs, what["base"], what["classes"], what["link"], what["n_columns"])
     if what["kind"] == "stacking":
         parts = [load_model(f"{path}/level{i}") for i in range(len(what["names"]) + 1)]
         return StackingModel(dict(zip(what["names"], parts[:-1], strict=True)), parts[-1], what["classes"])
