@@ -32,7 +32,7 @@ LEAST_LENGTH, LEAST_COUNT = 6, 5
 #: A word's form has at least so many times its count.
 FACTOR = 5
 #: Words whose counts a task holds before it passes them on.
-COUNTED_AT_ONCE = 200_000
+COUNTED_AT_ONCE = 40_000
 
 SKIPS, SKIPS_RUN_END, WHOLE = 0, 1, 2
 
@@ -77,7 +77,7 @@ def word_counts(docs: DataFrame, least: int = LEAST_COUNT) -> DataFrame:
 
 
 def _paths(keys: DataFrame) -> DataFrame:
-    """key, part and path: the nodes of the key's prefixes by length, numbered from 0 in its part.
+    """key, n, part and path: the nodes of the key's prefixes by length, numbered from 0 in its part.
 
     Keys (distinct, not null, not empty) are sorted in ranges, so the keys of a node follow each other
     and what a key shares with the one before is known. The first key of a part has a path of its
@@ -95,10 +95,11 @@ def _paths(keys: DataFrame) -> DataFrame:
                 before = key
                 paths.append(path)
             lists = pa.LargeListArray.from_arrays(np.cumsum([0, *map(len, paths)]), pa.array(np.concatenate(paths)))
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([part] * len(names), pa.int32()), lists.cast(pa.list_(pa.int64()))], ["key", "part", "path"])
+            parts = pa.array([part] * len(names), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), parts, lists.cast(pa.list_(pa.int64()))], ["key", "n", "part", "path"])
 
-    ranges = keys.select("key").repartitionByRange(parallelism(keys.sparkSession), "key").sortWithinPartitions("key")
-    return settle(ranges.mapInArrow(number, "key string, part int, path array<long>"))
+    ranges = keys.select("key", "n").repartitionByRange(parallelism(keys.sparkSession), "key").sortWithinPartitions("key")
+    return settle(ranges.mapInArrow(number, "key string, n long, part int, path array<long>"))
 
 
 def _carried(paths: DataFrame) -> dict[int, tuple[np.ndarray, int]]:
@@ -201,17 +202,16 @@ def variants(words: DataFrame) -> DataFrame:
     is the last form in a row of them, or itself. Without words there are no rows.
     """
     words = settle(words.select("word", "n"))
-    forward = _paths(words.select(F.col("word").alias("key")))
-    backward = _paths(words.select(F.reverse("word").alias("key")))
+    forward = _paths(words.select(F.col("word").alias("key"), "n"))
+    backward = _paths(words.select(F.reverse("word").alias("key"), "n"))
     ahead, behind = _carried(forward), _carried(backward)
-    both = words.join(forward.withColumnRenamed("key", "word"), "word").join(
+    both = forward.withColumnRenamed("key", "word").join(
         backward.select(F.reverse("key").alias("word"), F.col("part").alias("back_part"), F.col("path").alias("back_path")), "word"
     )
     near = settle(_met(_pairs(both, ahead, behind)))
     # One row a part. A word's own node is new in its part, and nodes follow the order of words.
     shifts = words.sparkSession.createDataFrame([(p, first - len(known)) for p, (known, first) in ahead.items()], "part int, shift long")
-    numbered = forward.join(F.broadcast(shifts), "part").select(F.col("key").alias("word"), (F.element_at("path", -1) + F.col("shift")).alias("id"))
-    numbered = settle(words.join(numbered, "word"))
+    numbered = forward.join(F.broadcast(shifts), "part").select((F.element_at("path", -1) + F.col("shift")).alias("id"), F.col("key").alias("word"), "n")
     judged = numbered.join(near, "id", "left").select(
         "id", "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(F.col("best.n") >= FACTOR * F.col("n"), -F.col("best.back")).alias("form"),
@@ -219,13 +219,14 @@ def variants(words: DataFrame) -> DataFrame:
     judged = settle(judged)
     most = judged.agg(F.max("n")).first()[0] or 1
     roots = _roots(judged.where("form IS NOT NULL"), most)
-    names = numbered.select(F.col("id").alias("__id"), F.col("word").alias("__word"), F.col("n").alias("__n"))
+    names = judged.select(F.col("id").alias("__id"), F.col("word").alias("__word"), F.col("n").alias("__n"))
     form = names.select(F.col("__id").alias("form"), F.col("__word").alias("form_word"), F.col("__n").alias("form_n"))
     root = names.select(F.col("__id").alias("root"), F.col("__word").alias("root_word"))
-    rooted = roots.join(root, "root").select("id", "root_word")
-    return judged.join(form, "form", "left").join(rooted, "id", "left").select(
+    # Words that have a form are few beside all words; their names are looked up, then joined once.
+    formed = judged.where("form IS NOT NULL").select("id", "form").join(form, "form").join(roots.join(root, "root"), "id").select("id", "form_word", "form_n", "root_word")
+    return judged.join(formed, "id", "left").select(
         "word", F.col("form_word").alias("form"), F.coalesce("root_word", "word").alias("root"), "n", "n_near", "form_n"
-    )
+    )
 
 
 def spellings(docs: DataFrame) -> DataFrame:
