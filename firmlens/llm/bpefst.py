@@ -16,21 +16,27 @@ import functools
 import hashlib
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from firmlens.llm.common import rows
 from firmlens.llm.tokens import Memory
 
-#: Transitions that a worker keeps (about 150 bytes each); beyond, it starts anew with the next piece.
-TRANSITIONS = 250_000
+#: Transitions that a worker keeps (about 300 bytes each with their states); beyond, it starts anew
+#: with the next piece.
+TRANSITIONS = 400_000
 #: Answers on pairs of neighbours that a worker keeps.
 PAIRS = 300_000
 #: Bytes of pieces remembered with their ids (twice: kept and recent).
-PIECES_BYTES = 24 << 20
+PIECES_BYTES = 32 << 20
+#: Bytes of a piece after which tokens that are certain are passed on.
+LOOK = 256
 IDS_AT_ONCE = 4096
 NEVER = 1 << 62
 
@@ -53,15 +59,30 @@ def read_ranks(path: str | None = None) -> bytes:
         return file.read()
 
 
+@functools.lru_cache(maxsize=1)
+def read_tokens(content: bytes) -> dict[int, bytes]:
+    """The bytes of each rank."""
+    lines = (line.split() for line in content.splitlines() if line.strip())
+    return {int(rank): base64.b64decode(token) for token, rank in lines}
+
+
 class Merges:
-    """Tokens by rank, how the merges build each one, and which may stand side by side."""
+    """Tokens by rank, the merge that makes each one, and which tokens may stand side by side."""
 
     def __init__(self, content: bytes):
-        lines = (line.split() for line in content.splitlines() if line.strip())
-        self.rank = {base64.b64decode(token): int(rank) for token, rank in lines}
-        self.token = {r: t for t, r in self.rank.items()}
-        self._spines: dict[tuple[int, bool], tuple] = {}
-        self._apart: dict[tuple[int, int], bool] = {}
+        self.token = read_tokens(content)
+        self.rank = {t: r for r, t in self.token.items()}
+        #: The halves of each token, and the token of each two halves. Tokens that no merges lead to
+        #: have none; only a whole piece can be one.
+        self.halves: dict[int, tuple[int, int]] = {}
+        self.joined: dict[int, int] = {}
+        for token, rank in self.rank.items():
+            parts, last = self.merged(token)
+            if last and len(parts) == 1:
+                left, right = self.rank[last[0]], self.rank[last[1]]
+                self.halves[rank] = left, right
+                self.joined[left << 32 | right] = rank
+        self._apart: dict[int, bool] = {}
 
     def merged(self, data: bytes) -> tuple[list[bytes], tuple[bytes, bytes] | None]:
         """What the merges make of ``data``, lowest rank first and leftmost among equals, and the
@@ -77,48 +98,39 @@ class Merges:
             last = (parts[at], parts[at + 1])
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    @functools.cache  # noqa: B019 - bounded by the vocabulary; lives as long as the worker
-    def split(self, token: int) -> tuple[int, int] | None:
-        """The two tokens whose merge gives this one; None for single bytes and for tokens that no
-        merges lead to."""
-        parts, last = self.merged(self.token[token])
-        return (self.rank[last[0]], self.rank[last[1]]) if len(parts) == 1 and last else None
-
-    def reachable(self, token: int) -> bool:
-        return len(self.token[token]) == 1 or self.split(token) is not None
-
-    def _spine(self, token: int, right: bool) -> tuple:
-        """The tokens that stood at this end while the token was built, each with the rank of the
-        merge that ended it."""
-        if (found := self._spines.get((token, right))) is None:
-            halves = self.split(token)
-            found = ((token, NEVER),)
-            if halves:
-                inner = self._spine(halves[right], right)
-                found += ((inner[0][0], token), *inner[1:])
-            self._spines[token, right] = found
-        return found
-
     def apart(self, a: int, b: int) -> bool:
         """Whether the merges leave ``a`` and ``b`` as they are when b follows a."""
-        if (found := self._apart.get((a, b))) is None:
+        if (found := self._apart.get(a << 32 | b)) is None:
             if len(self._apart) >= PAIRS:
                 self._apart.clear()
-            found = self._apart[a, b] = not any(self._crosses(u, v) for u in self._spine(a, True) for v in self._spine(b, False))
+            found = self._apart[a << 32 | b] = self._stay(a, b)
         return found
 
-    def _crosses(self, u: tuple[int, int], v: tuple[int, int]) -> bool:
-        """Whether these two merge before either is taken by its own side; of equal merges the left
-        one comes first."""
-        rank = self.rank.get(self.token[u[0]] + self.token[v[0]])
-        return rank is not None and rank < u[1] and rank <= v[1] and self.split(rank) == (u[0], v[0])
+    def _stay(self, u: int, v: int) -> bool:
+        """Undo the merges on both sides of the boundary, latest first: no two tokens that faced each
+        other across it may have a merge that came before the next one of either side. Of equal
+        merges the left one comes first."""
+        joined, halves = self.joined, self.halves
+        u_until = v_until = NEVER
+        while True:
+            rank = joined.get(u << 32 | v)
+            if rank is not None and rank < u_until and rank <= v_until:
+                return False
+            if u > v and u in halves or v not in halves:
+                if u not in halves:
+                    return True
+                u_until, u = u, halves[u][1]
+            else:
+                v_until, v = v, halves[v][0]
 
 
 class Transducer:
     """The lazily determinised transducer over the bytes of a piece.
 
-    A state is the last emitted token (-1 at the start) and its configurations (trie node, tokens
-    guessed since). One of them is always at the root of the trie: the piece may end in any state.
+    A state is the set of its configurations: (trie node, token before). One of them is always at the
+    root of the trie, since every prefix has its row of tokens; a transition gives that row's last
+    token. Which of these tokens are in the piece's row is certain as soon as all configurations hang
+    from them.
     """
 
     def __init__(self, merges: Merges, transitions: int = TRANSITIONS):
@@ -126,7 +138,10 @@ class Transducer:
         self.child: dict[int, int] = {}
         self.ends = [-1]
         self.inner = [True]
+        self.depth = [0]
         for token, rank in merges.rank.items():
+            if len(token) > 1 and rank not in merges.halves:
+                continue
             node = 0
             for byte in token:
                 key = node << 8 | byte
@@ -134,57 +149,77 @@ class Transducer:
                     below = self.child[key] = len(self.ends)
                     self.ends.append(-1)
                     self.inner.append(False)
+                    self.depth.append(self.depth[node] + 1)
                     self.inner[node] = True
                 node = below
             self.ends[node] = rank
+        self.size = {r: len(t) for t, r in merges.rank.items()}
         self._clear()
 
     def _clear(self) -> None:
-        self.number = {(-1, ((0, ()),)): 0}
-        self.states, self.rest, self.moves = [(-1, ((0, ()),))], [()], {}
-
-    def _move(self, at: int, byte: int) -> tuple[tuple[int, ...], int]:
-        """The tokens that are certain after one more byte, and the state it leads to."""
-        merges, (before, configurations) = self.merges, self.states[at]
-        found, whole = [], None
-        for node, guessed in configurations:
+        start = ((0, -1),)
+        self.number, self.states = {start: 0}, [start]
+        #: State and byte to last token and next state, both in one number.
+        self.moves: dict[int, int] = {}
+
+    def _move(self, at: int, byte: int) -> int:
+        found, last = [], -1
+        for node, before in self.states[at]:
             below = self.child.get(node << 8 | byte)
             if below is None:
                 continue
-            if self.inner[below]:
-                found.append((below, guessed))
             token = self.ends[below]
-            if whole is None and token >= 0 and merges.reachable(token):
-                last = guessed[-1] if guessed else before
-                if last < 0 or merges.apart(last, token):
-                    whole = (*guessed, token)
-        if whole is None:
+            if last < 0 and token >= 0 and (before < 0 or self.merges.apart(before, token)):
+                last = token
+            if self.inner[below]:
+                found.append((below, before))
+        if last < 0:
             raise ValueError(f"byte {byte} is not in the vocabulary")
-        found.append((0, whole))
-        sure = 0
-        shortest = min(len(g) for _, g in found)
-        while sure < shortest and all(g[sure] == whole[sure] for _, g in found):
-            sure += 1
-        state = (whole[sure - 1] if sure else before, tuple((n, g[sure:]) for n, g in found))
+        found.append((0, last))
+        state = tuple(found)
         to = self.number.get(state)
         if to is None:
             to = self.number[state] = len(self.states)
             self.states.append(state)
-            self.rest.append(whole[sure:])
-        move = self.moves[at << 8 | byte] = (whole[:sure], to)
+        move = self.moves[at << 8 | byte] = last << 32 | to
         return move
 
-    def tokens(self, piece: bytes) -> Iterator[int]:
-        """The tokens of a piece, each as soon as it is certain."""
+    def _back(self, last: list[int], end: int, begin: int) -> list[int]:
+        """The row of tokens from ``begin`` to ``end``, both ends of tokens."""
+        out = []
+        while end > begin:
+            token = last[end - 1]
+            out.append(token)
+            end -= self.size[token]
+        out.reverse()
+        return out
+
+    def tokens(self, piece: Iterable[int]) -> Iterator[int]:
+        """The tokens of a piece. Every ``LOOK`` bytes those are passed on that all configurations
+        hang from, so a piece of any length is held in a bounded part only."""
         if len(self.moves) >= self.limit:
             self._clear()
-        at, moves = 0, self.moves
-        for byte in piece:
-            move = moves.get(at << 8 | byte)
-            sure, at = self._move(at, byte) if move is None else move
-            if sure:
-                yield from sure
-        yield from self.rest[at]
+        at, get, last, source = 0, self.moves.get, [], iter(piece)
+        while some := bytes(islice(source, LOOK)):
+            if len(last) >= LOOK and (sure := self._sure(at, last)):
+                yield from self._back(last, sure, 0)
+                del last[:sure]
+            for byte in some:
+                move = get(at << 8 | byte)
+                if move is None:
+                    move = self._move(at, byte)
+                last.append(move >> 32)
+                at = move & 0xFFFFFFFF
+        yield from self._back(last, len(last), 0)
+
+    def _sure(self, at: int, last: list[int]) -> int:
+        """The furthest end of a token that all configurations hang from."""
+        begins = {len(last) - self.depth[node] for node, _ in self.states[at]}
+        while len(begins) > 1:
+            far = max(begins)
+            begins.remove(far)
+            begins.add(far - self.size[last[far - 1]] if far > 0 else 0)
+        return max(0, begins.pop())
 
 
 class Encoder:
@@ -200,7 +235,7 @@ class Encoder:
         """Ids (little-endian unsigned 32-bit); a piece that is a token is that token."""
         data = text.encode()
         whole = self.merges.rank.get(data)
-        return array("I", (whole,) if whole is not None else self.transducer.tokens(data)).tobytes()
+        return array("I", (whole,) if whole is not None else list(self.transducer.tokens(data))).tobytes()
 
     def ids(self, text: str | None) -> bytes:
         pieces = self.pattern.findall(text or "")
@@ -291,51 +326,47 @@ class Utf8Machine:
         return "�" if left else ""
 
 
-def decode(merges: Merges, ids: Iterable[int]) -> Iterator[str]:
+def decode(token: Mapping[int, bytes], ids: Iterable[int]) -> Iterator[str]:
     """The text of a row of ids, as far as it is certain after each few thousand of them."""
-    ids, machine = list(ids), Utf8Machine()
-    for at in range(0, len(ids), IDS_AT_ONCE):
-        yield machine.feed(b"".join([merges.token[i] for i in ids[at : at + IDS_AT_ONCE]]))
+    ids, machine = iter(ids), Utf8Machine()
+    while some := list(islice(ids, IDS_AT_ONCE)):
+        yield machine.feed(b"".join([token[i] for i in some]))
     yield machine.end()
 
 
-_workers: dict[tuple, Encoder] = {}
+_workers: dict[bytes, Encoder] = {}
 
 
 def _encoder(content: bytes, pattern: str) -> Encoder:
     """One encoder for each worker process, kept between tasks."""
-    key = (hashlib.sha256(content).digest(), pattern)
+    key = hashlib.sha256(content + pattern.encode()).digest()
     if key not in _workers:
         _workers.clear()
         _workers[key] = Encoder(content, pattern)
     return _workers[key]
 
 
-def encoded(content: bytes, pattern: str, text: Column) -> Column:
-    """The ids of a whole text as little-endian unsigned 32-bit integers; null and empty texts have
-    none."""
+def encode(docs: DataFrame, content: bytes, pattern: str) -> DataFrame:
+    """doc_id and ids (little-endian unsigned 32-bit) of every row of ``docs``: texts are not cut, null
+    and empty ones have no ids, repeated rows stay, an empty table gives no rows and other columns are
+    not read."""
 
-    @F.pandas_udf("binary")
-    def run(texts: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content, pattern)
-        return pd.Series([encoder.ids(t) for t in texts], dtype=object)
+        for batch in rows(batches):
+            ids = [encoder.ids(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    return run(text)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
 
 
-def decoded(content: bytes, pattern: str, ids: Column) -> Column:
+def decoded(content: bytes, ids: Column) -> Column:
     """The text of ids; null stays null. Bytes that are no UTF-8 become U+FFFD, unknown ids are an
     error."""
 
     @F.pandas_udf("string")
-    def run(rows: pd.Series) -> pd.Series:
-        merges = _encoder(content, pattern).merges
-        return pd.Series([None if r is None else "".join(decode(merges, np.frombuffer(r, "<u4").tolist())) for r in rows], dtype=object)
+    def run(column: pd.Series) -> pd.Series:
+        token = read_tokens(content)
+        return pd.Series([None if r is None else "".join(decode(token, np.frombuffer(r, "<u4").tolist())) for r in column], dtype=object)
 
     return run(ids)
-
-
-def encode(docs: DataFrame, content: bytes, pattern: str) -> DataFrame:
-    """doc_id and ids of every row of ``docs``: texts are not cut, rows don't move, repeated rows stay,
-    an empty table gives no rows and other columns are not read."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), encoded(content, pattern, F.col("text")).alias("ids"))

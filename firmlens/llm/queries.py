@@ -120,7 +120,7 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     content, pattern = bpefst.read_ranks(), bpefst.public_pattern()
     ids = bpefst.encode(table(spark, sf_dir, "documents"), content, pattern)
-    found = ids.select("doc_id", "ids", bpefst.decoded(content, pattern, F.col("ids")).alias("text"))
+    found = ids.select("doc_id", "ids", bpefst.decoded(content, F.col("ids")).alias("text"))
     return found.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
