@@ -31,8 +31,9 @@ GAP = 255
 NODE_BUDGET = 4_000_000
 #: Sums that one task merges, about.
 CELLS_TOGETHER = 400_000
-#: Row and tree pairs that a task looks at in one step.
+#: Row and tree pairs that a task looks at in one step, and those that are worth a task of their own.
 PAIRS_AT_ONCE = 1 << 20
+PAIRS_IN_TASK = 100_000
 
 # Cumulative Poisson probabilities with mean 1, for bootstraps without a pass over the data.
 _POISSON = np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(20)])
@@ -624,6 +625,8 @@ def grow(table: Binned, rules: Sequence[Rules], gradients: Gradients | None = No
     rows = table.rows if state_rows is None else state_rows
     sc = rows.sparkSession.sparkContext
     n, n_columns = len(rules), table.n_columns
+    if (tasks := max(1, table.n_rows * n // PAIRS_IN_TASK)) < parallelism(rows.sparkSession):
+        rows = rows.coalesce(tasks)  # a single task needs no shuffle either
     trees = Trees(n, len(table.classes) if kind == "class" else 1)
     if not n or not n_columns or not table.n_rows:
         return trees

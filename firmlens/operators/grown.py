@@ -442,9 +442,9 @@ def _board(spark, candidates: Sequence[dict], scores: dict[int, float], k: int,
 
 
 def search_boosting(
-    df: DataFrame, build: Callable[..., Boosting], candidates: Sequence[dict], task: str, key: str = "company_id", k: int = 5, seed: int = 42, metric: str | None = None
+    df: DataFrame, build: Callable[..., Boosting], candidates: Sequence[dict], task: str, key: str = "company_id", k: int = 5, seed: int = 42, metric: str | None = None, refit: bool = True
 ):
-    """Mean k-fold score per candidate, best first, and the winner fitted on all rows. The fits of all
+    """Mean k-fold score per candidate, best first, and (``refit``) the winner fitted on all rows. The fits of all
     candidates and folds go through their rounds together."""
     metric = metric or ("r2" if task == "regression" else "accuracy")
     specs = [build(**c).spec for c in candidates]
@@ -468,13 +468,13 @@ def search_boosting(
         rows.unpersist()
         table.release()
     board, best = _board(df.sparkSession, candidates, scores, k, metric not in ("rmse", "mape"))
-    return board, build(**candidates[best]).fit(df)
+    return board, build(**candidates[best]).fit(df) if refit else None
 
 
 def search_forest(
-    df: DataFrame, build: Callable[..., Forest], candidates: Sequence[dict], task: str, key: str = "company_id", k: int = 5, seed: int = 42, metric: str | None = None
+    df: DataFrame, build: Callable[..., Forest], candidates: Sequence[dict], task: str, key: str = "company_id", k: int = 5, seed: int = 42, metric: str | None = None, refit: bool = True
 ):
-    """Mean k-fold score per candidate, best first, and the winner fitted on all rows.
+    """Mean k-fold score per candidate, best first, and (``refit``) the winner fitted on all rows.
 
     Candidates that differ in the number of trees and their depth only share one forest a fold: a
     smaller forest is its first trees, a shallower tree its upper nodes. Votes are added up as whole
@@ -525,7 +525,7 @@ def search_forest(
         scores = _measured(rows, predict, task, metric)
         rows.unpersist()
     board, best = _board(df.sparkSession, candidates, scores, k, metric not in ("rmse", "mape"))
-    return board, built[best].fit(df)
+    return board, built[best].fit(df) if refit else None
 
 
 def _with_votes(rows: DataFrame, trees: Trees, part, groups, built: Sequence[Forest], width: int, middle: float, half: float) -> DataFrame:

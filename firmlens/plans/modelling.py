@@ -605,7 +605,7 @@ def knn_classification_all(spark, d):
 def grid_search_tree(spark, d):
     train, _ = split(regression_rows(spark, d), "company_id", 0.2)
     board, _ = tuning.grid_search(
-        train, lambda **p: grown.Tree("regression", **p), tuning.REGRESSION_GRIDS["tree"], "regression"
+        train, lambda **p: grown.Tree("regression", **p), tuning.REGRESSION_GRIDS["tree"], "regression", refit=False
     )
     return board
 
@@ -624,7 +624,7 @@ def random_search_boosting(spark, d):
     """The whole space and budget of the light boosting search, by relative error."""
     train, _ = split(regression_rows(spark, d), "company_id", 0.2)
     space, budget = tuning.SPACES["light_boosting"]
-    board, _ = tuning.random_search(train, tuning.BUILDERS["light_boosting"], space, budget, "regression", metric="mape")
+    board, _ = tuning.random_search(train, tuning.BUILDERS["light_boosting"], space, budget, "regression", metric="mape", refit=False)
     return board
 
 
@@ -633,7 +633,7 @@ def random_search_forest(spark, d):
     """The whole space and budget of the forest search."""
     train, _ = split(class_rows(spark, d), "company_id", 0.3)
     space, budget = tuning.SPACES["forest_class"]
-    board, _ = tuning.random_search(train, tuning.BUILDERS["forest_class"], space, budget, "class")
+    board, _ = tuning.random_search(train, tuning.BUILDERS["forest_class"], space, budget, "class", refit=False)
     return board
 
 
@@ -642,7 +642,7 @@ def random_search_extra(spark, d):
     """The whole space and budget of the search over extremely randomised trees."""
     train, _ = split(class_rows(spark, d), "company_id", 0.3)
     space, budget = tuning.SPACES["extra_class"]
-    board, _ = tuning.random_search(train, tuning.BUILDERS["extra_class"], space, budget, "class")
+    board, _ = tuning.random_search(train, tuning.BUILDERS["extra_class"], space, budget, "class", refit=False)
     return board
 
 
