@@ -8,7 +8,7 @@ from firmlens.functions import columns as C
 from firmlens.functions.text import strip_words
 from firmlens.operators import joins, profile
 from firmlens.operators.quantiles import quartile_frame
-from firmlens.plans.registry import query
+from firmlens.plans.registry import QUERIES, query
 from firmlens.plans.views import BOTH, EARLIER, LATER, companies, oracle, prepared, statements, table
 from firmlens.session import scratch_path, settle
 from firmlens.sources import pages, tables
@@ -123,6 +123,28 @@ def profile_fields(spark, d):
     return out.withColumn("name", F.trim(F.regexp_replace("name", r"^\s+", "")))
 
 
+def nested_pages(spark, d):
+    """The same profiles as pages are written: attributes in any order, equal tags inside each other,
+    tags left open, script text that looks like markup."""
+    month = F.element_at(F.array(*(F.lit(m) for m in pages.MONTHS)), F.col("company_id").cast("int") % 12 + 1)
+    number = F.col("company_id").cast("string")
+    parts = (
+        '<script>var t = "<h1>no</h1>";</script><time>1900</time><div><h1 id="t" class="big name"><b>', F.col("name"), "</b> Ltd</h1>",
+        '<div data-x="1" class="wide description"><p>since <div><time datetime="x">', month, " ", (F.col("company_id") % 30 + 1990).cast("string"),
+        '</time></div><p>unclosed</div><div id="e" class="employees big field"><div><a href="#">', number, " people</a></div></div>",
+        F.when(F.col("company_id") % 5 != 0, F.concat(F.lit('<a href="/x" class="field-value-link">'), F.col("place"), F.lit("</a>"))).otherwise(""),
+        '<span title="a>b" class="highlight">', F.col("place"), "<br> Basque Country</span>",
+        '<div class="ranking-section-container"><div>Dealroom.co signal</div> <div><i>', number, "</div></div></div>",
+    )
+    html = F.concat(*(p if not isinstance(p, str) else F.lit(p) for p in parts))
+    return companies(spark, d).select("company_id", html.alias("html"))
+
+
+@query("profile_fields_nested", QUERIES["profile_fields"].sql)
+def profile_fields_nested(spark, d):
+    return pages.extract_nested_fields(nested_pages(spark, d))
+
+
 # ---- columns and rows ----------------------------------------------------------------------------
 
 BALANCE = ("fixed_assets", "current_assets", "total_assets", "equity", "noncurrent_liab", "current_liab")

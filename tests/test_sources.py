@@ -60,3 +60,27 @@ def test_written_tables_go_when_work_is_done(spark):
     before = folders()
     exact_quantiles(spark.range(50).selectExpr("id * 1.0D AS x"), ["x"], [0.5])
     assert folders() == before
+
+
+def test_nested_elements():
+    paths = {"a": (("div", "x"), ("a", None)), "b": (("div", "x y"),), "c": (("p", None),)}
+    cases = {
+        "": {},
+        None: {},
+        '<a>out</a><div id="1" class="z x"><div><a href="#">in <b>bold</b></a></div></div>': {"a": "in bold"},
+        '<div class="y q x"><div>one</div><div>two</div></div>three': {"b": "onetwo"},
+        '<div class="x y">open <p>para <i>it': {"b": "open para it", "c": "para it"},
+        "<p>a</div></b>b<br>c<br/>d</p>e": {"c": "abcd"},
+        '<p>x<script>if (a<b) "</p>"</script>y &amp; z</p>': {"c": "xy & z"},
+        '<div class="x"></div><a>no</a><div class="x"><a>yes</a><a>later</a></div>': {"a": "yes"},
+        '<div class="xy"><a>no</a></div><p a="<p>">q</p>': {"c": "q"},
+    }
+    for html, want in cases.items():
+        assert pages.element_texts(html, paths) == want, html
+
+
+def test_nested_fields_of_odd_tables(spark):
+    df = spark.createDataFrame([(1, None, "n"), (2, "<h1> </h1>", "n"), (3, "<h1>A</h1>", "n"), (3, "<h1>A</h1>", "n")], "page_id long, html string, name_ string")
+    got = [tuple(r) for r in pages.extract_nested_fields(df).select("page_id", "name", "ranking", "name_").orderBy("page_id").collect()]
+    assert got == [(1, None, None, "n"), (2, None, None, "n"), (3, "A", None, "n"), (3, "A", None, "n")]
+    assert pages.extract_nested_fields(df.where("false")).count() == 0
