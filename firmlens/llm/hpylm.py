@@ -71,6 +71,16 @@ def _open(frame: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def _packed_ids(ids: list[int | None]) -> bytes:
+    """Ids and which of them are known, as bytes: an array with a null would reach pandas as doubles."""
+    return np.array([i or 0 for i in ids], "<i8").tobytes() + np.array([i is not None for i in ids], np.uint8).tobytes()
+
+
+def _unpacked_ids(packed: bytes, n: int) -> list[int | None]:
+    known = np.frombuffer(packed, np.uint8, n, 8 * n)
+    return [i if k else None for i, k in zip(np.frombuffer(packed, "<i8", n).tolist(), known.tolist(), strict=True)]
+
+
 def _release(df: DataFrame) -> None:
     """Let Spark's cleaner remove shuffles that nothing refers to any more: it goes by the garbage
     collection of the driver, which may not come before the disk is full."""
@@ -101,8 +111,8 @@ EXCHANGED = "bucket long, shard long, sweep long, parts array<binary>"
 SUMMARY, CORE = -1, -2
 #: Summaries that reach the driver.
 SUMMARIES = 64
-MESSAGE = "bucket long, block long, parts array<binary>, doc_ids array<long>, learn array<boolean>, tokens array<long>"
-MERGED = "bucket long, block long, types array<binary>, refs array<binary>, doc_ids array<long>, learn array<boolean>, tokens array<long>"
+MESSAGE = "bucket long, block long, parts array<binary>, doc_ids binary, learn array<boolean>, tokens array<long>"
+MERGED = "bucket long, block long, types array<binary>, refs array<binary>, doc_ids binary, learn array<boolean>, tokens array<long>"
 
 
 def _messages(hot: np.ndarray, buckets: int, pairs: np.ndarray = np.zeros(0, np.uint64)):
@@ -112,7 +122,7 @@ def _messages(hot: np.ndarray, buckets: int, pairs: np.ndarray = np.zeros(0, np.
     Of the hot ``pairs`` a bucket gets one entry a block, with a number after the documents' and the
     block's training count (or 1, not learned from); the head keeps which documents have them."""
     schema = pa.schema(
-        [("bucket", pa.int64()), ("block", pa.int64()), ("parts", pa.list_(pa.binary())), ("doc_ids", pa.list_(pa.int64())), ("learn", pa.list_(pa.bool_())), ("tokens", pa.list_(pa.int64()))]
+        [("bucket", pa.int64()), ("block", pa.int64()), ("parts", pa.list_(pa.binary())), ("doc_ids", pa.binary()), ("learn", pa.list_(pa.bool_())), ("tokens", pa.list_(pa.int64()))]
     )
 
     def block(number: int, ids: list, learn: list, sizes: list, words: list) -> pa.RecordBatch:
@@ -162,7 +172,7 @@ def _messages(hot: np.ndarray, buckets: int, pairs: np.ndarray = np.zeros(0, np.
             parts = _squeeze(hashes[token[a:b][starts]], lengths.astype("<u4"), slot.astype("<u4"), doc[a:b].astype("<u2"), count[a:b].astype("<u4"), names[met])
             for column, value in zip(rows, (int(to[a]), number, parts, None, None, None), strict=True):
                 column.append(value)
-        for column, value in zip(rows, (buckets + number % buckets, number, kept, ids, learn, (size + 1).tolist()), strict=True):
+        for column, value in zip(rows, (buckets + number % buckets, number, kept, _packed_ids(ids), learn, (size + 1).tolist()), strict=True):
             column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
 
@@ -593,7 +603,7 @@ def _collected(n: float):
             known[docs] += k
         score, base, known = (x[:size] + np.bincount(at, (x[size:] / weight)[pair] * times, size) for x in (score, base, known))
         known = np.rint(known).astype(np.int64)
-        ids = pd.array([None if i is None or i != i else int(i) for i in head["doc_ids"]], dtype="Int64")
+        ids = pd.array(_unpacked_ids(head["doc_ids"], size), dtype="Int64")
         return pd.DataFrame(
             {"doc_id": ids, "learned": [bool(x) for x in head["learn"]], "n_tokens": np.array(head["tokens"], np.int64), "n_known": known, "train_tokens": int(n), "base_score": base, "score": score}
         )
@@ -659,7 +669,7 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
         _release(rows)
     types = merged.where("types is not null").select("bucket", "types", "refs").groupBy("bucket")
     sums = types.cogroup(_restaurants(known).groupBy("bucket")).applyInPandas(_scored(hot, _plain(known)), "bucket long, block long, parts array<binary>")
-    sums = sums.select("bucket", "block", "parts", *(F.lit(None).cast(t).alias(c) for c, t in (("doc_ids", "array<bigint>"), ("learn", "array<boolean>"), ("tokens", "array<bigint>"))))
+    sums = sums.select("bucket", "block", "parts", *(F.lit(None).cast(t).alias(c) for c, t in (("doc_ids", "binary"), ("learn", "array<boolean>"), ("tokens", "array<bigint>"))))
     heads = merged.where("doc_ids is not null").select("bucket", "block", F.col("refs").alias("parts"), "doc_ids", "learn", "tokens")
     return sums.unionByName(heads).groupBy("block").applyInPandas(
         _collected(known[-1].n), "doc_id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

@@ -167,3 +167,10 @@ def test_hot_words_and_pairs_leave_buckets_of_their_size(spark, documents, monke
     for r in messages.select("bucket", "parts").collect():
         entries[r.bucket] += len(hpylm._open(r.parts[3], "<u2"))
     assert max(entries.values()) < 400 * 1.5
+
+
+def test_large_ids_beside_null(spark, documents):
+    """Ids that doubles cannot hold, in a block with a null one."""
+    ids = [2**53 + 1, 2**62, None, -(2**63), 2**63 - 1, 0]
+    found = hpylm.score(documents([(i, f"some words {i}") for i in ids]), F.lit(True)).collect()
+    assert sorted((r.doc_id for r in found), key=str) == sorted(ids, key=str)
