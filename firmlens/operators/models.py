@@ -6,14 +6,10 @@
 
 from __future__ import annotations
 
-import math
 import warnings
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, PipelineModel, Transformer
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -24,10 +20,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol, HasSeed
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -35,13 +28,12 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from firmlens.functions.columns import col
+from firmlens.operators import margins
 from firmlens.operators.knn import knn_join
 from firmlens.operators.metrics import classification_metrics, regression_metrics
-from firmlens.session import hold
 
 #: Spark's own limit; stands for trees without one.
 MAX_DEPTH = 30
@@ -189,76 +181,18 @@ class HighestOutput(Model):
 # ---- support vectors -----------------------------------------------------------------------------
 
 
-class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
-    """Random Fourier features of the RBF kernel (Rahimi & Recht 2007)."""
-
-    gamma = Param(Params._dummy(), "gamma", "kernel width; 0 means 1 / number of inputs", TypeConverters.toFloat)
-    nFeatures = Param(Params._dummy(), "nFeatures", "number of output features", TypeConverters.toInt)
-
-    @keyword_only
-    def __init__(self, *, inputCol="features", outputCol="fourier", gamma=0.0, nFeatures=64, seed=42):
-        super().__init__()
-        self._setDefault(inputCol="features", outputCol="fourier", gamma=0.0, nFeatures=64, seed=42)
-        self._set(**self._input_kwargs)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        gamma, size, seed = self.getOrDefault(self.gamma), self.getOrDefault(self.nFeatures), self.getSeed()
-
-        @F.pandas_udf("array<double>")
-        def project(x: pd.Series) -> pd.Series:
-            data = np.array(x.tolist(), dtype="f8").reshape(len(x), -1)
-            rng = np.random.default_rng(seed)
-            width = gamma or 1.0 / data.shape[1]
-            w = rng.normal(scale=math.sqrt(2.0 * width), size=(data.shape[1], size))
-            b = rng.uniform(0.0, 2.0 * math.pi, size)
-            return pd.Series(list(math.sqrt(2.0 / size) * np.cos(data @ w + b)))
-
-        return df.withColumn(self.getOutputCol(), array_to_vector(project(vector_to_array(self.getInputCol()))))
-
-
-class SupportVectors(Estimator):
-    """Standardise, lift with Fourier features if asked, then fit a linear margin.
-
-    The lifted rows are kept in memory during the fit: the solver passes over them many times and
-    must not project them anew each time.
-    """
-
-    def __init__(self, task: str, kernel: str, c: float, gamma: float, n_features: int, seed: int):
-        super().__init__()
-        self.task, self.kernel, self.c, self.gamma = task, kernel, c, gamma
-        self.n_features, self.seed = n_features, seed
-
-    def _fit(self, df: DataFrame) -> PipelineModel:
-        scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(df)
-        stages, inputs = [scaler], "scaled"
-        if self.kernel == "rbf":
-            lift = FourierFeatures(
-                inputCol="scaled", outputCol="fourier", gamma=self.gamma, nFeatures=self.n_features, seed=self.seed
-            )
-            stages.append(lift)
-            inputs = "fourier"
-        rows = df
-        for stage in stages:
-            rows = stage.transform(rows)
-        rows = hold(rows.select(inputs, "label"))
-        penalty = 1.0 / (self.c * max(1, rows.count()))
-        if self.task == "regression":
-            last = LinearRegression(featuresCol=inputs, loss="huber", regParam=penalty, maxIter=ITERATIONS)
-        else:
-            inner = LinearSVC(featuresCol=inputs, regParam=penalty, maxIter=ITERATIONS, standardization=False)
-            last = OneVsRest(featuresCol=inputs, classifier=inner, parallelism=3)
-        stages.append(_converged(last.fit(rows)))
-        rows.unpersist()
-        return PipelineModel(stages)
-
-
 def svm(
-    task: str, kernel: str = "rbf", c: float = 1.0, gamma: float | str = "scale", n_features: int = 256, seed: int = 42
-) -> SupportVectors:
-    """Support vectors: hinge loss for classes, Huber loss for regression; the RBF kernel goes
-    through random Fourier features. ``c`` weighs the sum of losses. Inputs are standardised, so
+    task: str, kernel: str = "rbf", c: float = 1.0, gamma: float | str = "scale", n_features: int = 128, epsilon: float = 0.1
+) -> margins.SupportVectors:
+    """Support vectors: hinge loss for classes, the epsilon-insensitive loss for regression; the RBF
+    kernel goes through landmarks. ``c`` weighs the sum of losses. Inputs are standardised, so
     ``gamma`` "scale" and "auto" are both one over their number."""
-    return SupportVectors(task, kernel, c, 0.0 if gamma in ("scale", "auto") else float(gamma), n_features, seed)
+    return margins.SupportVectors(task, kernel, c, 0.0 if gamma in ("scale", "auto") else float(gamma), n_features, epsilon)
+
+
+def sgd_clf(loss: str = "hinge", alpha: float = 1e-4) -> margins.StochasticLinear:
+    """Linear classes by stochastic gradients: hinge, log or squared loss."""
+    return margins.StochasticLinear(loss, alpha)
 
 
 # ---- trees ---------------------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from firmlens.operators import balance, ensembles, grown, imputation, metrics, m
 from firmlens.operators.knn import knn_join
 from firmlens.operators.splitting import split
 from firmlens.plans.cleaning import RESOURCES, company_years, rounded
+from firmlens.plans.growth import with_gaps
 from firmlens.plans.registry import query
 from firmlens.plans.views import (
     BOTH,
@@ -211,14 +212,15 @@ def tomek_links(spark, d):
     "select_by_corr",
     oracle(
         "c AS ("
-        + " UNION ALL ".join(f"SELECT '{c}' AS variable, corr({c}, valuation) AS corr FROM mt" for c in STATEMENT_SET)
-        + ") SELECT variable, round(corr, 8) AS corr FROM c WHERE abs(corr) > 0.04",
+        + " UNION ALL ".join(f"SELECT '{c}' AS variable, corr({c}, valuation) AS corr FROM mt" for c in NUMBERS)
+        + ") SELECT variable, CAST(row_number() OVER (ORDER BY round(abs(corr), 8) DESC, variable) AS INTEGER) AS rank FROM c WHERE abs(corr) > 0.15",
         "mt",
     ),
 )
 def select_by_corr(spark, d):
-    found = profile.corr_with(model_table(spark, d), "valuation", STATEMENT_SET)
-    return rounded(found.where(F.abs("corr") > selection.CORR_THRESHOLDS["class"]), 8, "corr")
+    """The columns that go with the valuation, most first."""
+    names = selection.select_by_corr(settle(model_table(spark, d)), "valuation", selection.CORR_THRESHOLDS["regression"], NUMBERS)
+    return spark.createDataFrame([(n, i + 1) for i, n in enumerate(names)], "variable string, rank int")
 
 
 @query(
@@ -245,13 +247,13 @@ def f_regression(spark, d):
             f"SELECT '{c}' AS variable, CAST(sum(n) AS BIGINT) AS n, "
             f"round((sum(n * (m - g) * (m - g)) / (count(*) - 1)) / (sum(n * v) / (sum(n) - count(*))), 6) AS f FROM "
             f"(SELECT acq_class, count({c}) AS n, avg({c}) AS m, var_pop({c}) AS v, (SELECT avg({c}) FROM mt) AS g FROM mt GROUP BY acq_class)"
-            for c in SMALL_SET
+            for c in NUMBERS
         ),
         "mt",
     ),
 )
 def f_classif(spark, d):
-    return rounded(selection.f_classif(model_table(spark, d), "acq_class", SMALL_SET), 6, "f")
+    return rounded(selection.f_classif(model_table(spark, d), "acq_class", NUMBERS, None), 6, "f")
 
 
 def _listed(df: DataFrame, names, column="variable") -> DataFrame:
@@ -279,7 +281,17 @@ def recursive_elimination(spark, d):
 
 @query("best_feature_set")
 def best_feature_set(spark, d):
-    return selection.best_feature_set(model_table(spark, d), SETS, "valuation", "company_id", "regression")
+    """The five candidates: all columns, and those that each way of selection keeps."""
+    df = settle(model_table(spark, d).select("company_id", "valuation", *NUMBERS))
+    scores = selection.importances(df, "valuation", NUMBERS, "regression")
+    sets = {
+        "all": NUMBERS,
+        "correlation": selection.select_by_corr(df, "valuation", selection.CORR_THRESHOLDS["regression"], NUMBERS),
+        "f_test": [r["variable"] for r in selection.f_regression(df, "valuation", NUMBERS).collect()],
+        "importance": [c for c, v in scores.items() if v > selection.IMPORTANCE_THRESHOLDS["regression"]],
+        "elimination": selection.rfe(df, "valuation", NUMBERS, "regression"),
+    }
+    return selection.best_feature_set(df, sets, "valuation", "company_id", "regression")
 
 
 @query("best_scaling")
@@ -333,9 +345,22 @@ def class_rows(spark, d, names=SMALL_SET) -> DataFrame:
     return selection.assemble(model_table(spark, d), names, "acq_class", "company_id")
 
 
-def _scores(spark, d, task: str, candidates: dict) -> DataFrame:
-    """The score rows of every estimator; the valuation goes through a Box-Cox transform."""
-    rows = hold((regression_rows if task == "regression" else class_rows)(spark, d))
+def every_row(spark, d, task: str, gaps: bool) -> DataFrame:
+    """All companies with the target: missing features stay gaps, or come from nearest neighbours."""
+    if gaps:
+        df = model_table(spark, d).select("company_id", "acq_class", "valuation", *SMALL_SET)
+    else:
+        df = filled(spark, d)
+    target = "acq_class"
+    if task == "regression":
+        df, target = M.log1p_all(df, SMALL_SET).where(F.col("valuation") > 0), "valuation"
+    return with_gaps(df, SMALL_SET, target) if gaps else selection.assemble(df, SMALL_SET, target, "company_id")
+
+
+def _scores(spark, d, task: str, candidates: dict, gaps: bool = False) -> DataFrame:
+    """The score rows of every estimator, fitted and judged on companies with gaps too; the valuation
+    goes through a Box-Cox transform. ``gaps``: the estimators know gaps, so nothing is filled."""
+    rows = hold(every_row(spark, d, task, gaps))
     train, test = split(rows, "company_id", 0.2 if task == "regression" else 0.3)
     if task == "regression":
         lam = M.boxcox_fit(train, "label")
@@ -403,7 +428,7 @@ def penalised_one_feature(spark, d):
 
 @query("linear_regressors")
 def linear_regressors(spark, d):
-    n, spread = regression_rows(spark, d).agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
+    n, spread = every_row(spark, d, "regression", True).agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
     candidates = {
         "linear": models.linear(),
         "lasso": models.linear(0.5, 1.0),
@@ -442,6 +467,11 @@ def linear_classifiers(spark, d):
     return _scores(spark, d, "class", {loss: models.linear_clf(loss) for loss in ("log", "hinge", "squared")})
 
 
+@query("stochastic_classifiers")
+def stochastic_classifiers(spark, d):
+    return _scores(spark, d, "class", {loss: models.sgd_clf(loss) for loss in ("hinge", "log", "squared")})
+
+
 @query("support_vector_regressors")
 def support_vector_regressors(spark, d):
     return _scores(spark, d, "regression", {k: models.svm("regression", k) for k in ("linear", "rbf")})
@@ -452,31 +482,35 @@ def support_vector_classifiers(spark, d):
     return _scores(spark, d, "class", {k: models.svm("class", k) for k in ("linear", "rbf")})
 
 
-def _tree_query(name: str, regressor, classifier):
+def _tree_query(name: str, regressor, classifier, gaps: bool | tuple[bool, bool] = False):
+    of_values, of_classes = (gaps, gaps) if isinstance(gaps, bool) else gaps
+
     @query(f"{name}_regressor")
     def regress(spark, d):
-        return _scores(spark, d, "regression", {name: regressor()})
+        return _scores(spark, d, "regression", {name: regressor()}, of_values)
 
     @query(f"{name}_classifier")
     def classify(spark, d):
-        return _scores(spark, d, "class", {name: classifier()})
+        return _scores(spark, d, "class", {name: classifier()}, of_classes)
 
 
-_tree_query("decision_tree", lambda: grown.Tree("regression", 5, 10), lambda: grown.Tree("class", 5, 10))
-_tree_query("random_forest", lambda: grown.Forest("regression"), lambda: grown.Forest("class"))
+_tree_query("decision_tree", lambda: grown.Tree("regression", 5, 10), lambda: grown.Tree("class", 5, 10), True)
+_tree_query("random_forest", lambda: grown.Forest("regression"), lambda: grown.Forest("class"), True)
 _tree_query(
     "extra_trees",
     lambda: grown.Forest("regression", random_cuts=True, bootstrap=False),
     lambda: grown.Forest("class", random_cuts=True, bootstrap=False),
+    True,
 )
 _tree_query(
     "random_subspace", lambda: models.random_subspace_forest("regression"), lambda: models.random_subspace_forest("class")
 )
-_tree_query("gradient_boosting", lambda: grown.Boosting("regression"), lambda: grown.Boosting("class"))
+_tree_query("gradient_boosting", lambda: grown.Boosting("regression"), lambda: grown.Boosting("class"), True)
 _tree_query(
     "adaboost",
     lambda: ensembles.AdaBoost("regression", loss="linear"),
     lambda: grown.ProbabilityAdaBoost(),
+    (False, True),
 )
 _tree_query(
     "bagging",

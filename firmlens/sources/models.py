@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession, functions as F
 from firmlens.operators.ensembles import StackingModel, Trees, WeightedMembers
 from firmlens.operators.growing import Trees as GrownTrees
 from firmlens.operators.grown import GrownModel
+from firmlens.operators.margins import Lift, MarginModel
 from firmlens.operators.models import HighestOutput, Neighbours, NeighboursModel
 
 def save_model(model: Model, path: str) -> None:
@@ -45,6 +46,10 @@ def save_model(model: Model, path: str) -> None:
         spark.createDataFrame(pa.concat_tables(nodes)).write.mode("overwrite").parquet(f"{path}/nodes")
         outputs = [o.tolist() for o in model.outputs]
         describe(kind="grown", outputs=outputs, base=model.base.tolist(), classes=model.classes, link=model.link, n_columns=model.n_columns)
+    elif isinstance(model, MarginModel):
+        parts = {"mean": model.lift.mean, "spread": model.lift.spread, "landmarks": model.lift.landmarks, "root": model.lift.root, "weights": model.weights}
+        arrays = {n: a.tolist() for n, a in parts.items() if a is not None}
+        describe(kind="margins", arrays=arrays, gamma=model.lift.gamma, classes=model.classes, gap=model.gap, rounds=model.rounds)
     elif isinstance(model, StackingModel):
         for i, member in enumerate([*model.level0.values(), model.level1]):
             save_model(member, f"{path}/level{i}")
@@ -87,6 +92,10 @@ def load_model(path: str) -> Model:
                 setattr(t, name, np.array(part.column(name).to_pylist(), kind))
             t.value = np.array(part.column("value").to_pylist(), float)
         return GrownModel(trees, outputs, what["base"], what["classes"], what["link"], what["n_columns"])
+    if what["kind"] == "margins":
+        a = {n: np.array(v, float) for n, v in what["arrays"].items()}
+        lift = Lift(a["mean"], a["spread"], a.get("landmarks"), a.get("root"), what["gamma"])
+        return MarginModel(lift, a["weights"], what["classes"], what["gap"], what["rounds"])
     if what["kind"] == "stacking":
         parts = [load_model(f"{path}/level{i}") for i in range(len(what["names"]) + 1)]
         return StackingModel(dict(zip(what["names"], parts[:-1], strict=True)), parts[-1], what["classes"])
