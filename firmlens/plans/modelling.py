@@ -213,14 +213,14 @@ def tomek_links(spark, d):
     oracle(
         "c AS ("
         + " UNION ALL ".join(f"SELECT '{c}' AS variable, corr({c}, valuation) AS corr FROM mt" for c in NUMBERS)
-        + ") SELECT variable, CAST(row_number() OVER (ORDER BY round(abs(corr), 8) DESC, variable) AS INTEGER) AS rank FROM c WHERE abs(corr) > 0.15",
+        + ") SELECT variable FROM c WHERE abs(corr) > 0.15",
         "mt",
     ),
 )
 def select_by_corr(spark, d):
-    """The columns that go with the valuation, most first."""
+    """The columns that go with the valuation."""
     names = selection.select_by_corr(settle(model_table(spark, d)), "valuation", selection.CORR_THRESHOLDS["regression"], NUMBERS)
-    return spark.createDataFrame([(n, i + 1) for i, n in enumerate(names)], "variable string, rank int")
+    return spark.createDataFrame([(n,) for n in names], "variable string")
 
 
 @query(
