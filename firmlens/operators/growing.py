@@ -33,7 +33,7 @@ NODE_BUDGET = 4_000_000
 CELLS_TOGETHER = 400_000
 #: Row and tree pairs that a task looks at in one step, and those that are worth a task of their own.
 PAIRS_AT_ONCE = 1 << 20
-PAIRS_IN_TASK = 100_000
+PAIRS_IN_TASK = 50_000
 
 # Cumulative Poisson probabilities with mean 1, for bootstraps without a pass over the data.
 _POISSON = np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(20)])
@@ -564,10 +564,13 @@ def _by_rank(codes: np.ndarray, stats: np.ndarray, table: Binned):
 
 # ---- levels --------------------------------------------------------------------------------------
 
-_FOUND = "slot int, column int, bin int, gap_left boolean, gain double, sizes array<double>, pure array<boolean>, values binary"
+def _found_schema(width: int) -> str:
+    """A slot's cut, and for the whole node and its sides the rows, whether it is finished, and values."""
+    parts = [f"n{i} double, p{i} boolean" for i in range(3)] + [f"v{j} double" for j in range(3 * width)]
+    return "slot int, column int, bin int, gap_left boolean, gain double, " + ", ".join(parts)
 
 
-def _found(sums: DataFrame, kind: str, n_columns: int, rules, table: Binned, single: bool, weight_unit: float) -> pa.Table:
+def _found(sums: DataFrame, kind: str, n_columns: int, rules, table: Binned, single: bool, weight_unit: float, width: int) -> pa.Table:
     small = replace(table, rows=None)
 
     def choose(group: pa.Table) -> pa.Table:
@@ -575,15 +578,13 @@ def _found(sums: DataFrame, kind: str, n_columns: int, rules, table: Binned, sin
         stats = np.frombuffer(b"".join(group.column("sums").to_pylist()), "<i8").reshape(len(codes), -1)
         codes, stats = add_up(codes, stats)
         cuts = Cuts(codes, stats, kind, n_columns, rules.value, small, single, weight_unit)
-        n = len(cuts.slot)
-        columns = [
-            pa.array(cuts.slot, pa.int32()), pa.array(cuts.column, pa.int32()), pa.array(cuts.bin, pa.int32()), pa.array(cuts.gap_left), pa.array(cuts.gain),
-            pa.array(list(cuts.sizes), pa.list_(pa.float64())), pa.array(list(cuts.pure), pa.list_(pa.bool_())),
-            pa.array([cuts.values[i].astype("<f8").tobytes() for i in range(n)], pa.binary()),
-        ]
-        return pa.Table.from_arrays(columns, ["slot", "column", "bin", "gap_left", "gain", "sizes", "pure", "values"])
+        values = cuts.values.reshape(len(cuts.slot), -1)
+        columns = {"slot": cuts.slot.astype(np.int32), "column": cuts.column.astype(np.int32), "bin": cuts.bin.astype(np.int32), "gap_left": cuts.gap_left, "gain": cuts.gain}
+        for i in range(3):
+            columns |= {f"n{i}": cuts.sizes[:, i], f"p{i}": cuts.pure[:, i]}
+        return pa.table(columns | {f"v{j}": values[:, j] for j in range(values.shape[1])})
 
-    return sums.groupBy("part").applyInArrow(choose, _FOUND).toArrow()
+    return sums.groupBy("part").applyInArrow(choose, _found_schema(width)).toArrow()
 
 
 def _drawn_columns(rules: Sequence[Rules], tree: np.ndarray, path: np.ndarray, n_columns: int) -> np.ndarray:
@@ -659,14 +660,16 @@ def grow(table: Binned, rules: Sequence[Rules], gradients: Gradients | None = No
         level, of_slots = sc.broadcast(plan), sc.broadcast({k: v[tree] for k, v in numbers.items()})
         span = n_columns * 256 * (256 if kind == "ranks" else 1)
         sums = _summed(rows, level, len(node), parts, span, lambda b, p: _cells(b, p, gradients), add_up, "<i8")
-        found = _found(sums, kind, n_columns, of_slots, table, random_cuts, weight_unit)
+        found = _found(sums, kind, n_columns, of_slots, table, random_cuts, weight_unit, width)
         level.destroy()
         of_slots.destroy()
         if not found.num_rows:
             break
         s = found.column("slot").to_numpy()
-        sizes, pure = (np.array(found.column(c).to_pylist()) for c in ("sizes", "pure"))
-        values = np.frombuffer(b"".join(found.column("values").to_pylist()), "<f8").reshape(-1, 3, width)
+        sizes, pure, values = (
+            np.stack([found.column(f"{c}{i}").to_numpy(zero_copy_only=False) for i in range(n_parts)], axis=1) for c, n_parts in (("n", 3), ("p", 3), ("v", 3 * width))
+        )
+        values = values.reshape(-1, 3, width)
         gain = found.column("gain").to_numpy()
         if depth == 0:
             trees.value[s], trees.size[s] = values[:, 0], sizes[:, 0]
