@@ -30,9 +30,9 @@ from firmlens.llm.tokens import Memory
 
 #: Transitions that a worker keeps (about 300 bytes each with their states); beyond, it starts anew
 #: with the next piece.
-TRANSITIONS = 400_000
+TRANSITIONS = 250_000
 #: Answers on pairs of neighbours that a worker keeps.
-PAIRS = 300_000
+PAIRS = 200_000
 #: Bytes of pieces remembered with their ids (twice: kept and recent).
 PIECES_BYTES = 32 << 20
 #: Bytes of a piece after which tokens that are certain are passed on.
@@ -194,8 +194,27 @@ class Transducer:
         out.reverse()
         return out
 
+    def row(self, piece: bytes) -> list[int]:
+        """The tokens of a short piece: one walk ahead, one back from its end."""
+        if len(self.moves) >= self.limit:
+            self._clear()
+        at, get, last = 0, self.moves.get, []
+        for byte in piece:
+            move = get(at << 8 | byte)
+            if move is None:
+                move = self._move(at, byte)
+            last.append(move >> 32)
+            at = move & 0xFFFFFFFF
+        out, end, size = [], len(last), self.size
+        while end:
+            token = last[end - 1]
+            out.append(token)
+            end -= size[token]
+        out.reverse()
+        return out
+
     def tokens(self, piece: Iterable[int]) -> Iterator[int]:
-        """The tokens of a piece. Every ``LOOK`` bytes those are passed on that all configurations
+        """The tokens of a piece as they become certain. Every ``LOOK`` bytes those are passed on that all configurations
         hang from, so a piece of any length is held in a bounded part only."""
         if len(self.moves) >= self.limit:
             self._clear()
@@ -235,7 +254,9 @@ class Encoder:
         """Ids (little-endian unsigned 32-bit); a piece that is a token is that token."""
         data = text.encode()
         whole = self.merges.rank.get(data)
-        return array("I", (whole,) if whole is not None else list(self.transducer.tokens(data))).tobytes()
+        if whole is not None:
+            return array("I", (whole,)).tobytes()
+        return array("I", self.transducer.row(data) if len(data) <= LOOK else list(self.transducer.tokens(data))).tobytes()
 
     def ids(self, text: str | None) -> bytes:
         pieces = self.pattern.findall(text or "")
