@@ -1,7 +1,11 @@
 import math
+import os
+import threading
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import functions as F, types as T
 
+from firmlens import session
 from firmlens.sources import pages, tables
 
 
@@ -84,3 +88,23 @@ def test_nested_fields_of_odd_tables(spark):
     got = [tuple(r) for r in pages.extract_nested_fields(df).select("page_id", "name", "ranking", "name_").orderBy("page_id").collect()]
     assert got == [(1, None, None, "n"), (2, None, None, "n"), (3, "A", None, "n"), (3, "A", None, "n")]
     assert pages.extract_nested_fields(df.where("false")).count() == 0
+
+
+def test_temporary_leaves_the_tables_of_other_threads(spark):
+    entered, written = threading.Event(), threading.Event()
+
+    def passing():
+        with session.temporary(spark):
+            mine = session.settle(spark.range(3)).inputFiles()
+            entered.set()
+            written.wait(60)
+        return mine
+
+    with ThreadPool(1) as pool:
+        gone = pool.apply_async(passing)
+        assert entered.wait(60)
+        kept = session.settle(spark.range(5))
+        written.set()
+        mine = gone.get()
+    assert kept.count() == 5
+    assert not any(os.path.exists(p.removeprefix("file:").rsplit("/", 1)[0]) for p in mine)
