@@ -124,3 +124,37 @@ def test_odd_rows_are_redacted(spark, documents):
     none = secretscan.fit(docs.where("false"))
     assert none.network is None and none.scan(["token=abcdefg", None]) == [[(0, 13, 0, None)], []]
     assert secretscan.without_secrets(none, docs.where("false")).count() == 0
+
+
+def test_every_finding_is_learned(spark, documents, monkeypatch):
+    """Blocks hold each distinct finding once, however many there are, and their network finds secrets."""
+    rows = corpus(2100)
+    monkeypatch.setattr(secretscan, "EPOCHS", 2)
+    seen = []
+    packed = secretscan._blocks
+    monkeypatch.setattr(secretscan, "_blocks", lambda drawn, n: seen.append(packed(drawn, n)) or seen[-1])
+    # Blocks last as long as the fit, so they are looked at inside it.
+    trained, found = secretscan._trained, {}
+
+    def looked(blocks):
+        found.update((len(found), [(r["block"], len(r["labels"]), sum(r["labels"])) for r in b.collect()]) for b in seen)
+        return trained(blocks)
+
+    monkeypatch.setattr(secretscan, "_trained", looked)
+    model = secretscan.fit(documents(rows))
+    parts = [p for b in found.values() for p in b]
+    want = secretscan.findings(documents(rows)).distinct().groupBy().agg(F.count("label"), F.sum("label")).first()
+    assert want[1] >= 2 * 2100 and (sum(n for _, n, _ in parts), sum(n for _, _, n in parts)) == tuple(want)
+    assert len(found[0]) > 1 and model.network is not None
+    rng = random.Random(99)
+    assert sum(bool(s) for s in model.scan([f"see {d[:20]}-{d[20:].upper()} there" for d, _ in secrets(rng, 30)])) > 20
+
+
+def test_threshold_is_the_exact_order_statistic(spark, monkeypatch):
+    monkeypatch.setattr(secretscan, "FEW", 3)
+    rng = np.random.default_rng(1)
+    for values in (rng.random(2000) ** 9, np.repeat([0.25, 0.5, 1.0], 40), np.zeros(7)):
+        parts = [(i, bytearray(v.tobytes()), bytearray(len(v))) for i, v in enumerate(np.array_split(values, 5))]
+        blocks = spark.createDataFrame(parts, "block int, out binary, labels binary")
+        for at in (0, len(values) // 50, len(values) - 1):
+            assert secretscan._smallest(blocks, lambda out, _: np.frombuffer(out), at) == np.sort(values)[at]
