@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firmlens.llm.common import share, texts, unused
@@ -19,9 +20,8 @@ from firmlens.llm.common import share, texts, unused
 LONGEST = 4
 #: n-grams are hashed to this many places, which bounds memory in every language.
 PLACES = 1 << 14
-#: Bounds of the training sample, per language.
+#: Texts of a language that the kernel is taken with.
 LANDMARKS_PER_LANGUAGE = 24
-ROWS_PER_LANGUAGE = 1500
 RIDGE = 1e-3
 UNKNOWN = "und"
 #: A text below this score has hardly an n-gram in common with any language.
@@ -132,15 +132,15 @@ def _unpacked(bits) -> np.ndarray:
 def fit(
     docs: DataFrame,
     landmarks: int = LANDMARKS_PER_LANGUAGE,
-    rows: int = ROWS_PER_LANGUAGE,
+    rows: int | None = None,
     ridge: float = RIDGE,
 ) -> Model:
     """Learn from ``docs`` (doc_id, text, lang) where lang is known.
 
-    About ``landmarks`` and ``rows`` texts of each language are drawn by a hash of the row, so that
-    what is fitted on is bounded and the same at every run. Tasks send the normal equations of their
-    rows; only those sums and the landmarks' bits come to the driver. Without labelled texts the
-    model knows no language.
+    About ``landmarks`` texts of each language, the places of the Nyström map, are drawn by a hash of
+    the row. The regression is fitted on every row (``rows``: about so many of each language): tasks send the normal equations of theirs, which
+    are added up row by row; only those sums and the landmarks' bits come to the driver. Without
+    labelled texts the model knows no language.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
@@ -156,22 +156,34 @@ def fit(
     nystrom = vectors[:, kept] / np.sqrt(values[kept])
     columns = np.ascontiguousarray(unit.T)
 
+    weights = {lang: 1 / min(rows or n, n) for lang, n in counts.items()}
+
     def sums(batches):
         """The normal equations of a task's rows: kernel' kernel, and kernel' with each language."""
         total = np.zeros((m, m + len(names)))
         for batch in batches:
-            if batch.num_rows:
-                kernel = (_unit(_unpacked(batch.column("bits").to_pylist())) @ columns).astype(np.float64)
-                wanted = np.array([[lang == n for n in names] for lang in batch.column("lang").to_pylist()], float)
-                weight = np.array([1 / min(rows, counts[lang]) for lang in batch.column("lang").to_pylist()])[:, None]
-                total += (kernel * weight).T @ np.hstack([kernel, wanted])
-        yield pa.RecordBatch.from_pydict({"row": list(range(m)), "sums": total.tolist()})
-
-    # The drawn bits are few; a fixed number of tasks sums them, whatever the size of the input.
-    drawn = _presences(_sample(known, counts, rows, 2)).repartition(8)
+            langs, values = batch.column("lang").to_pylist(), texts(batch)
+            for at in range(0, len(values), TOGETHER):
+                found = zip(langs[at : at + TOGETHER], map(presence, values[at : at + TOGETHER]), strict=True)
+                part = [(lang, f) for lang, f in found if f is not None]
+                if not part:
+                    continue
+                kernel = (_unit(np.stack([f for _, f in part])) @ columns).astype(np.float64)
+                wanted = np.array([[lang == n for n in names] for lang, _ in part], float)
+                total += (kernel * np.array([weights[lang] for lang, _ in part])[:, None]).T @ np.hstack([kernel, wanted])
+        task = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_pydict({"row": list(range(m)), "task": [task] * m, "sums": total.tolist()})
+
+    def added(part: pd.DataFrame) -> pd.DataFrame:
+        # In order of tasks, so that every run gives the same sums.
+        part = part.sort_values("task")
+        return pd.DataFrame({"row": part["row"].iloc[:1], "sums": [np.sum(np.stack(part["sums"]), axis=0)]})
+
+    learned = known if rows is None else _sample(known, counts, rows, 2)
+    of_tasks = learned.select("lang", "text").mapInArrow(sums, "row long, task long, sums array<double>")
     total = np.zeros((m, m + len(names)))
-    for r in drawn.mapInArrow(sums, "row long, sums array<double>").collect():
-        total[r["row"]] += r["sums"]
+    for r in of_tasks.groupBy("row").applyInPandas(added, "row long, sums array<double>").collect():
+        total[r["row"]] = r["sums"]
     inner = nystrom.T @ total[:, :m] @ nystrom
     target = nystrom.T @ total[:, m:]
     solved = np.linalg.solve(inner + ridge * np.eye(len(inner)), target)

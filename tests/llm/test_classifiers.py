@@ -43,6 +43,24 @@ def test_ridge_on_landmarks_equals_plain_formulas(spark, documents):
     assert model.languages == ["en", "fr"] and np.abs(want - got).max() < 5e-3
 
 
+def test_language_is_learned_from_every_row(spark, documents):
+    """A word that only a few of very many rows have counts."""
+    rows = [(i, ("dog and cat %d " if i % 2 else "chien et chat %d ") % i, "en" if i % 2 else "fr") for i in range(4000)]
+    docs = documents(rows)
+    whole, part = langid.fit(docs, landmarks=10), langid.fit(docs, landmarks=10, rows=400)
+    x = np.stack([langid.presence(t) for _, t, _ in rows])
+    kernel = ((x / np.sqrt(x.sum(1, keepdims=True))) @ whole.landmarks).astype(float)
+    gram = (whole.landmarks.T @ whole.landmarks).astype(float)
+    values, vectors = np.linalg.eigh(gram)
+    kept = values > 1e-6 * values.max()
+    nystrom = vectors[:, kept] / np.sqrt(values[kept])
+    lifted = kernel @ nystrom
+    wanted = np.array([[r[2] == "en", r[2] == "fr"] for r in rows], float)
+    want = nystrom @ np.linalg.solve(lifted.T @ lifted / 2000 + langid.RIDGE * np.eye(kept.sum()), lifted.T @ wanted / 2000)
+    assert np.abs(kernel @ want - kernel @ whole.weights).max() < 1e-3
+    assert np.abs(kernel @ part.weights - kernel @ whole.weights).max() > 1e-9
+
+
 def test_language_held_out(spark):
     found = QUERIES["op5_string_kernel_language"].run(spark, SF).alias("f").join(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id")
     rows = found.where("held_out").select("lang", "lang_pred", "f.score").collect()
