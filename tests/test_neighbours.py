@@ -112,3 +112,14 @@ def test_smote_splits_very_many_copies(spark, monkeypatch):
     df = spark.range(200).select("id", F.col("id").cast("double").alias("x"), (F.col("id") < 3).cast("int").alias("lab"))
     out = balance.smote(df, "lab", ["x"], "id")
     assert {r[0]: r[1] for r in out.groupBy("lab").count().collect()} == {0: 197, 1: 197}
+
+
+def test_a_query_goes_once_to_leaves_that_lie_side_by_side(spark, monkeypatch):
+    """Evenly spread columns let hardly a leaf be left out; still a query is written once, not once a leaf."""
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, rng.normal(size=16).tolist()) for i in range(600)], "id long, x array<double>")
+    written, settle = [], knn.settle
+    monkeypatch.setattr(knn, "settle", lambda d: written.append(settle(d)) or written[-1])
+    found = knn.knn_join(df, df, 2, ["x"], "id", exclude_self=True, small_rows=0, leaf_rows=20)
+    assert found.count() == 1200
+    assert written[-1].count() <= 600
