@@ -123,3 +123,12 @@ def test_a_query_goes_once_to_leaves_that_lie_side_by_side(spark, monkeypatch):
     found = knn.knn_join(df, df, 2, ["x"], "id", exclude_self=True, small_rows=0, leaf_rows=20)
     assert found.count() == 1200
     assert written[-1].count() <= 600
+
+
+def test_a_query_without_a_key_keeps_its_neighbours_in_leaves(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(200)], "id long, x array<double>")
+    asked = df.where("id < 5").withColumn("id", F.when(F.col("id") > 0, F.col("id")))
+    ways = [knn.knn_join(asked, df, 3, ["x"], "id", small_rows=n, leaf_rows=20).collect() for n in (0, 10**6)]
+    one, other = ([sorted((r["query"] or -1, r["rank"], r["neighbour"]) for r in rows) for rows in ways])
+    assert one == other and len(one) == 15
