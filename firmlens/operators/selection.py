@@ -20,10 +20,18 @@ CORR_THRESHOLDS = {"regression": 0.15, "regression_two_year": 0.20, "class": 0.0
 IMPORTANCE_THRESHOLDS = {"regression": 0.01, "regression_two_year": 0.02, "class": 0.017, "class_two_year": 0.017}
 
 
-def select_by_corr(df: DataFrame, target: str, threshold: float, names: Sequence[str] | None = None) -> list[str]:
-    """Columns whose correlation with the target exceeds the threshold in size."""
+def select_by_corr(
+    df: DataFrame, target: str, threshold: float, names: Sequence[str] | None = None, digits: int | None = None
+) -> list[str]:
+    """Columns whose correlation with the target exceeds the threshold in size, largest first; with
+    ``digits``, sizes that are equal when rounded are in order of their names."""
     rows = corr_with(df, target, names).where(F.abs("corr") > threshold).collect()
-    return [r["variable"] for r in sorted(rows, key=lambda r: (-abs(r["corr"]), r["variable"]))]
+
+    def place(r):
+        size = abs(r["corr"])
+        return -(size if digits is None else round(size, digits)), r["variable"]
+
+    return [r["variable"] for r in sorted(rows, key=place)]
 
 
 def f_regression(df: DataFrame, target: str, names: Sequence[str], k: int | None = 20) -> DataFrame:

@@ -219,7 +219,7 @@ def tomek_links(spark, d):
 )
 def select_by_corr(spark, d):
     """The columns that go with the valuation, most first."""
-    names = selection.select_by_corr(settle(model_table(spark, d)), "valuation", selection.CORR_THRESHOLDS["regression"], NUMBERS)
+    names = selection.select_by_corr(settle(model_table(spark, d)), "valuation", selection.CORR_THRESHOLDS["regression"], NUMBERS, digits=8)
     return spark.createDataFrame([(n, i + 1) for i, n in enumerate(names)], "variable string, rank int")
 
 
