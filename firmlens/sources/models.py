@@ -15,11 +15,15 @@ from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import SparkSession, functions as F
 
 from firmlens.operators.ensembles import StackingModel, Trees, WeightedMembers
-from firmlens.operators.growing import Trees as GrownTrees
-from firmlens.operators.grown import GrownModel
+from firmlens.operators.growing import PIECES, Tails, Trees as GrownTrees
+from firmlens.operators.grown import FarForest, GrownModel
 from firmlens.operators.margins import Lift, MarginModel
 from firmlens.operators.models import HighestOutput, Neighbours, NeighboursModel
 
+# Arrays of the upper nodes of a forest.
+_UPPER = {"feature": np.int16, "cut": float, "left": np.int32, "gap_left": bool, "value": float, "size": float, "gain": float, "owner": np.int32, "depth": np.int16}
+
+
 def save_model(model: Model, path: str) -> None:
     spark = SparkSession.getActiveSession()
 
@@ -46,6 +50,13 @@ def save_model(model: Model, path: str) -> None:
         spark.createDataFrame(pa.concat_tables(nodes)).write.mode("overwrite").parquet(f"{path}/nodes")
         outputs = [o.tolist() for o in model.outputs]
         describe(kind="grown", outputs=outputs, base=model.base.tolist(), classes=model.classes, link=model.link, n_columns=model.n_columns)
+    elif isinstance(model, FarForest):
+        model.tails.pieces.write.mode("overwrite").parquet(f"{path}/pieces")
+        upper = {n: getattr(model.upper, n).tolist() for n in _UPPER}
+        describe(
+            kind="far", upper=upper, places=model.tails.places.tolist(), part=model.tails.part.tolist(), edges=[e.tolist() for e in model.edges],
+            random_cuts=model.random_cuts, classes=model.classes, scale=list(model.scale), n_rows=model.n_rows,
+        )
     elif isinstance(model, MarginModel):
         parts = {"mean": model.lift.mean, "spread": model.lift.spread, "landmarks": model.lift.landmarks, "root": model.lift.root, "weights": model.weights}
         arrays = {n: a.tolist() for n, a in parts.items() if a is not None}
@@ -92,6 +103,13 @@ def load_model(path: str) -> Model:
                 setattr(t, name, np.array(part.column(name).to_pylist(), kind))
             t.value = np.array(part.column("value").to_pylist(), float)
         return GrownModel(trees, outputs, what["base"], what["classes"], what["link"], what["n_columns"])
+    if what["kind"] == "far":
+        upper = GrownTrees(what["upper"]["owner"].count(0) and max(what["upper"]["owner"]) + 1, 1)
+        for name, kind in _UPPER.items():
+            setattr(upper, name, np.array(what["upper"][name], kind))
+        tails = Tails(np.array(what["places"], int), np.array(what["part"], int), spark.read.schema(PIECES).parquet(f"{path}/pieces"))
+        edges = [np.array(e, float) for e in what["edges"]]
+        return FarForest(upper, tails, edges, what["random_cuts"], what["classes"], tuple(what["scale"]), what["n_rows"])
     if what["kind"] == "margins":
         a = {n: np.array(v, float) for n, v in what["arrays"].items()}
         lift = Lift(a["mean"], a["spread"], a.get("landmarks"), a.get("root"), what["gamma"])
