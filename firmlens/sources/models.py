@@ -55,7 +55,7 @@ def save_model(model: Model, path: str) -> None:
         upper = {n: getattr(model.upper, n).tolist() for n in _UPPER}
         describe(
             kind="far", upper=upper, places=model.tails.places.tolist(), part=model.tails.part.tolist(), edges=[e.tolist() for e in model.edges],
-            random_cuts=model.random_cuts, classes=model.classes, scale=list(model.scale), n_rows=model.n_rows,
+            random_cuts=model.random_cuts, classes=model.classes, scale=list(model.scale), n_rows=model.n_rows, hard=model.hard,
         )
     elif isinstance(model, MarginModel):
         parts = {"mean": model.lift.mean, "spread": model.lift.spread, "landmarks": model.lift.landmarks, "root": model.lift.root, "weights": model.weights}
@@ -109,7 +109,7 @@ def load_model(path: str) -> Model:
             setattr(upper, name, np.array(what["upper"][name], kind))
         tails = Tails(np.array(what["places"], int), np.array(what["part"], int), spark.read.schema(PIECES).parquet(f"{path}/pieces"))
         edges = [np.array(e, float) for e in what["edges"]]
-        return FarForest(upper, tails, edges, what["random_cuts"], what["classes"], tuple(what["scale"]), what["n_rows"])
+        return FarForest(upper, tails, edges, what["random_cuts"], what["classes"], tuple(what["scale"]), what["n_rows"], what.get("hard", False))
     if what["kind"] == "margins":
         a = {n: np.array(v, float) for n, v in what["arrays"].items()}
         lift = Lift(a["mean"], a["spread"], a.get("landmarks"), a.get("root"), what["gamma"])
