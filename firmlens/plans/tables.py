@@ -10,7 +10,7 @@ from firmlens.operators import joins, profile
 from firmlens.operators.quantiles import quartile_frame
 from firmlens.plans.registry import QUERIES, query
 from firmlens.plans.views import BOTH, EARLIER, LATER, companies, oracle, prepared, statements, table
-from firmlens.session import scratch_path, settle
+from firmlens.session import parallelism, scratch_path, settle
 from firmlens.sources import pages, tables
 
 CUSTOMER = T.StructType(
@@ -137,7 +137,9 @@ def nested_pages(spark, d):
         '<div class="ranking-section-container"><div>Dealroom.co signal</div> <div><i>', number, "</div></div></div>",
     )
     html = F.concat(*(p if not isinstance(p, str) else F.lit(p) for p in parts))
-    return companies(spark, d).select("company_id", html.alias("html"))
+    # Companies are few bytes in few splits, their pages much work: they are dealt out before pages are made.
+    dealt = companies(spark, d).repartition(parallelism(spark), "company_id")
+    return dealt.select("company_id", html.alias("html"))
 
 
 @query("profile_fields_nested", QUERIES["profile_fields"].sql)
