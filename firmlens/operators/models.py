@@ -6,9 +6,12 @@
 
 from __future__ import annotations
 
+import math
 import warnings
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -128,10 +131,91 @@ def label_std(df: DataFrame, label: str = "label") -> float:
     return df.agg(F.stddev_pop(label)).first()[0] or 1.0
 
 
-def tweedie(link: str = "auto", alpha: float = 1.0) -> GeneralizedLinearRegression:
+def tweedie(link: str = "auto", alpha: float = 1.0) -> Estimator:
     """Power 0 (normal) with an identity or log link."""
     power = {"auto": 1.0, "identity": 1.0, "log": 0.0}[link]
-    return GeneralizedLinearRegression(family="tweedie", variancePower=0.0, linkPower=power, regParam=alpha)
+    spark = GeneralizedLinearRegression(family="tweedie", variancePower=0.0, linkPower=power, regParam=alpha)
+    return LogLink(spark, alpha) if link == "log" else spark
+
+
+class LogLink(Estimator):
+    """A normal family with a log link on any labels of which one is positive. Spark's solver starts at
+    the logarithms of the labels, so it fits those that are all positive; others are fitted by the same
+    reweighted steps (and the same penalty) from a constant, halved where they would not lower the loss."""
+
+    def __init__(self, positive: Estimator, alpha: float):
+        super().__init__()
+        self.positive, self.alpha = positive, alpha
+
+    def _fit(self, df: DataFrame) -> Model:
+        least, start = df.agg(F.min("label"), F.avg(F.greatest("label", F.lit(0.0)))).first()
+        if least is None or least > 0:
+            return self.positive.fit(df)
+        if not start > 0:
+            raise ValueError("a log link needs a positive label")
+        n = df.select(F.size(vector_to_array("features"))).first()[0]
+        x = F.array(*(F.element_at(vector_to_array("features"), i + 1) for i in range(n)))
+        rows = df.select(x.alias("x"), F.col("label").cast("double").alias("y"))
+        moments = rows.agg(*(f(F.element_at("x", i + 1)) for f in (F.avg, F.stddev_pop) for i in range(n))).first()
+        centre = np.array(moments[:n], float)
+        scale = np.array([s or 1.0 for s in moments[n:]], float)
+        at = np.append(math.log(start), np.zeros(n))
+        here = _log_sums(rows, at, centre, scale)
+        for _ in range(ITERATIONS):
+            loss, weight, gram, pull = here
+            # Slopes are of scaled columns, the penalty is on those of the columns themselves.
+            shrink = np.append(0.0, self.alpha * weight / scale**2)
+            step = np.linalg.lstsq(gram + np.diag(shrink), pull - shrink * at, rcond=None)[0]
+            worth = loss + (shrink * at**2).sum()
+            for _ in range(60):
+                there = _log_sums(rows, at + step, centre, scale)
+                now = there[0] + (shrink * (at + step) ** 2).sum()
+                if now <= worth or np.abs(step).max() <= 1e-9 * max(1.0, np.abs(at).max()):
+                    break
+                step = step / 2
+            if not now <= worth:
+                break  # as low as sums can tell
+            at, here = at + step, there
+            if np.abs(step).max() <= 1e-9 * max(1.0, np.abs(at).max()):
+                break
+        else:
+            warnings.warn(f"LogLink stopped after {ITERATIONS} iterations", stacklevel=2)
+        slopes = at[1:] / scale
+        return LogLinkModel(slopes, float(at[0] - (slopes * centre).sum()))
+
+
+class LogLinkModel(Model):
+    def __init__(self, coefficients: np.ndarray, intercept: float):
+        super().__init__()
+        self.coefficients, self.intercept = coefficients, intercept
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        line = F.lit(self.intercept)
+        for i, c in enumerate(self.coefficients):
+            line = line + F.element_at(vector_to_array("features"), i + 1) * F.lit(float(c))
+        return df.withColumn("prediction", F.exp(line))
+
+
+def _log_sums(rows: DataFrame, at: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """Squared errors, weights, the weighted moments of the columns (a constant first) and what the
+    errors add to each, all summed over the rows."""
+    p = len(at)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 + p * p + p)
+        with np.errstate(over="ignore", invalid="ignore"):
+            for batch in batches:
+                y = batch.column("y").to_numpy()
+                data = batch.column("x").flatten().to_numpy().reshape(len(y), p - 1)
+                x = np.concatenate([np.ones((len(y), 1)), (data - centre) / scale], axis=1)
+                mu = np.exp(x @ at)
+                wide, miss = x * mu[:, None], y - mu
+                total += np.concatenate([[(miss**2).sum(), (mu**2).sum()], (wide.T @ wide).ravel(), wide.T @ miss])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()])], ["sums"])
+
+    parts = [r[0] for r in rows.mapInArrow(add, "sums array<double>").collect()]
+    total = np.sum(parts, axis=0)
+    return total[0], total[1], total[2 : 2 + p * p].reshape(p, p), total[2 + p * p :]
 
 
 def linear_clf(loss: str = "log", c: float = 1.0) -> Estimator:
