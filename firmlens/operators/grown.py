@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from firmlens.operators import growing
 from firmlens.operators.growing import GAP, KINDS, PAIRS_AT_ONCE, Binned, Block, Rules, Tails, Trees, binned, blocks, grow, most_nodes, plant, read_piece, together
 from firmlens.operators.splitting import stratified_folds
-from firmlens.session import hold, parallelism, scratch_path, settle, temporary
+from firmlens.session import hold, parallelism, release, scratch_path, settle, temporary
 
 #: Rounds whose trees are walked anew in every pass before margins are written.
 SETTLE_ROUNDS = 4
@@ -447,7 +447,7 @@ def boost(table: Binned, fits: Sequence[Fit], keep: bool = True) -> tuple[DataFr
         if len(margins.pending) >= SETTLE_ROUNDS:
             before, rows = rows, margins.write(rows)
             if before is not table.rows:
-                before.unpersist()
+                release(before)
             margins.pending = []
     return rows, margins, kept
 
@@ -527,7 +527,7 @@ class ProbabilityAdaBoost(Estimator):
                 if len(pending.pending) >= SETTLE_ROUNDS:
                     before, rows = rows, _write_weights(pending, rows)
                     if before is not table.rows:
-                        before.unpersist()
+                        release(before)
                     pending.pending = []
                 highest, wrong = _weights_now(pending, rows, trees)
                 if wrong == 0:
@@ -700,13 +700,18 @@ def search_forest(
         kinds: dict[tuple, list] = {}
         for plan in plans:
             kinds.setdefault((plan[2].random_cuts, KINDS[plan[2].criterion]), []).append(plan)
+        pending: list[tuple[Trees, list]] = []
         for of_kind in kinds.values():
+            # Trees of the same draws, of whatever candidate, share their rows, so they are grown side by side.
+            of_kind.sort(key=lambda p: (p[2].seed, p[2].fold))
             for some in together([r for _, _, r in of_kind], table.n_rows):
                 part = [of_kind[p] for p in some]
-                trees = grow(table, [r for _, _, r in part])
-                before, rows = rows, _with_votes(rows, trees, part, groups, built, width, middle, half)
-                if before is not table.rows:
-                    before.unpersist()
+                pending.append((grow(table, [r for _, _, r in part]), part))
+                # Trees have far fewer nodes than they might: votes are written when many are together.
+                if sum(len(t.feature) for t, _ in pending) > growing.NODE_BUDGET // 4:
+                    rows = _counted(table, rows, pending, groups, built, width, middle, half)
+        if pending:
+            rows = _counted(table, rows, pending, groups, built, width, middle, half)
 
         sizes = [b.n for b in built]
 
@@ -725,13 +730,22 @@ def search_forest(
     return board, built[best].fit(df) if refit else None
 
 
-def _with_votes(rows: DataFrame, trees: Trees, part, groups, built: Sequence[Forest], width: int, middle: float, half: float) -> DataFrame:
+def _counted(table: Binned, rows: DataFrame, pending: list, *how) -> DataFrame:
+    """Rows with the votes of the pending trees too; none are pending then."""
+    out = _with_votes(rows, pending, *how)
+    if rows is not table.rows:
+        release(rows)
+    pending.clear()
+    return out
+
+
+def _with_votes(rows: DataFrame, pending: Sequence[tuple[Trees, list]], groups, built: Sequence[Forest], width: int, middle: float, half: float) -> DataFrame:
     """Rows with the votes so far of every candidate: each held-out row asks the trees of its fold."""
     sizes, depths = [b.n for b in built], [b.rules.max_depth for b in built]
-    of_group = np.array([g for g, _, _ in part])
-    number = np.array([t for _, t, _ in part])
-    fold = np.array([r.fold for _, _, r in part])
-    deepest = int(trees.depth.max())
+    parts = [
+        (trees, np.array([g for g, _, _ in part]), np.array([t for _, t, _ in part]), np.array([r.fold for _, _, r in part]), int(trees.depth.max()))
+        for trees, part in pending
+    ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limited = {}
@@ -741,19 +755,20 @@ def _with_votes(rows: DataFrame, trees: Trees, part, groups, built: Sequence[For
             block = Block.of(batch)
             n = len(block.y)
             votes = np.zeros((n, len(sizes), width), np.int64) if block.state is None else block.state.copy().view("<i8").reshape(n, len(sizes), width)
-            for g, members in enumerate(groups):
-                for i in members:
-                    d = depths[i]
-                    if d not in limited:
-                        limited[d] = trees if d is None or d >= deepest else trees.upper(d)
-                    for f in np.unique(block.fold):
-                        mine = np.flatnonzero((of_group == g) & (number < sizes[i]) & (fold == f))
-                        held = np.flatnonzero(block.fold == f)
-                        step = max(1, PAIRS_AT_ONCE // max(1, len(mine)))
-                        for at in range(0, len(held) if len(mine) else 0, step):
-                            some = held[at : at + step]
-                            value = limited[d].value[limited[d].walk(block.x[some], mine)]
-                            votes[some, i] += np.rint((value - middle) / (half * VOTE)).astype(np.int64).sum(axis=1)
+            by_fold = {f: np.flatnonzero(block.fold == f) for f in np.unique(block.fold)}
+            for p, (trees, of_group, number, fold, deepest) in enumerate(parts):
+                for g in np.unique(of_group):
+                    for i in groups[g]:
+                        d = depths[i]
+                        if (p, d) not in limited:
+                            limited[p, d] = trees if d is None or d >= deepest else trees.upper(d)
+                        for f, held in by_fold.items():
+                            mine = np.flatnonzero((of_group == g) & (number < sizes[i]) & (fold == f))
+                            step = max(1, PAIRS_AT_ONCE // max(1, len(mine)))
+                            for at in range(0, len(held) if len(mine) else 0, step):
+                                some = held[at : at + step]
+                                value = limited[p, d].value[limited[p, d].walk(block.x[some], mine)]
+                                votes[some, i] += np.rint((value - middle) / (half * VOTE)).astype(np.int64).sum(axis=1)
             state = [v.tobytes() for v in votes.astype("<i8")]
             kept = [batch.column(c) for c in ("id", "x", "bins", "y", "fold")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(state, pa.binary())], ["id", "x", "bins", "y", "fold", "state"])
