@@ -85,3 +85,24 @@ def F_x():
     from pyspark.sql import functions as F
 
     return F.col("x")
+
+
+def test_whole_tables_give_the_random_cuts_of_levels(spark, monkeypatch):
+    """Extremely randomised trees of small and of unlimited depth, which need the values of all rows."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 3))
+    x[rng.random((400, 3)) < 0.1] = np.nan
+    rows = [(i, v.tolist(), float(np.nan_to_num(v[0]) > 0) + float(np.nan_to_num(v[1]) > 0.5)) for i, v in enumerate(x)]
+    table = growing.binned(spark.createDataFrame(rows, "k long, x array<double>, y double"), "k", "class", F_x(), "y")
+    some = [Rules("entropy", min_leaf=30, columns=2, random_cuts=True, seed=s // 2, min_split=2 + 200 * (s % 2)) for s in range(40)]
+    monkeypatch.setattr(growing, "LOCAL_ROWS", 100)
+    sent = []
+    whole_trees = growing._whole_trees
+    monkeypatch.setattr(growing, "_whole_trees", lambda *a: sent.append(a[2]) or whole_trees(*a))
+    whole = growing.grow(table, some)
+    monkeypatch.setattr(growing, "WHOLE_TIMES", 1)
+    levels = growing.grow(table, some)
+    assert sent == [40]
+    for t in range(40):
+        at = [g.walk(x)[:, t] for g in (whole, levels)]
+        assert np.array_equal(whole.value[at[0]], levels.value[at[1]])
